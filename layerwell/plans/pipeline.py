@@ -1,0 +1,503 @@
+"""Refreshing bronze, silver and gold tables, and publishing them.
+
+Every refresh follows the same steps: find what is new, write the transformed
+batch once to the shared scratch folder while its checks are observed, stop if
+a critical check failed, then change the table. A table is never touched before
+its new content exists and is known to be good, and running a refresh again
+after a failure gives the same table.
+"""
+
+from __future__ import annotations
+
+import logging
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import asdict, dataclass, field
+from datetime import datetime, timezone
+from graphlib import CycleError, TopologicalSorter
+
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F
+
+from layerwell.errors import ConfigError
+from layerwell.operators.lineage import (
+    BRONZE_INGESTED_AT,
+    SILVER_RUN_ID,
+    SOURCE_FILE,
+    SOURCE_KEY,
+)
+from layerwell.operators.quality import (
+    Check,
+    CheckResult,
+    collect_results,
+    enforce,
+    enforce_schema_checks,
+    key_uniqueness,
+    observe_checks,
+    observed_results,
+    partition_keys_exist,
+    record_timestamp,
+    results_table,
+    table_checks,
+)
+from layerwell.operators.selection import anti
+from layerwell.plans.layers import (
+    BATCH_HELPERS,
+    bronze_frame,
+    gold_frame,
+    keys_proved_unique,
+    silver_frame,
+)
+from layerwell.plans.registry import Registry
+from layerwell.session import require_utc, scratch_root
+from layerwell.sinks.audit import RunRecord, append_files, append_runs, file_table
+from layerwell.sinks.jdbc import publish_table
+from layerwell.sinks.parquet import (
+    merge_partitions,
+    partition_names,
+    stage,
+    write_table,
+)
+from layerwell.sources.listing import (
+    expected_files,
+    files_to_acquire,
+    key_collisions,
+    list_files,
+    new_files,
+    newest_file,
+)
+from layerwell.sources.manifest import load_manifest, record_files
+from layerwell.sources.tables import read_snapshot, read_table, read_window
+from layerwell.spec import PipelineConfig, TableSpec
+
+log = logging.getLogger(__name__)
+
+# Files whose paths the driver names in one read. Larger backlogs are worked
+# off in rounds, each of which is complete and recorded.
+FILES_PER_ROUND = 20_000
+
+
+@dataclass(frozen=True)
+class Lake:
+    """Where the layers live. Any file system Spark can write to will do."""
+
+    root: str
+
+    def landing(self, table: str) -> str:
+        return f"{self.root}/landing/{table}"
+
+    def bronze(self, table: str) -> str:
+        return f"{self.root}/bronze/{table}"
+
+    def silver(self, table: str) -> str:
+        return f"{self.root}/silver/{table}"
+
+    def gold(self, table: str) -> str:
+        return f"{self.root}/gold/{table}"
+
+    def manifest(self, layer: str, table: str) -> str:
+        return f"{self.root}/control/manifest/{layer}/{table}"
+
+    @property
+    def audit(self) -> str:
+        return f"{self.root}/control/audit"
+
+    @property
+    def quality(self) -> str:
+        return f"{self.root}/control/quality"
+
+
+@dataclass
+class Run:
+    """One run: session, configuration, registered functions, identity, clock."""
+
+    spark: SparkSession
+    config: PipelineConfig
+    lake: Lake
+    transforms: Registry
+    builders: Registry
+    run_id: str
+    now: datetime
+    code_version: str | None = None
+    results: list[CheckResult] = field(default_factory=list)
+
+    def __post_init__(self) -> None:
+        if self.now.tzinfo is None:
+            raise ValueError("the clock of a run must carry a time zone")
+        require_utc(self.spark)
+
+    def staging(self, layer: str, table: str) -> str:
+        """One place per table: a run replaces what the previous run staged."""
+        place = self.lake.root.strip("/").replace("/", "_").replace(":", "_")
+        return f"{scratch_root(self.spark)}/layerwell/{place}/{layer}-{table}"
+
+
+# --------------------------------------------------------------------- bronze
+
+
+def refresh_bronze(run: Run, table: str) -> int:
+    """Ingest landing files and return how many.
+
+    ``append`` takes files that are neither recorded nor present in bronze,
+    ``latest_snapshot`` only the newest file unless it was taken already,
+    ``overwrite`` all files.
+    """
+    source, spec = run.config.source(table), _declared(run.config.bronze, table, "bronze")
+    if not source.enabled:
+        log.info("source %s is disabled", table)
+        return 0
+    started = datetime.now(timezone.utc)
+    listing = list_files(run.spark, run.lake.landing(table))
+    clash = key_collisions(listing).first()
+    if clash:
+        raise ConfigError(f"several landing files share the key {clash['source_key']!r}")
+
+    manifest_path = run.lake.manifest("bronze", table)
+    if source.mode == "overwrite":
+        chosen = listing
+    elif source.mode == "latest_snapshot":
+        chosen = new_files(newest_file(listing), load_manifest(run.spark, manifest_path))
+    else:
+        known = load_manifest(run.spark, manifest_path)
+        chosen = anti(new_files(listing, known), known, "source_key")
+
+    def ingest(files: Sequence[Row]) -> int:
+        paths = [file["path"] for file in files]
+        df = bronze_frame(run.spark, paths, source, spec, run.run_id, run.now)
+        rows = write_bronze(df, run.lake.bronze(table))
+        _record(run, manifest_path, files)
+        return rows
+
+    files, rows = _in_rounds(run, chosen, ingest, run.staging("files-bronze", table))
+    partitions = _recorded(run, manifest_path).select(
+        F.concat(F.lit(f"{SOURCE_KEY}="), "source_key").alias("partition")
+    )
+    _audit(run, "bronze", table, started, files, rows, _recorded(run, manifest_path), partitions)
+    return files
+
+
+def write_bronze(df: DataFrame, path: str) -> int:
+    """Replace the partitions of the files in ``df`` and return the row count.
+    Nothing is exchanged: each task writes the rows it has read."""
+    observation = Observation()
+    (
+        df.observe(observation, F.count(F.lit(1)).alias("rows"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(SOURCE_KEY)
+        .parquet(path)
+    )
+    return observation.get["rows"]
+
+
+def missing_from_landing(run: Run, table: str) -> DataFrame:
+    """Files of the window that a downloader still has to fetch, newest first."""
+    source = run.config.source(table)
+    if source.acquisition != "http_download":
+        raise ConfigError(f"source {table} is not downloaded")
+    template = source.path_template
+    first, last = run.config.window(run.now)
+    expected = expected_files(
+        run.spark,
+        first,
+        last,
+        template["filename_pattern"],
+        template.get("base_url"),
+        template.get("date_format"),
+    )
+    recorded = load_manifest(run.spark, run.lake.manifest("bronze", table))
+    landed = list_files(run.spark, run.lake.landing(table))
+    present = recorded.select("source_key").union(landed.select("source_key"))
+    return files_to_acquire(expected, present).orderBy(F.col("day").desc())
+
+
+# --------------------------------------------------------------------- silver
+
+
+def refresh_silver(run: Run, table: str) -> int:
+    """Bring a silver table up to date and return the number of files used.
+
+    ``latest_snapshot`` replaces the table with the newest file, ``overwrite``
+    rebuilds it from all files, ``append`` merges new files into the partitions
+    they touch.
+    """
+    source, spec = run.config.source(table), _declared(run.config.silver, table, "silver")
+    if not source.enabled:
+        log.info("source %s is disabled", table)
+        return 0
+    if not spec.primary_keys:
+        raise ConfigError(f"silver table {table} has no primary key")
+    started = datetime.now(timezone.utc)
+    ingested = load_manifest(run.spark, run.lake.manifest("bronze", table))
+    manifest_path = run.lake.manifest("silver", table)
+
+    if source.mode == "latest_snapshot":
+        order = [F.col(c).desc() for c in ("processed_at", "modified_at", "path")]
+        chosen = ingested.orderBy(*order).limit(1)
+    elif source.mode == "overwrite":
+        chosen = ingested
+    else:
+        chosen = new_files(ingested, load_manifest(run.spark, manifest_path))
+
+    if source.mode == "overwrite":
+        files, rows = chosen.select("path").distinct().count(), 0
+        if files:
+            rows = _refresh_silver_batch(run, spec, _read_bronze(run, table), source.mode)
+            record_files(chosen, manifest_path, run.run_id, run.now)
+    else:
+
+        def merge(batch: Sequence[Row]) -> int:
+            bronze = _read_bronze(run, table, [file["source_key"] for file in batch])
+            written = _refresh_silver_batch(run, spec, bronze, source.mode)
+            _record(run, manifest_path, batch)
+            return written
+
+        files, rows = _in_rounds(run, chosen, merge, run.staging("files-silver", table))
+    _audit(run, "silver", table, started, files, rows, _recorded(run, manifest_path))
+    return files
+
+
+def _refresh_silver_batch(run: Run, spec: TableSpec, bronze: DataFrame, mode: str) -> int:
+    """Transform, check and store one batch; the number of its rows."""
+    transform = run.transforms.get(spec.name)
+    everything = mode == "overwrite"
+    batch = silver_frame(bronze, spec, transform, run.run_id, run.now, across_files=everything)
+    extra: list[Check] = []
+    if spec.partition_keys:
+        extra.append(partition_keys_exist(batch, spec.partition_keys))
+    if spec.record_timestamp:
+        extra.append(record_timestamp(batch, spec.record_timestamp))
+    scope = [] if everything else [SOURCE_FILE]
+    proved = keys_proved_unique(bronze, spec, transform)
+    staged, rows = _stage_checked(
+        run, "silver", batch, spec, extra, None if proved else [*scope, *spec.primary_keys]
+    )
+
+    path = run.lake.silver(spec.name)
+    if spec.partition_keys:
+        names = partition_names(staged, spec.partition_keys)
+        append_files(file_table(names, run.run_id, "silver", spec.name, "output"), run.lake.audit)
+    if mode == "append":
+        merge_partitions(
+            staged,
+            path,
+            spec.partition_keys,
+            spec.primary_keys,
+            spec.record_timestamp,
+            incoming_order=[F.col(c) for c in (BRONZE_INGESTED_AT, *BATCH_HELPERS)],
+            helper_columns=BATCH_HELPERS,
+            staged=True,
+        )
+    elif mode == "overwrite" and spec.partition_keys:
+        _replace_partitioned(staged.drop(*BATCH_HELPERS), path, spec.partition_keys)
+    else:
+        write_table(staged.drop(*BATCH_HELPERS), path)
+    return rows
+
+
+def merge_bronze_batch(run: Run, table: str, bronze: DataFrame) -> int:
+    """Merge one batch of bronze rows into a silver table (also used by streams)."""
+    spec = _declared(run.config.silver, table, "silver")
+    return _refresh_silver_batch(run, spec, bronze, "append")
+
+
+def _replace_partitioned(df: DataFrame, path: str, partition_keys: Sequence[str]) -> None:
+    """Replace the whole table, partitions without new rows included."""
+    (
+        df.hint("rebalance", *partition_keys)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(*partition_keys)
+        .parquet(path)
+    )
+
+
+def _read_bronze(run: Run, table: str, keys: Sequence[str] | None = None) -> DataFrame:
+    """Bronze rows of the given source files, which prunes to their partitions."""
+    where = None if keys is None else F.col(SOURCE_KEY).isin(list(keys))
+    return read_table(run.spark, run.lake.bronze(table), where=where).drop(SOURCE_KEY)
+
+
+# ----------------------------------------------------------------------- gold
+
+
+def gold_order(config: PipelineConfig) -> list[str]:
+    """Enabled gold tables, each after the gold tables it reads."""
+    wanted = {n: s for n, s in config.gold.items() if s.enabled}
+    graph = {
+        name: [i.table for i in spec.inputs if i.layer == "gold" and i.table in wanted]
+        for name, spec in wanted.items()
+    }
+    try:
+        return list(TopologicalSorter(graph).static_order())
+    except CycleError as cycle:
+        raise ConfigError(f"gold tables depend on each other: {cycle.args[1]}") from cycle
+
+
+def build_gold(run: Run, tables: Sequence[str] | None = None) -> list[str]:
+    """Build gold tables in dependency order and return their names."""
+    order = [t for t in gold_order(run.config) if tables is None or t in tables]
+    for table in order:
+        started = datetime.now(timezone.utc)
+        spec = run.config.gold[table]
+        inputs = {i.table: _gold_input(run, i.layer, i.table) for i in spec.inputs}
+        df = gold_frame(inputs, spec, run.builders.get(table))
+        staged, rows = _stage_checked(run, "gold", df, spec, [], spec.primary_keys)
+        write_table(staged, run.lake.gold(table))
+        _audit(run, "gold", table, started, len(inputs), rows)
+    return order
+
+
+def _gold_input(run: Run, layer: str, table: str) -> DataFrame:
+    if layer == "gold":
+        return read_table(run.spark, run.lake.gold(table))
+    source, spec = run.config.source(table), _declared(run.config.silver, table, "silver")
+    first, last = run.config.window(run.now)
+    path = run.lake.silver(table)
+    if source.mode == "latest_snapshot":
+        stamp = spec.record_timestamp
+        if stamp is None:
+            raise ConfigError(f"snapshot table {table} declares no record timestamp")
+        return read_snapshot(run.spark, path, SILVER_RUN_ID, stamp, first, last)
+    if not spec.partition_keys:
+        return read_table(run.spark, path)
+    return read_window(run.spark, path, spec.partition_keys[0], first, last)
+
+
+# -------------------------------------------------------------------- serving
+
+
+def serve_gold(
+    run: Run,
+    url: str,
+    properties: Mapping[str, str] | None = None,
+    publish: Callable[..., int] = publish_table,
+) -> dict[str, int]:
+    """Replace the database table of every enabled gold table."""
+    served = {}
+    for table in gold_order(run.config):
+        df = read_table(run.spark, run.lake.gold(table))
+        served[table] = publish(df, url, table, properties)
+    return served
+
+
+def run_all(
+    run: Run, url: str | None = None, properties: Mapping[str, str] | None = None
+) -> list[str]:
+    """Bronze, silver, gold and, given a database, serving."""
+    for table in run.config.bronze:
+        refresh_bronze(run, table)
+    for table in run.config.silver:
+        refresh_silver(run, table)
+    built = build_gold(run)
+    if url:
+        serve_gold(run, url, properties)
+    return built
+
+
+# -------------------------------------------------------------------- helpers
+
+
+def _declared(tables: Mapping[str, TableSpec], table: str, layer: str) -> TableSpec:
+    if table not in tables:
+        raise ConfigError(f"table {table} is not declared in layer {layer}")
+    return tables[table]
+
+
+def _in_rounds(
+    run: Run, chosen: DataFrame, work: Callable[[Sequence[Row]], int], staging: str
+) -> tuple[int, int]:
+    """Apply ``work`` to the chosen files, oldest first, a bounded number at a
+    time; returns how many files and rows that were. The choice is stored first,
+    so that it stays fixed while it is worked off and the driver never holds
+    more paths than one round needs."""
+    files = stage(chosen.select("path", "source_key", "modified_at").distinct(), staging)
+    done, rows, last = 0, 0, None
+    while True:
+        rest = files if last is None else files.where(_after(last))
+        batch = rest.orderBy("modified_at", "path").limit(FILES_PER_ROUND).collect()
+        if not batch:
+            return done, rows
+        rows += work(batch)
+        done, last = done + len(batch), batch[-1]
+
+
+def _after(row) -> Column:
+    """Rows that follow ``row`` when ordered by time and path."""
+    time, path = F.col("modified_at"), F.col("path")
+    return (time > row["modified_at"]) | ((time == row["modified_at"]) & (path > row["path"]))
+
+
+def _stage_checked(
+    run: Run,
+    layer: str,
+    df: DataFrame,
+    spec: TableSpec,
+    extra: Sequence[Check],
+    unique: Sequence[str] | None,
+) -> tuple[DataFrame, int]:
+    """Store ``df`` in the scratch folder, checking it on the way; raise if a
+    critical check fails. ``unique`` names the key to verify, unless it holds
+    by construction. Returns the stored rows and their number."""
+    checks = [*table_checks(df, spec), *extra]
+    enforce_schema_checks(*checks)
+    observed, observation = observe_checks(df, checks)
+    staged = stage(observed, run.staging(layer, spec.name))
+    results = observed_results(checks, observation)
+    rows = results[0].total
+    if unique:
+        results += collect_results(key_uniqueness(staged, unique))
+    run.results += results
+    _record_quality(run, layer, spec.name, results)
+    enforce(results)
+    return staged, rows
+
+
+def _record_quality(run: Run, layer: str, table: str, results: Sequence[CheckResult]) -> None:
+    rows = results_table(run.spark, results).select(
+        F.lit(run.run_id).alias("run_id"),
+        F.lit(layer).alias("layer"),
+        F.lit(table).alias("table"),
+        "*",
+    )
+    rows.coalesce(1).write.mode("append").parquet(run.lake.quality)
+
+
+def _record(run: Run, manifest_path: str, files: Sequence[Row]) -> None:
+    schema = "path string, source_key string, modified_at timestamp"
+    record_files(run.spark.createDataFrame(list(files), schema), manifest_path, run.run_id, run.now)
+
+
+def _recorded(run: Run, manifest_path: str) -> DataFrame:
+    """Files this run recorded in a manifest."""
+    return load_manifest(run.spark, manifest_path).where(F.col("run_id") == run.run_id)
+
+
+def _audit(
+    run: Run,
+    layer: str,
+    table: str,
+    started: datetime,
+    files: int,
+    rows: int,
+    inputs: DataFrame | None = None,
+    outputs: DataFrame | None = None,
+) -> None:
+    if inputs is not None:
+        listed = file_table(inputs.select("path"), run.run_id, layer, table, "input")
+        append_files(listed, run.lake.audit)
+    if outputs is not None:
+        append_files(file_table(outputs, run.run_id, layer, table, "output"), run.lake.audit)
+    record = RunRecord(
+        run_id=run.run_id,
+        layer=layer,
+        table=table,
+        start_time=started,
+        inputs=files,
+        rows_written=rows,
+        code_version=run.code_version,
+        configs={
+            "pipeline": {"name": run.config.name, "timezone": run.config.timezone},
+            "window": run.config.window(run.now),
+            "source": asdict(run.config.sources[table]) if table in run.config.sources else {},
+        },
+    )
+    append_runs(run.spark, run.lake.audit, record)

@@ -73,12 +73,14 @@ def read_snapshot(
 
 
 def day_bounds(dtype: T.DataType, first: date, last: date):
-    """Bounds of a day window in the type of the column they filter.
+    """Bounds of a window in the type of the column they filter.
 
-    A column of instants ends with the midnight that opens the last day, as
-    daily records are stamped with midnight.
+    A plain date stands for the midnight that opens it, as daily records are
+    stamped; an instant (such as "now") bounds timestamps exactly.
     """
     if isinstance(dtype, T.DateType):
-        return first, last
+        return tuple(b.date() if isinstance(b, datetime) else b for b in (first, last))
     zone = None if isinstance(dtype, T.TimestampNTZType) else timezone.utc
-    return tuple(datetime.combine(day, time(), zone) for day in (first, last))
+    return tuple(
+        b if isinstance(b, datetime) else datetime.combine(b, time(), zone) for b in (first, last)
+    )

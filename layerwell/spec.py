@@ -204,8 +204,9 @@ class PipelineConfig:
             raise ConfigError(f"no source is declared for table {table}")
         return self.sources[table]
 
-    def window(self, today: date) -> tuple[date, date]:
-        return self.start_date, self.end_date or today
+    def window(self, now: datetime) -> tuple[date, date]:
+        """First day and last day, or the current instant where none is set."""
+        return self.start_date, self.end_date or now
 
 
 def _as_date(value: str | date | datetime) -> date:
