@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from layerwell.operators.dedup import keep_latest
+from layerwell.operators.dedup import keep_latest, null_key_rows
 from layerwell.operators.lineage import (
     BRONZE_INGESTED_AT,
     BRONZE_RUN_ID,
@@ -63,16 +63,20 @@ def silver_frame(
     run_id: str,
     ingested_at: datetime,
     across_files: bool = False,
+    observation: Observation | None = None,
 ) -> DataFrame:
     """Rename, transform, trim, keep the latest per key, enforce the schema.
 
     The latest row is chosen within each file, where all rows share one
     ingestion time, so the first one stays. ``across_files`` chooses over all
-    files instead, which makes the choice within files redundant.
+    files instead, which makes the choice within files redundant. Rows without
+    a key disappear here; ``observation`` reports their number as ``null_keys``.
     """
     df = bronze.transform(rename_columns, spec).transform(transform)
     df = normalize_strings(df)
     enforce_schema_checks(primary_keys_exist(df, spec.primary_keys))
+    if observation is not None:
+        df = df.observe(observation, null_key_rows(spec.primary_keys).alias("null_keys"))
     order = [F.col(c) for c in BATCH_HELPERS if c in df.columns]
     scope = [] if across_files else [c for c in (SOURCE_FILE,) if c in df.columns]
     df = keep_latest(df, spec.primary_keys, BRONZE_INGESTED_AT, scope, order)

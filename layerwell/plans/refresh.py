@@ -25,6 +25,7 @@ from layerwell.operators.lineage import (
     SOURCE_KEY,
 )
 from layerwell.operators.quality import (
+    WARNING,
     Check,
     CheckResult,
     collect_results,
@@ -259,7 +260,10 @@ def _refresh_silver_batch(run: Run, spec: TableSpec, bronze: DataFrame, mode: st
     """Transform, check and store one batch; the number of its rows."""
     transform = run.transforms.get(spec.name)
     everything = mode == "overwrite"
-    batch = silver_frame(bronze, spec, transform, run.run_id, run.now, across_files=everything)
+    dropped = Observation()
+    batch = silver_frame(
+        bronze, spec, transform, run.run_id, run.now, across_files=everything, observation=dropped
+    )
     extra: list[Check] = []
     if spec.partition_keys:
         extra.append(partition_keys_exist(batch, spec.partition_keys))
@@ -271,6 +275,13 @@ def _refresh_silver_batch(run: Run, spec: TableSpec, bronze: DataFrame, mode: st
         run, "silver", batch, spec, extra, None if proved else [*scope, *spec.primary_keys]
     )
 
+    nulls = dropped.get["null_keys"]
+    if nulls:
+        log.warning("silver %s: %s rows without a key were left out", spec.name, nulls)
+    run.results.append(
+        CheckResult("null_keys", ",".join(spec.primary_keys), WARNING, nulls, rows + nulls, not nulls)
+    )
+
     path = run.lake.silver(spec.name)
     if spec.partition_keys:
         names = partition_names(staged, spec.partition_keys)

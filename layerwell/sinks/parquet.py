@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from layerwell.operators.dedup import keep_latest
@@ -53,14 +52,14 @@ def stage(df: DataFrame, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(target)
 
 
-def read_existing(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The table at ``path`` with the given schema; empty if there is none."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+def ensure_table(
+    spark: SparkSession, path: str, schema: T.StructType, partition_keys: Sequence[str] = ()
+) -> DataFrame:
+    """The table at ``path`` read with the given schema, created empty if there
+    is none yet."""
+    empty = spark.createDataFrame([], schema)
+    empty.write.mode("ignore").partitionBy(*partition_keys).parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def merge_partitions(
@@ -93,7 +92,7 @@ def merge_partitions(
 
     if not partition_keys:
         merged = _merged(
-            batch, read_existing(spark, path, stored_schema), (), primary_keys,
+            batch, ensure_table(spark, path, stored_schema), (), primary_keys,
             version, on_tie, incoming_order,
         )
         write_table(stage(merged.select(*stored_schema.names)), path)
@@ -103,7 +102,7 @@ def merge_partitions(
     listed = touched.limit(MAX_LISTED_PARTITIONS + 1).collect()
     if not listed:
         return
-    existing = read_existing(spark, path, stored_schema)
+    existing = ensure_table(spark, path, stored_schema, partition_keys)
     if len(listed) <= MAX_LISTED_PARTITIONS:
         existing = existing.where(_any_of(listed, partition_keys))
         touched = F.broadcast(touched)
@@ -160,9 +159,9 @@ def partition_names(df: DataFrame, partition_keys: Sequence[str]) -> DataFrame:
 
 __all__ = [
     "MAX_LISTED_PARTITIONS",
+    "ensure_table",
     "merge_partitions",
     "partition_names",
-    "read_existing",
     "stage",
     "write_partitions",
     "write_table",

@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 import io
+import sys
 import zipfile
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
+# Send the functions below to Python workers as code, so that clusters need not
+# have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 LINES_PER_BATCH = 20_000
 LINE_SCHEMA = "path string, line_no bigint, line string"
 

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from layerwell.operators.selection import anti
-from layerwell.sinks.parquet import read_existing
+from layerwell.sinks.parquet import ensure_table
 
 MANIFEST_SCHEMA = T.StructType(
     [
@@ -22,7 +22,7 @@ MANIFEST_SCHEMA = T.StructType(
 
 def load_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Recorded files; none if nothing has been recorded yet."""
-    return read_existing(spark, path, MANIFEST_SCHEMA)
+    return ensure_table(spark, path, MANIFEST_SCHEMA)
 
 
 def record_files(files: DataFrame, path: str, run_id: str, processed_at: datetime) -> None:

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from layerwell.errors import DataQualityError, MissingInputError
 from layerwell.operators.selection import within
-from layerwell.sinks.parquet import read_existing
 
 
 def read_table(
@@ -36,12 +35,14 @@ def read_partition(
 ) -> tuple[DataFrame, DataFrame]:
     """Rows of one partition and the files they are in. A partition that does
     not exist gives an empty frame with the table's columns, and no files."""
-    rows = read_existing(spark, path, schema)
-    stored = rows.inputFiles() != []
+    try:
+        rows = spark.read.schema(schema).parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema), spark.createDataFrame([], "path string")
     for key, value in partition.items():
         rows = rows.where(F.col(key).eqNullSafe(F.lit(value)))
-    if not stored:
-        return rows, spark.createDataFrame([], "path string")
     return rows, rows.select(F.col("_metadata.file_path").alias("path")).distinct()
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import io
 import re
+import sys
 import zipfile
 from collections.abc import Iterable, Iterator, Mapping, Sequence
 from datetime import datetime, timedelta
@@ -16,11 +17,16 @@ from typing import Any
 from xml.etree import ElementTree
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from layerwell.errors import ConfigError
 from layerwell.operators.lineage import SOURCE_FILE, SOURCE_POSITION
 
+# Send the functions below to Python workers as code, so that clusters need not
+# have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 ROWS_PER_BATCH = 5_000
 ROW_SCHEMA = "path string, row_no bigint, names array<string>, cells array<string>"
 

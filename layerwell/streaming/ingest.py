@@ -17,7 +17,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from layerwell.errors import ConfigError
 from layerwell.operators.lineage import SOURCE_FILE, SOURCE_KEY, SOURCE_POSITION
 from layerwell.plans.layers import with_bronze_lineage
-from layerwell.plans.pipeline import Run, merge_bronze_batch, write_bronze
+from layerwell.plans.refresh import Run, merge_bronze_batch, write_bronze
 from layerwell.sinks.parquet import merge_partitions
 from layerwell.sources.delimited import csv_options, nulls_for_blanks, text_schema
 from layerwell.sources.listing import own_file_name
