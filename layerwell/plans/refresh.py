@@ -13,6 +13,7 @@ import logging
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 from datetime import datetime, timezone
+from functools import reduce
 from graphlib import CycleError, TopologicalSorter
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F
@@ -25,6 +26,7 @@ from layerwell.operators.lineage import (
     SOURCE_KEY,
 )
 from layerwell.operators.quality import (
+    CRITICAL,
     WARNING,
     Check,
     CheckResult,
@@ -65,7 +67,7 @@ from layerwell.sources.listing import (
     new_files,
     newest_file,
 )
-from layerwell.sources.manifest import load_manifest, record_files
+from layerwell.sources.manifest import MANIFEST_SCHEMA, load_manifest, record_files
 from layerwell.sources.tables import read_snapshot, read_table, read_window
 from layerwell.spec import PipelineConfig, TableSpec
 
@@ -76,6 +78,26 @@ log = logging.getLogger(__name__)
 FILES_PER_ROUND = 20_000
 
 
+FILE_COLUMNS = ("path", "source_key", "modified_at")
+FILE_SCHEMA = "path string, source_key string, modified_at timestamp"
+
+
+@dataclass(frozen=True)
+class Outcome:
+    """What a refresh did: files used, partitions and rows written."""
+
+    files: int = 0
+    partitions: int = 0
+    rows: int = 0
+
+    def __add__(self, other: Outcome) -> Outcome:
+        return Outcome(
+            self.files + other.files,
+            self.partitions + other.partitions,
+            self.rows + other.rows,
+        )
+
+
 @dataclass(frozen=True)
 class Lake:
     """Where the layers live. Any file system Spark can write to will do."""
@@ -119,12 +141,35 @@ class Run:
     now: datetime
     code_version: str | None = None
     results: list[CheckResult] = field(default_factory=list)
+    _manifests: dict[str, DataFrame] = field(default_factory=dict, repr=False)
+    _pending: list[RunRecord] = field(default_factory=list, repr=False)
+    _checked: list[DataFrame] = field(default_factory=list, repr=False)
+    _deferred: bool = field(default=False, repr=False)
 
     def __post_init__(self) -> None:
         if self.now.tzinfo is None:
             raise ValueError("the clock of a run must carry a time zone")
         require_utc(self.spark)
 
+    def manifest(self, layer: str, table: str) -> DataFrame:
+        """Recorded files as of now; the table is created on first use."""
+        path = self.lake.manifest(layer, table)
+        if path in self._manifests:
+            return self.spark.read.schema(MANIFEST_SCHEMA).parquet(path)
+        self._manifests[path] = load_manifest(self.spark, path)
+        return self._manifests[path]
+
+    def keep_records(self) -> None:
+        """Store audit records and check results gathered so far."""
+        if self._deferred:
+            return
+        if self._checked:
+            rows = reduce(DataFrame.union, self._checked).coalesce(1)
+            rows.write.mode("append").parquet(self.lake.quality)
+        if self._pending:
+            append_runs(self.spark, self.lake.audit, *self._pending)
+        self._checked, self._pending = [], []
+
     def staging(self, layer: str, table: str) -> str:
         """One place per table: a run replaces what the previous run staged."""
         place = self.lake.root.strip("/").replace("/", "_").replace(":", "_")
@@ -155,24 +200,22 @@ def refresh_bronze(run: Run, table: str) -> int:
     if source.mode == "overwrite":
         chosen = listing
     elif source.mode == "latest_snapshot":
-        chosen = new_files(newest_file(listing), load_manifest(run.spark, manifest_path))
+        chosen = new_files(newest_file(listing), run.manifest("bronze", table))
     else:
-        known = load_manifest(run.spark, manifest_path)
+        known = run.manifest("bronze", table)
         chosen = anti(new_files(listing, known), known, "source_key")
 
-    def ingest(files: Sequence[Row]) -> int:
-        paths = [file["path"] for file in files]
-        df = bronze_frame(run.spark, paths, source, spec, run.run_id, run.now)
+    def ingest(files: DataFrame, paths: Sequence[Row]) -> Outcome:
+        names = [file["path"] for file in paths]
+        df = bronze_frame(run.spark, names, source, spec, run.run_id, run.now)
         rows = write_bronze(df, run.lake.bronze(table))
-        _record(run, manifest_path, files)
-        return rows
+        record_files(files, manifest_path, run.run_id, run.now, all_new=source.mode == "append")
+        partitions = files.select(F.concat(F.lit(f"{SOURCE_KEY}="), "source_key"))
+        return Outcome(len(paths), _audit_files(run, "bronze", table, files, partitions), rows)
 
-    files, rows = _in_rounds(run, chosen, ingest, run.staging("files-bronze", table))
-    partitions = _recorded(run, manifest_path).select(
-        F.concat(F.lit(f"{SOURCE_KEY}="), "source_key").alias("partition")
-    )
-    _audit(run, "bronze", table, started, files, rows, _recorded(run, manifest_path), partitions)
-    return files
+    outcome = _in_rounds(run, chosen, ingest, run.staging("files-bronze", table))
+    _audit(run, "bronze", table, started, outcome)
+    return outcome.files
 
 
 def write_bronze(df: DataFrame, path: str) -> int:
@@ -204,7 +247,7 @@ def missing_from_landing(run: Run, table: str) -> DataFrame:
         template.get("base_url"),
         template.get("date_format"),
     )
-    recorded = load_manifest(run.spark, run.lake.manifest("bronze", table))
+    recorded = run.manifest("bronze", table)
     landed = list_files(run.spark, run.lake.landing(table))
     present = recorded.select("source_key").union(landed.select("source_key"))
     return files_to_acquire(expected, present).orderBy(F.col("day").desc())
@@ -227,7 +270,7 @@ def refresh_silver(run: Run, table: str) -> int:
     if not spec.primary_keys:
         raise ConfigError(f"silver table {table} has no primary key")
     started = datetime.now(timezone.utc)
-    ingested = load_manifest(run.spark, run.lake.manifest("bronze", table))
+    ingested = run.manifest("bronze", table)
     manifest_path = run.lake.manifest("silver", table)
 
     if source.mode == "latest_snapshot":
@@ -236,28 +279,31 @@ def refresh_silver(run: Run, table: str) -> int:
     elif source.mode == "overwrite":
         chosen = ingested
     else:
-        chosen = new_files(ingested, load_manifest(run.spark, manifest_path))
+        chosen = new_files(ingested, run.manifest("silver", table))
+
+    def merge(files: DataFrame, batch: Sequence[Row]) -> Outcome:
+        bronze = _read_bronze(run, table, [file["source_key"] for file in batch])
+        outcome = _refresh_silver_batch(run, spec, bronze, source.mode, files)
+        record_files(files, manifest_path, run.run_id, run.now, all_new=source.mode == "append")
+        return outcome + Outcome(len(batch))
 
     if source.mode == "overwrite":
-        files, rows = chosen.select("path").distinct().count(), 0
-        if files:
-            rows = _refresh_silver_batch(run, spec, _read_bronze(run, table), source.mode)
-            record_files(chosen, manifest_path, run.run_id, run.now)
+        files = chosen.select(*FILE_COLUMNS)
+        outcome = Outcome(files.select("path").distinct().count())
+        if outcome.files:
+            batch = _read_bronze(run, table)
+            outcome += _refresh_silver_batch(run, spec, batch, source.mode, files)
+            record_files(files, manifest_path, run.run_id, run.now, all_new=source.mode == "append")
     else:
+        outcome = _in_rounds(run, chosen, merge, run.staging("files-silver", table))
+    _audit(run, "silver", table, started, outcome)
+    return outcome.files
 
-        def merge(batch: Sequence[Row]) -> int:
-            bronze = _read_bronze(run, table, [file["source_key"] for file in batch])
-            written = _refresh_silver_batch(run, spec, bronze, source.mode)
-            _record(run, manifest_path, batch)
-            return written
-
-        files, rows = _in_rounds(run, chosen, merge, run.staging("files-silver", table))
-    _audit(run, "silver", table, started, files, rows, _recorded(run, manifest_path))
-    return files
 
-
-def _refresh_silver_batch(run: Run, spec: TableSpec, bronze: DataFrame, mode: str) -> int:
-    """Transform, check and store one batch; the number of its rows."""
+def _refresh_silver_batch(
+    run: Run, spec: TableSpec, bronze: DataFrame, mode: str, files: DataFrame
+) -> Outcome:
+    """Transform, check and store one batch, which stems from ``files``."""
     transform = run.transforms.get(spec.name)
     everything = mode == "overwrite"
     dropped = Observation()
@@ -283,9 +329,6 @@ def _refresh_silver_batch(run: Run, spec: TableSpec, bronze: DataFrame, mode: st
     )
 
     path = run.lake.silver(spec.name)
-    if spec.partition_keys:
-        names = partition_names(staged, spec.partition_keys)
-        append_files(file_table(names, run.run_id, "silver", spec.name, "output"), run.lake.audit)
     if mode == "append":
         merge_partitions(
             staged,
@@ -301,13 +344,15 @@ def _refresh_silver_batch(run: Run, spec: TableSpec, bronze: DataFrame, mode: st
         _replace_partitioned(staged.drop(*BATCH_HELPERS), path, spec.partition_keys)
     else:
         write_table(staged.drop(*BATCH_HELPERS), path)
-    return rows
+    partitions = partition_names(staged, spec.partition_keys)
+    return Outcome(0, _audit_files(run, "silver", spec.name, files, partitions), rows)
 
 
 def merge_bronze_batch(run: Run, table: str, bronze: DataFrame) -> int:
-    """Merge one batch of bronze rows into a silver table (also used by streams)."""
+    """Merge one batch of bronze rows into a silver table, as a stream does."""
     spec = _declared(run.config.silver, table, "silver")
-    return _refresh_silver_batch(run, spec, bronze, "append")
+    files = bronze.select(F.col(SOURCE_FILE).alias("path")).distinct()
+    return _refresh_silver_batch(run, spec, bronze, "append", files).rows
 
 
 def _replace_partitioned(df: DataFrame, path: str, partition_keys: Sequence[str]) -> None:
@@ -353,7 +398,7 @@ def build_gold(run: Run, tables: Sequence[str] | None = None) -> list[str]:
         df = gold_frame(inputs, spec, run.builders.get(table))
         staged, rows = _stage_checked(run, "gold", df, spec, [], spec.primary_keys)
         write_table(staged, run.lake.gold(table))
-        _audit(run, "gold", table, started, len(inputs), rows)
+        _audit(run, "gold", table, started, Outcome(len(inputs), 1, rows))
     return order
 
 
@@ -394,11 +439,16 @@ def run_all(
     run: Run, url: str | None = None, properties: Mapping[str, str] | None = None
 ) -> list[str]:
     """Bronze, silver, gold and, given a database, serving."""
-    for table in run.config.bronze:
-        refresh_bronze(run, table)
-    for table in run.config.silver:
-        refresh_silver(run, table)
-    built = build_gold(run)
+    run._deferred = True
+    try:
+        for table in run.config.bronze:
+            refresh_bronze(run, table)
+        for table in run.config.silver:
+            refresh_silver(run, table)
+        built = build_gold(run)
+    finally:
+        run._deferred = False
+        run.keep_records()
     if url:
         serve_gold(run, url, properties)
     return built
@@ -414,21 +464,30 @@ def _declared(tables: Mapping[str, TableSpec], table: str, layer: str) -> TableS
 
 
 def _in_rounds(
-    run: Run, chosen: DataFrame, work: Callable[[Sequence[Row]], int], staging: str
-) -> tuple[int, int]:
+    run: Run,
+    chosen: DataFrame,
+    work: Callable[[DataFrame, Sequence[Row]], Outcome],
+    staging: str,
+) -> Outcome:
     """Apply ``work`` to the chosen files, oldest first, a bounded number at a
-    time; returns how many files and rows that were. The choice is stored first,
-    so that it stays fixed while it is worked off and the driver never holds
-    more paths than one round needs."""
-    files = stage(chosen.select("path", "source_key", "modified_at").distinct(), staging)
-    done, rows, last = 0, 0, None
-    while True:
-        rest = files if last is None else files.where(_after(last))
-        batch = rest.orderBy("modified_at", "path").limit(FILES_PER_ROUND).collect()
-        if not batch:
-            return done, rows
-        rows += work(batch)
-        done, last = done + len(batch), batch[-1]
+    time. A choice too long for one round is stored first, so that it stays
+    fixed while it is worked off and the driver never holds more of it than one
+    round needs."""
+    files = chosen.select(*FILE_COLUMNS).distinct()
+    batch = _first_files(files)
+    if len(batch) > FILES_PER_ROUND:
+        files = stage(files, staging)
+        batch = _first_files(files)
+    outcome = Outcome()
+    while batch:
+        more, batch = len(batch) > FILES_PER_ROUND, batch[:FILES_PER_ROUND]
+        outcome += work(run.spark.createDataFrame(batch, FILE_SCHEMA), batch)
+        batch = _first_files(files.where(_after(batch[-1]))) if more else []
+    return outcome
+
+
+def _first_files(files: DataFrame) -> list[Row]:
+    return files.orderBy("modified_at", "path").limit(FILES_PER_ROUND + 1).collect()
 
 
 def _after(row) -> Column:
@@ -469,41 +528,32 @@ def _record_quality(run: Run, layer: str, table: str, results: Sequence[CheckRes
         F.lit(table).alias("table"),
         "*",
     )
-    rows.coalesce(1).write.mode("append").parquet(run.lake.quality)
-
+    run._checked.append(rows)
+    if any(not r.passed and r.severity == CRITICAL for r in results):
+        run.keep_records()
 
-def _record(run: Run, manifest_path: str, files: Sequence[Row]) -> None:
-    schema = "path string, source_key string, modified_at timestamp"
-    record_files(run.spark.createDataFrame(list(files), schema), manifest_path, run.run_id, run.now)
 
-
-def _recorded(run: Run, manifest_path: str) -> DataFrame:
-    """Files this run recorded in a manifest."""
-    return load_manifest(run.spark, manifest_path).where(F.col("run_id") == run.run_id)
+def _audit_files(
+    run: Run, layer: str, table: str, inputs: DataFrame, outputs: DataFrame
+) -> int:
+    """Record used files and written partitions; the number of the latter."""
+    used = file_table(inputs.select("path"), run.run_id, layer, table, "input")
+    written = file_table(outputs, run.run_id, layer, table, "output")
+    observation = Observation()
+    count = F.count_if(F.col("role") == "output").alias("outputs")
+    append_files(used.union(written).observe(observation, count), run.lake.audit)
+    return observation.get["outputs"]
 
 
-def _audit(
-    run: Run,
-    layer: str,
-    table: str,
-    started: datetime,
-    files: int,
-    rows: int,
-    inputs: DataFrame | None = None,
-    outputs: DataFrame | None = None,
-) -> None:
-    if inputs is not None:
-        listed = file_table(inputs.select("path"), run.run_id, layer, table, "input")
-        append_files(listed, run.lake.audit)
-    if outputs is not None:
-        append_files(file_table(outputs, run.run_id, layer, table, "output"), run.lake.audit)
+def _audit(run: Run, layer: str, table: str, started: datetime, outcome: Outcome) -> None:
     record = RunRecord(
         run_id=run.run_id,
         layer=layer,
         table=table,
         start_time=started,
-        inputs=files,
-        rows_written=rows,
+        inputs=outcome.files,
+        outputs=outcome.partitions,
+        rows_written=outcome.rows,
         code_version=run.code_version,
         configs={
             "pipeline": {"name": run.config.name, "timezone": run.config.timezone},
@@ -511,4 +561,5 @@ def _audit(
             "source": asdict(run.config.sources[table]) if table in run.config.sources else {},
         },
     )
-    append_runs(run.spark, run.lake.audit, record)
+    run._pending.append(record)
+    run.keep_records()

@@ -25,8 +25,11 @@ def load_manifest(spark: SparkSession, path: str) -> DataFrame:
     return ensure_table(spark, path, MANIFEST_SCHEMA)
 
 
-def record_files(files: DataFrame, path: str, run_id: str, processed_at: datetime) -> None:
-    """Add files (``path, source_key, modified_at``) that are not recorded yet."""
+def record_files(
+    files: DataFrame, path: str, run_id: str, processed_at: datetime, all_new: bool = False
+) -> None:
+    """Add files (``path, source_key, modified_at``) that are not recorded yet.
+    Say ``all_new`` when they were chosen as such, which spares the comparison."""
     entries = files.select(
         "path",
         "source_key",
@@ -34,5 +37,6 @@ def record_files(files: DataFrame, path: str, run_id: str, processed_at: datetim
         F.lit(run_id).alias("run_id"),
         F.lit(processed_at).cast("timestamp").alias("processed_at"),
     )
-    known = load_manifest(files.sparkSession, path)
-    anti(entries, known, "path").write.mode("append").parquet(path)
+    if not all_new:
+        entries = anti(entries, load_manifest(files.sparkSession, path), "path")
+    entries.write.mode("append").parquet(path)

@@ -16,6 +16,9 @@ def spark():
         spark__ui__enabled="false",
         spark__sql__shuffle__partitions="4",
         spark__driver__memory="4g",
+        spark__ui__showConsoleProgress="false",
+        # Tiny frames: compiling code for them takes longer than running them.
+        spark__sql__codegen__wholeStage="false",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
