@@ -20,13 +20,16 @@ def keep_latest(
     version: str | None,
     scope: Sequence[str] = (),
     tie_breakers: Sequence[Column] = (),
+    ties_settled: bool = False,
 ) -> DataFrame:
     """One row per key: the one with the greatest version.
 
     * Rows with a null key are dropped; ``scope`` columns widen the key (per
       file, per partition) but may be null.
     * Ties are settled by ``tie_breakers`` and then by all remaining columns,
-      so the outcome does not depend on how Spark split the input.
+      so the outcome does not depend on how Spark split the input. With
+      ``ties_settled`` the given ones suffice, and columns nobody needs stay
+      unread.
     * Rows whose version is null or unreadable rank last.
     * Without a version column nothing is removed.
 
@@ -38,7 +41,9 @@ def keep_latest(
         log.warning("no version column %r; keeping every row", version)
         return df
 
-    ordering = [version_order(df, version), *tie_breakers, *stable_order(df, [*scope, *keys])]
+    ordering = [version_order(df, version), *tie_breakers]
+    if not ties_settled:
+        ordering += stable_order(df, [*scope, *keys])
     window = Window.partitionBy(*_cols([*scope, *keys])).orderBy(*ordering)
     return (
         drop_null_keys(df, keys)

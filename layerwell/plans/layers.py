@@ -75,12 +75,20 @@ def silver_frame(
     df = bronze.transform(rename_columns, spec).transform(transform)
     df = normalize_strings(df)
     enforce_schema_checks(primary_keys_exist(df, spec.primary_keys))
+    kept = (BRONZE_INGESTED_AT, BRONZE_RUN_ID, *BATCH_HELPERS)
+    df = df.select(*(c for c in df.columns if c in (*spec.column_names, *kept)))
     if observation is not None:
         df = df.observe(observation, null_key_rows(spec.primary_keys).alias("null_keys"))
     order = [F.col(c) for c in BATCH_HELPERS if c in df.columns]
-    scope = [] if across_files else [c for c in (SOURCE_FILE,) if c in df.columns]
-    df = keep_latest(df, spec.primary_keys, BRONZE_INGESTED_AT, scope, order)
-    kept = (BRONZE_INGESTED_AT, BRONZE_RUN_ID, *BATCH_HELPERS)
+    df = keep_latest(
+        df,
+        spec.primary_keys,
+        BRONZE_INGESTED_AT,
+        [] if across_files else [c for c in (SOURCE_FILE,) if c in df.columns],
+        order,
+        # File and position identify a row, so no other column need decide.
+        ties_settled=len(order) == len(BATCH_HELPERS),
+    )
     df = enforce_schema(df, spec.dtypes, keep=kept)
     return add_silver_lineage(df, run_id, ingested_at)
 

@@ -821,10 +821,11 @@ def layered_run(spark: SparkSession, sf_dir: str, gold: list[str]) -> Run:
     # One file: a snapshot of counts per country and month, small by nature.
     counts.coalesce(1).write.csv(run.lake.landing("counts"), header=True)
     tables = ["feed", "counts"] if "combined" in gold else ["feed"]
-    for name in tables:
-        refresh_bronze(run, name)
-        refresh_silver(run, name)
-    build_gold(run, gold)
+    with run.recording():
+        for name in tables:
+            refresh_bronze(run, name)
+            refresh_silver(run, name)
+        build_gold(run, gold)
     return run
 
 

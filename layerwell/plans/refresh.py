@@ -10,7 +10,8 @@ after a failure gives the same table.
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import asdict, dataclass, field
 from datetime import datetime, timezone
 from functools import reduce
@@ -68,7 +69,7 @@ from layerwell.sources.listing import (
     newest_file,
 )
 from layerwell.sources.manifest import MANIFEST_SCHEMA, load_manifest, record_files
-from layerwell.sources.tables import read_snapshot, read_table, read_window
+from layerwell.sources.tables import read_snapshot, read_table, read_window, table_exists
 from layerwell.spec import PipelineConfig, TableSpec
 
 log = logging.getLogger(__name__)
@@ -159,6 +160,17 @@ class Run:
         self._manifests[path] = load_manifest(self.spark, path)
         return self._manifests[path]
 
+    @contextmanager
+    def recording(self) -> Iterator[None]:
+        """Gather audit records and check results and store them at the end,
+        also when something fails on the way."""
+        self._deferred = True
+        try:
+            yield
+        finally:
+            self._deferred = False
+            self.keep_records()
+
     def keep_records(self) -> None:
         """Store audit records and check results gathered so far."""
         if self._deferred:
@@ -191,7 +203,9 @@ def refresh_bronze(run: Run, table: str) -> int:
         log.info("source %s is disabled", table)
         return 0
     started = datetime.now(timezone.utc)
-    listing = list_files(run.spark, run.lake.landing(table))
+    listing = list_files(
+        run.spark, run.lake.landing(table), modified_after=source.modified_after
+    )
     clash = key_collisions(listing).first()
     if clash:
         raise ConfigError(f"several landing files share the key {clash['source_key']!r}")
@@ -269,6 +283,9 @@ def refresh_silver(run: Run, table: str) -> int:
         return 0
     if not spec.primary_keys:
         raise ConfigError(f"silver table {table} has no primary key")
+    if not table_exists(run.spark, run.lake.bronze(table)):
+        log.info("nothing has been ingested for %s yet", table)
+        return 0
     started = datetime.now(timezone.utc)
     ingested = run.manifest("bronze", table)
     manifest_path = run.lake.manifest("silver", table)
@@ -439,16 +456,12 @@ def run_all(
     run: Run, url: str | None = None, properties: Mapping[str, str] | None = None
 ) -> list[str]:
     """Bronze, silver, gold and, given a database, serving."""
-    run._deferred = True
-    try:
+    with run.recording():
         for table in run.config.bronze:
             refresh_bronze(run, table)
         for table in run.config.silver:
             refresh_silver(run, table)
         built = build_gold(run)
-    finally:
-        run._deferred = False
-        run.keep_records()
     if url:
         serve_gold(run, url, properties)
     return built

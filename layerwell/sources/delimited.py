@@ -23,6 +23,7 @@ READER_PARAMETERS = (
     "null_values",
     "multi_line",
     "mode",
+    "spread",
 )
 
 
@@ -64,7 +65,11 @@ def read_zipped_delimited(
     paths: Sequence[str],
     reader: Mapping[str, Any] | None = None,
 ) -> DataFrame:
-    """Zip archives holding one text file each."""
+    """Zip archives holding one text file each.
+
+    One task unpacks an archive. Where single archives hold a large share of the
+    data, ``spread: true`` lets other tasks share in parsing and writing them.
+    """
     files = spark.read.format("binaryFile").load(list(paths)).select("path", "content")
     return parse_zipped_delimited(files, reader)
 
@@ -90,6 +95,8 @@ def parse_zipped_delimited(
         names = _names_in_header(lines, reader)
     if has_header:
         lines = lines.where(F.col("line_no") > 0)
+    if reader.get("spread"):
+        lines = lines.hint("rebalance", "path")
     parsed = F.from_csv("line", text_schema(names).toDDL(), csv_options(reader))
     rows = lines.where(F.length("line") > 0).select(
         parsed.alias("fields"), "path", "line_no"

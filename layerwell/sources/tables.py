@@ -30,6 +30,15 @@ def read_table(
     return df.select(*columns) if columns else df
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether :func:`read_table` would find a table with data files."""
+    try:
+        read_table(spark, path)
+    except MissingInputError:
+        return False
+    return True
+
+
 def read_partition(
     spark: SparkSession, path: str, schema: T.StructType, partition: Mapping[str, object]
 ) -> tuple[DataFrame, DataFrame]:

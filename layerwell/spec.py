@@ -118,6 +118,8 @@ class SourceSpec:
     enabled: bool = True
     reader: Mapping[str, Any] = field(default_factory=dict)
     path_template: Mapping[str, Any] = field(default_factory=dict)
+    # Leaves older landing files unlisted where the folder holds a long history.
+    modified_after: str | None = None
 
     def __post_init__(self) -> None:
         if self.mode not in INGESTION_MODES:
@@ -140,6 +142,7 @@ class SourceSpec:
             enabled=raw.get("enabled", True),
             reader=raw.get("reader") or {},
             path_template=raw.get("path_template") or {},
+            modified_after=raw.get("modified_after"),
         )
 
 

@@ -90,11 +90,24 @@ def stream_bronze(run: Run, table: str, checkpoint: str) -> StreamingQuery:
     return run_available(stream.writeStream.foreachBatch(write), checkpoint)
 
 
-def stream_silver(run: Run, table: str, schema: T.StructType, checkpoint: str) -> StreamingQuery:
-    """Bronze rows into the silver table; ``schema`` is that of the bronze table."""
-    stream = run.spark.readStream.schema(schema).parquet(run.lake.bronze(table))
+def stream_silver(
+    run: Run,
+    table: str,
+    schema: T.StructType,
+    checkpoint: str,
+    files_per_batch: int | None = None,
+) -> StreamingQuery:
+    """Bronze rows into the silver table; ``schema`` is that of the bronze table.
+
+    By default one batch takes all that is new, so that rows of one source file
+    are judged together. A limit bounds the batches of a large backlog.
+    """
+    reader = run.spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
         merge_bronze_batch(run, table, batch.drop(SOURCE_KEY))
 
+    stream = reader.parquet(run.lake.bronze(table))
     return run_available(stream.writeStream.foreachBatch(merge), checkpoint)

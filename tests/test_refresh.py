@@ -8,6 +8,7 @@ import pytest
 
 from layerwell.errors import ConfigError, DataQualityError, MissingInputError
 from layerwell.plans import refresh
+from layerwell.plans.layers import silver_frame
 from layerwell.plans.packing import workbook_bytes, zip_bytes
 from layerwell.plans.queries import BUILDERS, TRANSFORMS
 from layerwell.plans.refresh import (
@@ -253,6 +254,30 @@ def test_missing_columns_and_colliding_files(spark, lake):
         refresh_bronze(make_run(spark, lake), "counts")
 
 
+def test_silver_reads_declared_columns_only(spark, lake):
+    settings = config()
+    land_feed(lake, "20260105", (1, "20260105", "a", 1, 1, 1))
+    run = make_run(spark, lake, settings)
+    refresh_bronze(run, "feed")
+    spec = dataclasses.replace(settings.silver["feed"], columns=settings.silver["feed"].columns[:2])
+    bronze = read_table(spark, f"{lake}/bronze/feed")
+    plan = silver_frame(bronze, spec, TRANSFORMS.get("feed"), "r", CLOCK)._jdf.queryExecution().executedPlan().toString()
+    read = plan.rsplit("FileScan parquet [", 1)[1].split("]", 1)[0]
+    assert "Key" in read and "Day" in read
+    assert "Actor" not in read and "Mentions" not in read
+
+
+def test_empty_files_and_no_files(spark, lake):
+    run = make_run(spark, lake)
+    assert (refresh_bronze(run, "feed"), refresh_silver(run, "feed")) == (0, 0)
+    land_feed(lake, "20260104")
+    assert (refresh_bronze(run, "feed"), refresh_silver(run, "feed")) == (1, 0)
+    land_feed(lake, "20260105", (1, "20260105", "a", 1, 1, 1))
+    assert refresh_bronze(run, "feed") == 1
+    refresh_silver(run, "feed")
+    assert silver_feed(spark, lake) == [("1", datetime(2026, 1, 5), "a")]
+
+
 def test_audit(spark, lake):
     land_feed(lake, "20260105", (1, "20260105", "a", 1, 1, 1), (2, "20260106", "b", 1, 1, 1))
     run = make_run(spark, lake)

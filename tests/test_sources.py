@@ -114,7 +114,15 @@ def test_zip_needs_one_member(spark, tmp_path):
         read_zipped_delimited(spark, [str(tmp_path)], TSV).collect()
 
 
-def test_zipped_text_longer_than_a_batch(spark, tmp_path, monkeypatch):
+def test_spread_archives_give_the_same_rows(spark, tmp_path):
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.zip").write_bytes(zip_bytes({"x.csv": "1\t2\t3\n4\t5\t6\n"}))
+    plain = read_zipped_delimited(spark, [str(tmp_path)], TSV)
+    spread = read_zipped_delimited(spark, [str(tmp_path)], {**TSV, "spread": True})
+    assert rows(spread, "a", "_source_file", "_source_position") == rows(plain, "a", "_source_file", "_source_position")
+
+
+def test_zipped_text_longer_than_a_batch(spark, tmp_path):
     text = "".join(f"{i}\tx\ty\n" for i in range(45_000))
     (tmp_path / "x.zip").write_bytes(zip_bytes({"x.csv": text}))
     out = read_zipped_delimited(spark, [str(tmp_path)], TSV)
