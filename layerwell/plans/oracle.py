@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 EVENT_FEED = """(
-  SELECT event_id, CAST(ts AS DATE) AS event_date, event_type AS actor1_name, value AS avg_tone,
+  SELECT event_id, CAST(ts AS DATE) AS event_date, event_type AS actor1_name,
+         CAST(round(value * 100) AS BIGINT) AS avg_tone,
          CAST(regexp_extract(props, '[0-9]+') AS BIGINT) AS num_mentions, user_id AS num_articles
   FROM events)"""
 
 ORDER_FEED = """(
   SELECT o_orderkey AS event_id, CAST(o_orderdate AS DATE) AS event_date,
-         o_totalprice AS avg_tone, o_custkey AS num_mentions,
+         CAST(round(o_totalprice * 100) AS BIGINT) AS avg_tone, o_custkey AS num_mentions,
          CAST(length(o_orderpriority) AS BIGINT) AS num_articles
   FROM orders)"""
 
@@ -38,19 +39,19 @@ ORDER_DAYS = """
          CAST(o_orderdate AS DATE) AS order_day
   FROM orders"""
 
-METRICS = """count(DISTINCT event_id) AS total_events, round(avg(avg_tone), {digits}) AS avg_tone,
+METRICS = """count(DISTINCT event_id) AS total_events, avg(avg_tone) AS avg_tone,
          CAST(coalesce(sum(num_mentions), 0) AS BIGINT) AS total_mentions,
          CAST(coalesce(sum(num_articles), 0) AS BIGINT) AS total_articles"""
 
 FEED_DAILY = f"""
-  SELECT event_date, {METRICS.format(digits=6)}
+  SELECT event_date, {METRICS}
   FROM {EVENT_FEED} WHERE event_date IS NOT NULL GROUP BY 1"""
 
 
-def _monthly(feed: str, digits: int) -> str:
+def _monthly(feed: str) -> str:
     return f"""
   SELECT CAST(date_trunc('month', event_date) AS DATE) AS month_start_date,
-         {METRICS.format(digits=digits)}
+         {METRICS}
   FROM {feed} WHERE event_date IS NOT NULL GROUP BY 1"""
 
 
@@ -88,13 +89,13 @@ STAMP = "TIMESTAMP '2024-02-01 00:00:00'"
 ORACLE: dict[str, str] = {
     "feed_daily": FEED_DAILY,
     "feed_daily_unique_ids": FEED_DAILY,
-    "feed_monthly": _monthly(EVENT_FEED, 6),
-    "orders_monthly": _monthly(ORDER_FEED, 4),
+    "feed_monthly": _monthly(EVENT_FEED),
+    "orders_monthly": _monthly(ORDER_FEED),
     "counts_monthly": f"""
   SELECT month_start_date, CAST(sum(num_events) AS BIGINT) AS total_events
   FROM {COUNTRY_MONTHS} GROUP BY 1""",
     "combined_monthly_report": f"""
-  WITH a AS ({_monthly(ORDER_FEED, 4)}),
+  WITH a AS ({_monthly(ORDER_FEED)}),
        b AS (SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month_start_date,
                     count(*) AS total_events FROM lineitem GROUP BY 1)
   SELECT coalesce(a.month_start_date, b.month_start_date) AS month_start_date,
@@ -290,7 +291,7 @@ ORACLE: dict[str, str] = {
   FROM documents""",
     "layered_daily": FEED_DAILY,
     "layered_combined": f"""
-  WITH a AS ({_monthly(EVENT_FEED, 6)}),
+  WITH a AS ({_monthly(EVENT_FEED)}),
        b AS (SELECT month_start_date, CAST(sum(num_events) AS BIGINT) AS total_events
              FROM {COUNTRY_MONTHS} GROUP BY 1)
   SELECT coalesce(a.month_start_date, b.month_start_date) AS month_start_date,
@@ -298,7 +299,7 @@ ORACLE: dict[str, str] = {
          b.total_events AS counts_total_events
   FROM a FULL JOIN b ON a.month_start_date IS NOT DISTINCT FROM b.month_start_date""",
     "layered_silver": f"""
-  SELECT CAST(event_id AS VARCHAR) AS event_id, event_date, actor1_name, avg_tone, num_mentions,
-         num_articles, '20240201_000000' AS _silver_run_id, '20240201_000000' AS _bronze_run_id
+  SELECT CAST(event_id AS VARCHAR) AS event_id, event_date, actor1_name,
+         CAST(avg_tone AS DOUBLE) AS avg_tone, num_mentions, num_articles, '20240201_000000' AS _silver_run_id, '20240201_000000' AS _bronze_run_id
   FROM {EVENT_FEED}""",
 }

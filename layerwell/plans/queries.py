@@ -81,7 +81,7 @@ def event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id",
         F.to_date("ts").alias("event_date"),
         F.col("event_type").alias("actor1_name"),
-        F.col("value").alias("avg_tone"),
+        hundredths("value").alias("avg_tone"),
         F.regexp_extract("props", "([0-9]+)", 1).cast("bigint").alias("num_mentions"),
         F.col("user_id").alias("num_articles"),
     )
@@ -92,7 +92,7 @@ def order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("event_id"),
         F.to_date("o_orderdate").alias("event_date"),
-        F.col("o_totalprice").alias("avg_tone"),
+        hundredths("o_totalprice").alias("avg_tone"),
         F.col("o_custkey").alias("num_mentions"),
         F.length("o_orderpriority").cast("bigint").alias("num_articles"),
     )
@@ -131,8 +131,9 @@ def year_of(column: str):
     return F.to_date(F.date_trunc("year", column))
 
 
-def rounded(df: DataFrame, column: str) -> DataFrame:
-    return df.withColumn(column, F.round(column, 6))
+def hundredths(column: str):
+    """A two-decimal amount as an integer, whose mean is the same in any order."""
+    return F.round(F.col(column) * 100).cast("bigint")
 
 
 # ------------------------------------------------------------- rollups and joins
@@ -141,30 +142,28 @@ def rounded(df: DataFrame, column: str) -> DataFrame:
 @query
 def feed_daily(spark, sf_dir):
     build = daily_event_metrics("feed")
-    return rounded(build({"feed": event_feed(spark, sf_dir)}), "avg_tone")
+    return build({"feed": event_feed(spark, sf_dir)})
 
 
 @query
 def feed_daily_unique_ids(spark, sf_dir):
     """As ``feed_daily`` where ids are known to be unique per day."""
     build = daily_event_metrics("feed", ids_are_unique=True)
-    return rounded(build({"feed": event_feed(spark, sf_dir)}), "avg_tone")
+    return build({"feed": event_feed(spark, sf_dir)})
 
 
 @query
 def feed_monthly(spark, sf_dir):
     build = monthly_event_metrics("feed")
     months = build({"feed": event_feed(spark, sf_dir)})
-    return rounded(months.withColumn("month_start_date", F.to_date("month_start_date")), "avg_tone")
+    return months.withColumn("month_start_date", F.to_date("month_start_date"))
 
 
 @query
 def orders_monthly(spark, sf_dir):
     build = monthly_event_metrics("feed")
     months = build({"feed": order_feed(spark, sf_dir)})
-    return months.withColumn("month_start_date", F.to_date("month_start_date")).withColumn(
-        "avg_tone", F.round("avg_tone", 4)
-    )
+    return months.withColumn("month_start_date", F.to_date("month_start_date"))
 
 
 @query
@@ -188,8 +187,7 @@ def combined_monthly_report(spark, sf_dir):
         {"total_events": "order_total_events", "avg_tone": "order_avg_tone"},
         {"total_events": "shipped_total_events"},
     )
-    combined = build({"orders": orders, "shipped": shipped})
-    return combined.withColumn("order_avg_tone", F.round("order_avg_tone", 4))
+    return build({"orders": orders, "shipped": shipped})
 
 
 # ----------------------------------------------------------------- keep latest
@@ -832,13 +830,13 @@ def layered_run(spark: SparkSession, sf_dir: str, gold: list[str]) -> Run:
 @query
 def layered_daily(spark, sf_dir):
     run = layered_run(spark, sf_dir, ["feed_daily"])
-    return rounded(read_table(spark, run.lake.gold("feed_daily")), "avg_tone")
+    return read_table(spark, run.lake.gold("feed_daily"))
 
 
 @query
 def layered_combined(spark, sf_dir):
     run = layered_run(spark, sf_dir, ["feed_monthly", "counts_monthly", "combined"])
-    return rounded(read_table(spark, run.lake.gold("combined")), "feed_avg_tone")
+    return read_table(spark, run.lake.gold("combined"))
 
 
 @query
