@@ -19,7 +19,7 @@ from graphlib import CycleError, TopologicalSorter
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F
 
-from layerwell.errors import ConfigError
+from layerwell.errors import ConfigError, MissingInputError
 from layerwell.operators.lineage import (
     BRONZE_INGESTED_AT,
     SILVER_RUN_ID,
@@ -69,7 +69,7 @@ from layerwell.sources.listing import (
     newest_file,
 )
 from layerwell.sources.manifest import MANIFEST_SCHEMA, load_manifest, record_files
-from layerwell.sources.tables import read_snapshot, read_table, read_window, table_exists
+from layerwell.sources.tables import read_partitions, read_snapshot, read_table, read_window
 from layerwell.spec import PipelineConfig, TableSpec
 
 log = logging.getLogger(__name__)
@@ -283,9 +283,6 @@ def refresh_silver(run: Run, table: str) -> int:
         return 0
     if not spec.primary_keys:
         raise ConfigError(f"silver table {table} has no primary key")
-    if not table_exists(run.spark, run.lake.bronze(table)):
-        log.info("nothing has been ingested for %s yet", table)
-        return 0
     started = datetime.now(timezone.utc)
     ingested = run.manifest("bronze", table)
     manifest_path = run.lake.manifest("silver", table)
@@ -300,15 +297,17 @@ def refresh_silver(run: Run, table: str) -> int:
 
     def merge(files: DataFrame, batch: Sequence[Row]) -> Outcome:
         bronze = _read_bronze(run, table, [file["source_key"] for file in batch])
-        outcome = _refresh_silver_batch(run, spec, bronze, source.mode, files)
+        outcome = Outcome()
+        if bronze is not None:
+            outcome = _refresh_silver_batch(run, spec, bronze, source.mode, files)
         record_files(files, manifest_path, run.run_id, run.now, all_new=source.mode == "append")
         return outcome + Outcome(len(batch))
 
     if source.mode == "overwrite":
         files = chosen.select(*FILE_COLUMNS)
         outcome = Outcome(files.select("path").distinct().count())
-        if outcome.files:
-            batch = _read_bronze(run, table)
+        batch = _read_bronze(run, table) if outcome.files else None
+        if batch is not None:
             outcome += _refresh_silver_batch(run, spec, batch, source.mode, files)
             record_files(files, manifest_path, run.run_id, run.now, all_new=source.mode == "append")
     else:
@@ -383,10 +382,21 @@ def _replace_partitioned(df: DataFrame, path: str, partition_keys: Sequence[str]
     )
 
 
-def _read_bronze(run: Run, table: str, keys: Sequence[str] | None = None) -> DataFrame:
-    """Bronze rows of the given source files, which prunes to their partitions."""
-    where = None if keys is None else F.col(SOURCE_KEY).isin(list(keys))
-    return read_table(run.spark, run.lake.bronze(table), where=where).drop(SOURCE_KEY)
+def _read_bronze(
+    run: Run, table: str, keys: Sequence[str] | None = None
+) -> DataFrame | None:
+    """Bronze rows, of the given source files if any are given. None if the
+    files held no rows, so that bronze has no table yet."""
+    path = run.lake.bronze(table)
+    try:
+        if keys is None:
+            df = read_table(run.spark, path)
+        else:
+            df = read_partitions(run.spark, path, SOURCE_KEY, keys)
+    except MissingInputError:
+        log.info("bronze %s has no rows yet", table)
+        return None
+    return df.drop(SOURCE_KEY)
 
 
 # ----------------------------------------------------------------------- gold

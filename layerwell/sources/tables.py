@@ -11,6 +11,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from layerwell.errors import DataQualityError, MissingInputError
 from layerwell.operators.selection import within
 
+# How partition folders spell special characters and nulls.
+ESCAPED_IN_FOLDERS = set(map(chr, range(1, 32))) | set("\"#%'*/:=?\\\x7f{[]^")
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
 
 def read_table(
     spark: SparkSession,
@@ -30,13 +34,26 @@ def read_table(
     return df.select(*columns) if columns else df
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether :func:`read_table` would find a table with data files."""
+def read_partitions(
+    spark: SparkSession, path: str, key: str, values: Sequence[str]
+) -> DataFrame:
+    """Rows of the given partitions. Their folders are named outright, so that a
+    table of very many partitions need not be listed to find a few of them."""
+    folders = [f"{path}/{partition_folder(key, value)}" for value in values]
     try:
-        read_table(spark, path)
-    except MissingInputError:
-        return False
-    return True
+        return spark.read.option("basePath", path).parquet(*folders)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        # Some have no rows and therefore no folder.
+        return read_table(spark, path, where=F.col(key).isin(list(values)))
+
+
+def partition_folder(key: str, value: object) -> str:
+    """Name of a partition folder as Spark writes it."""
+    text = str(value)
+    escaped = "".join(f"%{ord(c):02X}" if c in ESCAPED_IN_FOLDERS else c for c in text)
+    return f"{key}={escaped or NULL_FOLDER}"
 
 
 def read_partition(

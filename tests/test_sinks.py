@@ -17,7 +17,7 @@ from layerwell.sinks.parquet import (
     write_partitions,
     write_table,
 )
-from layerwell.sources.tables import read_partition, read_snapshot, read_table, read_window
+from layerwell.sources.tables import partition_folder, read_partition, read_partitions, read_snapshot, read_table, read_window
 from layerwell.errors import DataQualityError, MissingInputError
 
 SCHEMA = "id long, day string, value long, version timestamp"
@@ -170,6 +170,16 @@ def test_partition_read(spark, tmp_path):
     assert (none.count(), files.count()) == (0, 0)
 
 
+def test_partitions_by_name(spark, tmp_path):
+    names = ["plain", "a b", "x=1/y:z", 'q"#%?*{[]}^', "é+ü"]
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "k string, v long")
+    write_partitions(df, path, ["k"])
+    assert {partition_folder("k", n) for n in names} == set(partitions(tmp_path / "t"))
+    assert rows(read_partitions(spark, path, "k", names[1:4]), "v") == [(1,), (2,), (3,)]
+    assert rows(read_partitions(spark, path, "k", ["absent", "plain"]), "v") == [(0,)]
+
+
 def test_window_read_prunes_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.range(10).select(
