@@ -94,7 +94,7 @@ ORACLE: dict[str, str] = {
     "counts_monthly": f"""
   SELECT month_start_date, CAST(sum(num_events) AS BIGINT) AS total_events
   FROM {COUNTRY_MONTHS} GROUP BY 1""",
-    "combined_monthly_report": f"""
+    "combined_monthly": f"""
   WITH a AS ({_monthly(ORDER_FEED)}),
        b AS (SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month_start_date,
                     count(*) AS total_events FROM lineitem GROUP BY 1)
@@ -140,7 +140,7 @@ ORACLE: dict[str, str] = {
   WHERE month_start_date BETWEEN DATE '1996-01-01' AND DATE '1999-06-01'""",
     "latest_snapshot": f"""
   SELECT * FROM {ORDER_ROWS} WHERE year = (SELECT max(year) FROM {ORDER_ROWS})""",
-    "new_files_listed": """
+    "new_files": """
   SELECT 'docs/' || doc_id AS path, n_chars FROM documents
   WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
     "manifest_union": """
@@ -148,13 +148,13 @@ ORACLE: dict[str, str] = {
          CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'run-labels'
               ELSE 'run-documents' END AS run_id
   FROM (SELECT doc_id FROM documents UNION SELECT doc_id FROM labels)""",
-    "files_expected": """
+    "expected_files": """
   WITH days AS (SELECT CAST(d AS DATE) AS day
                 FROM range(DATE '2023-12-28', DATE '2024-02-11', INTERVAL 1 DAY) AS r(d))
   SELECT day, strftime(day, '%Y%m%d') || '.export.csv.zip' AS file_name,
          'https://files.example.org/feed/' || strftime(day, '%Y%m%d') || '.export.csv.zip' AS url
   FROM days WHERE day NOT IN (SELECT CAST(ts AS DATE) FROM events)""",
-    "parse_compact_dates": """
+    "parse_ymd": """
   WITH t AS (SELECT event_id, CASE event_type
                WHEN 'error' THEN 'x' || strftime(ts, '%Y%m%d')
                WHEN 'view' THEN left(strftime(ts, '%Y%m%d'), 7)
@@ -162,7 +162,7 @@ ORACLE: dict[str, str] = {
   SELECT event_id, CASE WHEN regexp_full_match(s, '[0-9]{8}')
                         THEN CAST(try_strptime(s, '%Y%m%d') AS DATE) END AS event_date
   FROM t""",
-    "parse_month_names": """
+    "parse_month_name": """
   WITH t AS (SELECT o_orderkey, year(o_orderdate) AS y, CASE o_orderstatus
                WHEN 'P' THEN 'No' || strftime(o_orderdate, '%B')
                WHEN 'F' THEN lower(strftime(o_orderdate, '%B'))
@@ -183,7 +183,7 @@ ORACLE: dict[str, str] = {
          CAST(NULL AS BIGINT) AS event_type, CAST(NULL AS BIGINT) AS value,
          date_trunc('second', ts) AS stamp, CAST(NULL AS DOUBLE) AS absent
   FROM events""",
-    "normalized_strings": r"""
+    "normalize_strings": r"""
   SELECT c_custkey, regexp_replace(' ' || chr(9) || c_name || chr(10) || ' ',
                                    '^\s+|\s+$', '', 'g') AS c_name,
          regexp_replace(c_mktsegment || '  ', '^\s+|\s+$', '', 'g') AS c_mktsegment

@@ -57,15 +57,18 @@ ORDER_TYPES = {
 }
 
 
-def query(function: Query) -> Query:
-    """Register under the function's name; instants are read and shown in UTC."""
+def query(name: str) -> Callable[[Query], Query]:
+    """Register a query; instants are read and shown in UTC."""
 
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return function(spark, sf_dir)
+    def register(function: Query) -> Query:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return function(spark, sf_dir)
 
-    QUERIES[function.__name__] = run
-    return run
+        QUERIES[name] = run
+        return run
+
+    return register
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -100,8 +103,12 @@ def order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def country_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders per country and month: a count feed."""
-    orders = table(spark, sf_dir, "orders").select(
-        "o_custkey", F.to_date(F.date_trunc("month", "o_orderdate")).alias("month_start_date")
+    # Counting before the joins leaves one row per customer and month, so that a
+    # customer with very many orders cannot overload a join task.
+    orders = (
+        table(spark, sf_dir, "orders")
+        .groupBy("o_custkey", month_of("o_orderdate").alias("month_start_date"))
+        .agg(F.count(F.lit(1)).alias("orders"))
     )
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -109,7 +116,7 @@ def country_months(spark: SparkSession, sf_dir: str) -> DataFrame:
         orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
         .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
         .groupBy(F.col("n_name").alias("country"), "month_start_date")
-        .agg(F.count(F.lit(1)).alias("num_events"))
+        .agg(F.sum("orders").alias("num_events"))
     )
 
 
@@ -139,40 +146,40 @@ def hundredths(column: str):
 # ------------------------------------------------------------- rollups and joins
 
 
-@query
+@query("feed_daily")
 def feed_daily(spark, sf_dir):
     build = daily_event_metrics("feed")
     return build({"feed": event_feed(spark, sf_dir)})
 
 
-@query
+@query("feed_daily_unique_ids")
 def feed_daily_unique_ids(spark, sf_dir):
     """As ``feed_daily`` where ids are known to be unique per day."""
     build = daily_event_metrics("feed", ids_are_unique=True)
     return build({"feed": event_feed(spark, sf_dir)})
 
 
-@query
+@query("feed_monthly")
 def feed_monthly(spark, sf_dir):
     build = monthly_event_metrics("feed")
     months = build({"feed": event_feed(spark, sf_dir)})
     return months.withColumn("month_start_date", F.to_date("month_start_date"))
 
 
-@query
+@query("orders_monthly")
 def orders_monthly(spark, sf_dir):
     build = monthly_event_metrics("feed")
     months = build({"feed": order_feed(spark, sf_dir)})
     return months.withColumn("month_start_date", F.to_date("month_start_date"))
 
 
-@query
+@query("counts_monthly")
 def counts_monthly(spark, sf_dir):
     build = monthly_totals("counts")
     return build({"counts": country_months(spark, sf_dir)})
 
 
-@query
+@query("combined_monthly")
 def combined_monthly_report(spark, sf_dir):
     """Order metrics next to shipment counts; months of either side stay."""
     orders = monthly_event_metrics("feed")({"feed": order_feed(spark, sf_dir)})
@@ -193,12 +200,12 @@ def combined_monthly_report(spark, sf_dir):
 # ----------------------------------------------------------------- keep latest
 
 
-@query
+@query("dedup_latest")
 def dedup_latest(spark, sf_dir):
     return keep_latest(table(spark, sf_dir, "events"), ["user_id", "event_type"], "ts")
 
 
-@query
+@query("dedup_lineitem")
 def dedup_lineitem(spark, sf_dir):
     return keep_latest(
         table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], "l_shipdate"
@@ -244,17 +251,17 @@ def _merged_orders(spark, sf_dir, on_tie):
     return read_table(spark, path)
 
 
-@query
+@query("partition_merge")
 def partition_merge(spark, sf_dir):
     return _merged_orders(spark, sf_dir, "existing")
 
 
-@query
+@query("partition_merge_incoming_wins")
 def partition_merge_incoming_wins(spark, sf_dir):
     return _merged_orders(spark, sf_dir, "incoming")
 
 
-@query
+@query("partition_overwrite")
 def partition_overwrite(spark, sf_dir):
     """Restate the newest year; the other partitions stay as they are."""
     path = scratch_path(spark, "overwrite")
@@ -265,7 +272,7 @@ def partition_overwrite(spark, sf_dir):
     return read_table(spark, path)
 
 
-@query
+@query("append_incremental")
 def append_incremental(spark, sf_dir):
     """Two deliveries and an empty run through a streaming upsert."""
     root = scratch_path(spark, "append")
@@ -285,7 +292,7 @@ def append_incremental(spark, sf_dir):
     return read_table(spark, target)
 
 
-@query
+@query("partition_read")
 def partition_read(spark, sf_dir):
     path = scratch_path(spark, "partition")
     items = table(spark, sf_dir, "lineitem").drop("l_shipdate")
@@ -294,7 +301,7 @@ def partition_read(spark, sf_dir):
     return rows
 
 
-@query
+@query("table_replace")
 def table_replace(spark, sf_dir):
     """Replace a table, then read some of its columns and rows."""
     path = scratch_path(spark, "replace")
@@ -304,12 +311,12 @@ def table_replace(spark, sf_dir):
     return read_table(spark, path, ["doc_id", "lang", "text"], F.col("n_chars") > 1000)
 
 
-@query
+@query("window_filter")
 def window_filter(spark, sf_dir):
     return within(event_feed(spark, sf_dir), "event_date", date(2024, 1, 5), date(2024, 1, 20))
 
 
-@query
+@query("window_read")
 def window_read(spark, sf_dir):
     """The same window on a table partitioned by day."""
     path = scratch_path(spark, "window")
@@ -317,7 +324,7 @@ def window_read(spark, sf_dir):
     return read_window(spark, path, "event_date", date(2024, 1, 5), date(2024, 1, 20))
 
 
-@query
+@query("snapshot_read")
 def snapshot_read(spark, sf_dir):
     path = scratch_path(spark, "snapshot")
     write_table(country_months(spark, sf_dir).withColumn("snapshot", F.lit(RUN_ID)), path)
@@ -326,7 +333,7 @@ def snapshot_read(spark, sf_dir):
     )
 
 
-@query
+@query("latest_snapshot")
 def latest_snapshot(spark, sf_dir):
     return newest(_order_rows(spark, sf_dir), "year")
 
@@ -334,7 +341,7 @@ def latest_snapshot(spark, sf_dir):
 # ------------------------------------------------------------- files and manifests
 
 
-@query
+@query("new_files")
 def new_files_listed(spark, sf_dir):
     """Documents are the listing, labels the manifest of what was processed."""
     listing = table(spark, sf_dir, "documents").select(
@@ -346,7 +353,7 @@ def new_files_listed(spark, sf_dir):
     return new_files(listing, manifest)
 
 
-@query
+@query("manifest_union")
 def manifest_union(spark, sf_dir):
     """Recording overlapping sets of files keeps one entry per file."""
     path = scratch_path(spark, "manifest")
@@ -360,7 +367,7 @@ def manifest_union(spark, sf_dir):
     return load_manifest(spark, path).select("path", "source_key", "run_id")
 
 
-@query
+@query("expected_files")
 def files_expected(spark, sf_dir):
     """Daily files of a window that have not arrived; events tell which did."""
     expected = expected_files(
@@ -379,7 +386,7 @@ def files_expected(spark, sf_dir):
 # ------------------------------------------------------------ columns and schemas
 
 
-@query
+@query("parse_ymd")
 def parse_compact_dates(spark, sf_dir):
     digits = F.date_format("ts", "yyyyMMdd")
     text = (
@@ -392,7 +399,7 @@ def parse_compact_dates(spark, sf_dir):
     )
 
 
-@query
+@query("parse_month_name")
 def parse_month_names(spark, sf_dir):
     name = F.date_format("o_orderdate", "MMMM")
     text = (
@@ -427,14 +434,14 @@ def _castable(spark, sf_dir):
     )
 
 
-@query
+@query("cast_to_schema")
 def cast_to_schema(spark, sf_dir):
     return enforce_schema(_castable(spark, sf_dir), CAST_TYPES).withColumn(
         "stamp", F.col("stamp").cast("timestamp_ntz")
     )
 
 
-@query
+@query("cast_null_column")
 def cast_null_column(spark, sf_dir):
     """Columns with any value that cannot be cast become null as a whole."""
     return enforce_schema(
@@ -442,7 +449,7 @@ def cast_null_column(spark, sf_dir):
     ).withColumn("stamp", F.col("stamp").cast("timestamp_ntz"))
 
 
-@query
+@query("normalize_strings")
 def normalized_strings(spark, sf_dir):
     padded = table(spark, sf_dir, "customer").select(
         "c_custkey",
@@ -452,7 +459,7 @@ def normalized_strings(spark, sf_dir):
     return normalize_strings(padded)
 
 
-@query
+@query("rename_prune")
 def rename_prune(spark, sf_dir):
     spec = TableSpec.from_mapping(
         "customers",
@@ -469,7 +476,7 @@ def rename_prune(spark, sf_dir):
     return enforce_schema(renamed, spec.dtypes)
 
 
-@query
+@query("lineage_bronze")
 def lineage_bronze(spark, sf_dir):
     rows = add_bronze_lineage(
         table(spark, sf_dir, "customer"), "customers", "customer.parquet", RUN_ID, CLOCK
@@ -477,7 +484,7 @@ def lineage_bronze(spark, sf_dir):
     return rows.withColumn(BRONZE_INGESTED_AT, F.col(BRONZE_INGESTED_AT).cast("timestamp_ntz"))
 
 
-@query
+@query("lineage_silver")
 def lineage_silver(spark, sf_dir):
     bronze = add_bronze_lineage(
         table(spark, sf_dir, "customer"), "customers", "customer.parquet", "bronze-1", CLOCK
@@ -497,7 +504,7 @@ def _check(df: DataFrame, *checks: dq.Check) -> DataFrame:
     return dq.run_checks(df, list(checks)).drop("detail")
 
 
-@query
+@query("dq_nulls")
 def dq_nulls(spark, sf_dir):
     labels = table(spark, sf_dir, "labels")
     documents = table(spark, sf_dir, "documents").select("doc_id", "lang")
@@ -506,57 +513,57 @@ def dq_nulls(spark, sf_dir):
     )
 
 
-@query
+@query("dq_pk_duplicates")
 def dq_pk_duplicates(spark, sf_dir):
     items = table(spark, sf_dir, "lineitem")
     return dq.key_uniqueness(items, ["l_orderkey", "l_linenumber"]).drop("detail")
 
 
-@query
+@query("dq_pk_duplicate_rows")
 def dq_pk_duplicate_rows(spark, sf_dir):
     items = table(spark, sf_dir, "lineitem")
     return dq.duplicate_rows(items, ["l_orderkey", "l_linenumber"])
 
 
-@query
+@query("dq_range")
 def dq_range(spark, sf_dir):
     return _check(table(spark, sf_dir, "events"), dq.value_range("value", 10.0, 100.0))
 
 
-@query
+@query("dq_categories")
 def dq_categories(spark, sf_dir):
     return _check(
         table(spark, sf_dir, "events"), dq.valid_categories("event_type", ["click", "view"])
     )
 
 
-@query
+@query("dq_format")
 def dq_format(spark, sf_dir):
     return _check(
         table(spark, sf_dir, "customer"), dq.string_format("c_name", r"Customer#\d{6}[0-4]")
     )
 
 
-@query
+@query("dq_negative")
 def dq_negative(spark, sf_dir):
     return _check(table(spark, sf_dir, "customer"), dq.not_negative("c_acctbal"))
 
 
-@query
+@query("dq_coverage")
 def dq_coverage(spark, sf_dir):
     return dq.missing_days(
         table(spark, sf_dir, "events"), "ts", date(2024, 1, 1), date(2024, 2, 2)
     )
 
 
-@query
+@query("dq_future")
 def dq_future(spark, sf_dir):
     return _check(
         table(spark, sf_dir, "events"), dq.no_future_dates("ts", datetime(2024, 1, 20, 12))
     )
 
 
-@query
+@query("dq_recency")
 def dq_recency(spark, sf_dir):
     return _check(
         table(spark, sf_dir, "orders"),
@@ -565,7 +572,7 @@ def dq_recency(spark, sf_dir):
     )
 
 
-@query
+@query("dq_record_ts")
 def dq_record_ts(spark, sf_dir):
     shipped = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
         F.max("l_shipdate").alias("shipped_at")
@@ -577,7 +584,7 @@ def dq_record_ts(spark, sf_dir):
     )
 
 
-@query
+@query("dq_completeness")
 def dq_completeness(spark, sf_dir):
     """Orders without a single line."""
     expected = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("order_key"))
@@ -585,7 +592,7 @@ def dq_completeness(spark, sf_dir):
     return dq.missing_members(items, expected, ["order_key"])
 
 
-@query
+@query("dq_completeness_result")
 def dq_completeness_result(spark, sf_dir):
     expected = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("order_key"))
     items = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("order_key"))
@@ -593,7 +600,7 @@ def dq_completeness_result(spark, sf_dir):
     return dq.completeness(missing, "completeness", "order_key").drop("detail")
 
 
-@query
+@query("dq_schema")
 def dq_schema(spark, sf_dir):
     """Checks on names and types next to row checks, in one pass."""
     events = table(spark, sf_dir, "events")
@@ -615,7 +622,7 @@ def dq_schema(spark, sf_dir):
 # ---------------------------------------------------------------- file formats
 
 
-@query
+@query("bronze_csv")
 def bronze_csv(spark, sf_dir):
     """Orders written as headerless tab-separated text and read back."""
     path = scratch_path(spark, "csv")
@@ -626,7 +633,7 @@ def bronze_csv(spark, sf_dir):
     return enforce_schema(rows, ORDER_TYPES)
 
 
-@query
+@query("bronze_zip")
 def bronze_zip(spark, sf_dir):
     """Orders packed into zip archives, one per batch of rows, and unpacked."""
     lines = order_days(spark, sf_dir).select(
@@ -637,7 +644,7 @@ def bronze_zip(spark, sf_dir):
     return enforce_schema(rows, ORDER_TYPES)
 
 
-@query
+@query("bronze_workbook")
 def bronze_workbook(spark, sf_dir):
     """Customers packed into workbooks, one per batch of rows, and decoded."""
     customers = table(spark, sf_dir, "customer").select(
@@ -654,7 +661,7 @@ def bronze_workbook(spark, sf_dir):
 # -------------------------------------------------------------- layers and audit
 
 
-@query
+@query("audit_rows")
 def audit_rows(spark, sf_dir):
     """Files of two audited table runs, counted by layer, table and role."""
     path = scratch_path(spark, "audit")
@@ -827,19 +834,19 @@ def layered_run(spark: SparkSession, sf_dir: str, gold: list[str]) -> Run:
     return run
 
 
-@query
+@query("layered_daily")
 def layered_daily(spark, sf_dir):
     run = layered_run(spark, sf_dir, ["feed_daily"])
     return read_table(spark, run.lake.gold("feed_daily"))
 
 
-@query
+@query("layered_combined")
 def layered_combined(spark, sf_dir):
     run = layered_run(spark, sf_dir, ["feed_monthly", "counts_monthly", "combined"])
     return read_table(spark, run.lake.gold("combined"))
 
 
-@query
+@query("layered_silver")
 def layered_silver(spark, sf_dir):
     """The silver table after landing and merging all events."""
     run = layered_run(spark, sf_dir, [])
