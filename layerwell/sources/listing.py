@@ -33,9 +33,18 @@ def source_key(file_name: Column) -> Column:
 
 
 def own_file_name() -> Column:
-    """Name of the file a row was read from. Spark reports it percent-encoded."""
-    encoded = F.regexp_replace(F.col("_metadata.file_name"), r"\+", "%2B")
-    return F.url_decode(encoded)
+    """Name of the file a row was read from."""
+    return _decoded("_metadata.file_name")
+
+
+def own_file_path() -> Column:
+    """Full path of the file a row was read from, spelled as listings spell it."""
+    return _decoded("_metadata.file_path")
+
+
+def _decoded(column: str) -> Column:
+    """Spark reports names percent-encoded; a plus sign stands for itself."""
+    return F.url_decode(F.regexp_replace(F.col(column), r"\+", "%2B"))
 
 
 def list_files(

@@ -11,18 +11,21 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from layerwell.errors import ConfigError
 from layerwell.operators.lineage import SOURCE_FILE, SOURCE_KEY, SOURCE_POSITION
 from layerwell.plans.layers import with_bronze_lineage
-from layerwell.plans.refresh import Run, merge_bronze_batch, write_bronze
+from layerwell.plans.refresh import FILE_SCHEMA, Run, merge_bronze_batch, write_bronze
 from layerwell.sinks.parquet import merge_partitions
 from layerwell.sources.delimited import csv_options, nulls_for_blanks, text_schema
-from layerwell.sources.listing import own_file_name
+from layerwell.sources.listing import own_file_name, own_file_path, source_key
+from layerwell.sources.manifest import record_files
 from layerwell.spec import SourceSpec
 
+FILE = "__file"
+
 
 def stream_upsert(
     stream: DataFrame,
@@ -69,11 +72,17 @@ def stream_delimited(
         *nulls_for_blanks(names, source.reader),
         own_file_name().alias(SOURCE_FILE),
         F.col("_metadata.file_block_start").alias("__block"),
+        F.struct(
+            own_file_path().alias("path"),
+            source_key(own_file_name()).alias("source_key"),
+            F.col("_metadata.file_modification_time").alias("modified_at"),
+        ).alias(FILE),
     )
 
 
 def stream_bronze(run: Run, table: str, checkpoint: str) -> StreamingQuery:
-    """Landing files into the bronze table, each file once."""
+    """Landing files into the bronze table, each file once. The files are also
+    recorded in the manifest, so that silver may be refreshed either way."""
     source, spec = run.config.source(table), run.config.bronze[table]
     stream = stream_delimited(run.spark, run.lake.landing(table), source)
 
@@ -81,11 +90,24 @@ def stream_bronze(run: Run, table: str, checkpoint: str) -> StreamingQuery:
         position = F.struct(
             F.col("__block").alias("block"), F.monotonically_increasing_id().alias("row")
         )
-        rows = batch.withColumn(SOURCE_POSITION, position).drop("__block")
+        # A batch holds a bounded number of files, so their set is small.
+        files = Observation()
+        rows = (
+            batch.withColumn(SOURCE_POSITION, position)
+            .observe(files, F.collect_set(FILE).alias("files"))
+            .drop("__block", FILE)
+        )
         write_bronze(
             with_bronze_lineage(rows, source.name, spec, run.run_id, run.now),
             run.lake.bronze(table),
         )
+        found = [tuple(file) for file in files.get["files"]]
+        record_files(
+            run.spark.createDataFrame(found, FILE_SCHEMA),
+            run.lake.manifest("bronze", table),
+            run.run_id,
+            run.now,
+        )
 
     return run_available(stream.writeStream.foreachBatch(write), checkpoint)
 

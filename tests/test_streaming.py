@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from layerwell.errors import ConfigError
 from layerwell.plans.queries import BUILDERS, LAYERED_CONFIG, TRANSFORMS
 from layerwell.plans.refresh import Lake, Run
+from layerwell.sources.listing import list_files
 from layerwell.sources.tables import read_table
 from layerwell.spec import SourceSpec
 from layerwell.streaming.ingest import stream_bronze, stream_delimited, stream_silver, stream_upsert
@@ -66,12 +67,15 @@ def test_layers_as_streams(spark, tmp_path):
     first = advance()
     assert [(i, str(d), a) for i, d, a in first] == [("7", "2024-01-02", "x")]
     # A late file for an earlier day, and another version of a known key.
-    (landing / "1.csv").write_text("8\t20240101\tlate\t1.5\t1\t1\n7\t20240102\tz\t1.5\t1\t1\n")
+    (landing / "1 a+b.csv").write_text("8\t20240101\tlate\t1.5\t1\t1\n7\t20240102\tz\t1.5\t1\t1\n")
     second = advance()
     assert [(i, str(d), a) for i, d, a in second] == [("7", "2024-01-02", "x"), ("8", "2024-01-01", "late")]
     assert advance() == second
+    # The manifest knows the files under the paths that a listing gives.
+    manifest, listing = run.manifest("bronze", "feed"), list_files(spark, run.lake.landing("feed"))
+    assert rows(manifest, "path", "source_key", "modified_at") == rows(listing, "path", "source_key", "modified_at")
     bronze = read_table(spark, run.lake.bronze("feed"))
-    assert rows(bronze.groupBy("_source_file").agg(F.count("*").alias("n")), "_source_file", "n") == [("1.csv", 2), ("2.csv", 2)]
+    assert rows(bronze.groupBy("_source_file").agg(F.count("*").alias("n")), "_source_file", "n") == [("1 a+b.csv", 2), ("2.csv", 2)]
 
 
 def test_only_named_text_is_streamed(spark, tmp_path):
