@@ -51,7 +51,7 @@ from layerwell.plans.layers import (
     silver_frame,
 )
 from layerwell.plans.registry import Registry
-from layerwell.session import require_utc, scratch_root
+from layerwell.session import require_utc, table_scratch_path
 from layerwell.sinks.audit import RunRecord, append_files, append_runs, file_table
 from layerwell.sinks.jdbc import publish_table
 from layerwell.sinks.parquet import (
@@ -184,8 +184,7 @@ class Run:
 
     def staging(self, layer: str, table: str) -> str:
         """One place per table: a run replaces what the previous run staged."""
-        place = self.lake.root.strip("/").replace("/", "_").replace(":", "_")
-        return f"{scratch_root(self.spark)}/layerwell/{place}/{layer}-{table}"
+        return table_scratch_path(self.spark, f"{self.lake.root}/{table}", layer)
 
 
 # --------------------------------------------------------------------- bronze

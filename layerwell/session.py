@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 
@@ -67,3 +68,11 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path for intermediate tables below :func:`scratch_root`."""
     return f"{scratch_root(spark)}/layerwell/{label}-{uuid.uuid4().hex}"
+
+
+def table_scratch_path(spark: SparkSession, table_path: str, label: str) -> str:
+    """The place for intermediate data of one table. The next use replaces what
+    the previous one left, so repeated runs and micro-batches do not pile up."""
+    readable = "".join(c if c.isalnum() else "_" for c in table_path)
+    exact = hashlib.sha256(table_path.encode()).hexdigest()[:16]
+    return f"{scratch_root(spark)}/layerwell/{readable}-{exact}-{label}"

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from layerwell.operators.dedup import keep_latest
 from layerwell.operators.selection import semi
-from layerwell.session import scratch_path
+from layerwell.session import scratch_path, table_scratch_path
 
 # Up to this many touched partitions are named in the filter on the existing
 # table, which prunes directories at planning time. Beyond it a join finds them.
@@ -87,7 +87,9 @@ def merge_partitions(
     if on_tie not in ("existing", "incoming"):
         raise ValueError(f"unknown on_tie: {on_tie}")
     spark = incoming.sparkSession
-    batch = incoming if staged else stage(incoming)
+    batch = incoming
+    if not staged:
+        batch = stage(incoming, table_scratch_path(spark, path, "incoming"))
     stored_schema = batch.drop(*helper_columns).schema
 
     if not partition_keys:
@@ -95,7 +97,8 @@ def merge_partitions(
             batch, ensure_table(spark, path, stored_schema), (), primary_keys,
             version, on_tie, incoming_order,
         )
-        write_table(stage(merged.select(*stored_schema.names)), path)
+        place = table_scratch_path(spark, path, "merged")
+        write_table(stage(merged.select(*stored_schema.names), place), path)
         return
 
     touched = batch.select(*partition_keys).distinct()

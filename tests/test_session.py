@@ -5,7 +5,7 @@ from types import SimpleNamespace
 import pytest
 
 from layerwell.errors import ConfigError
-from layerwell.session import require_utc, scratch_path, scratch_root
+from layerwell.session import require_utc, scratch_path, scratch_root, table_scratch_path
 
 
 def session(master, **settings):
@@ -20,6 +20,10 @@ def test_configured_folder_is_used():
     assert scratch_root(cluster) == "hdfs:///shared"
     first, second = scratch_path(cluster, "x"), scratch_path(cluster, "x")
     assert first != second and first.startswith("hdfs:///shared/layerwell/x-")
+    place = table_scratch_path(cluster, "s3a://lake/t", "incoming")
+    assert place.startswith("hdfs:///shared/layerwell/s3a___lake_t-")
+    assert place == table_scratch_path(cluster, "s3a://lake/t", "incoming")
+    assert place != table_scratch_path(cluster, "s3a://lake_t", "incoming")
 
 
 def test_only_local_sessions_fall_back_to_their_own_folder():
