@@ -84,24 +84,29 @@ def running_total(
     order: Sequence[Column | str],
     amount: Column,
     name: str,
+    total: str | None = None,
 ) -> DataFrame:
     """Adds ``name``: the sum of ``amount`` over all rows of the group ``by``
-    before this one, in the order of (``bucket``, ``order``).
+    before this one, in the order of (``bucket``, ``order``); and ``total``, if
+    named: the sum over the whole group. The columns ``by`` must not be null.
 
     Two levels: sums per bucket, summed over the at most ``RANGES`` buckets of a
     group, plus a running sum within each bucket. So a group that holds a third
     of all rows is shared by as many tasks as it has buckets.
     """
     keys = [*by, bucket]
-    totals = df.groupBy(*keys).agg(F.sum(amount).alias("_sum"))
-    over_buckets = (
-        Window.partitionBy(*(by or [F.lit(0)])).orderBy(bucket).rowsBetween(Window.unboundedPreceding, 0)
+    totals = df.groupBy(*keys).agg(F.sum(amount).alias("_rt_sum"))
+    group = Window.partitionBy(*(by or [F.lit(0)]))
+    up_to = group.orderBy(bucket).rowsBetween(Window.unboundedPreceding, 0)
+    before = totals.select(
+        *keys,
+        (F.sum("_rt_sum").over(up_to) - F.col("_rt_sum")).alias("_rt_before"),
+        *([F.sum("_rt_sum").over(group).alias(total)] if total else []),
     )
-    before = totals.select(*keys, (F.sum("_sum").over(over_buckets) - F.col("_sum")).alias("_before"))
     within = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        df.withColumn("_within", F.sum(amount).over(within) - amount)
+        df.withColumn("_rt_within", F.sum(amount).over(within) - amount)
         .join(before, keys)
-        .withColumn(name, F.col("_within") + F.col("_before"))
-        .drop("_within", "_before")
+        .withColumn(name, F.col("_rt_within") + F.col("_rt_before"))
+        .drop("_rt_within", "_rt_before")
     )

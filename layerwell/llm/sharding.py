@@ -50,21 +50,19 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) ->
 
     one = F.lit(1).cast("long")
     ranked = running_total(
-        rows, ["stratum"], "range", ["shuffled", "doc_id", "text_crc32", "size"], one, "rank"
+        rows, ["stratum"], "range", ["shuffled", "doc_id", "text_crc32", "size"], one,
+        "rank", total="rows_of_source",
     )
-    counts = rows.groupBy("stratum").agg(F.count(F.lit(1)).alias("rows_of_source"))
     fraction = (2 * F.col("rank") + 1).cast("double") / (2 * F.col("rows_of_source"))
-    spread = ranked.join(counts, "stratum").withColumn("fraction", fraction)
+    spread = ranked.withColumn("fraction", fraction)
     spread = spread.withColumn("range", F.floor(F.col("fraction") * RANGES))
-    placed = running_total(spread, [], "range", ["fraction", "stratum"], one, "place")
+    placed = running_total(spread, [], "range", ["fraction", "stratum"], one, "place", total="total")
 
-    total = rows.agg(F.count(F.lit(1)).alias("total"))
     shard = F.expr(f"(place * {shards}L) div total")
     # The first place of shard s is ceil(s * total / shards).
     first = F.expr(f"((shard * total) + {shards - 1}L) div {shards}L")
     return (
-        placed.join(F.broadcast(total))
-        .withColumn("shard", shard.cast("long"))
+        placed.withColumn("shard", shard.cast("long"))
         .select(
             "doc_id",
             "size",
