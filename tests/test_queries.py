@@ -7,9 +7,10 @@ import pytest
 
 import __spark_entry__ as entry_points
 import compare
+from layerwell.plans.oracle import ORACLE
+from layerwell.plans.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLE = entry_points.queries(), entry_points.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="test tables are absent")
 
@@ -21,6 +22,8 @@ def connection():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLE) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
