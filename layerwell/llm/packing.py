@@ -204,8 +204,8 @@ def plan_pieces(counts: DataFrame, window: int = WINDOW, grain: int = GRAIN) ->
 
 
 PIECES = (
-    "doc_id long, source string, start long, length long, ids_crc32 long, doc_tokens long,"
-    " sequence_id long, offset long"
+    "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,"
+    " sequence_id long, offset long, source string"
 )
 
 
@@ -213,8 +213,8 @@ def pack_documents(
     docs: DataFrame, window: int = WINDOW, grain: int = GRAIN, path: str = VOCABULARY
 ) -> DataFrame:
     """All documents in sequences of at most ``window`` tokens, one row per piece:
-    doc_id, source, start, length, ids_crc32 (of the ids as little-endian 32-bit
-    numbers), doc_tokens, sequence_id, offset.
+    doc_id, start, length, ids_crc32 (of the ids as little-endian 32-bit
+    numbers), doc_tokens, sequence_id, offset, source.
 
     A null or empty text is a document of the end id alone. A null source is a
     queue of its own. Repeated rows are packed as often as they occur. An empty
@@ -237,8 +237,8 @@ def pack_documents(
                 for p in pieces:
                     own = wide[p["start"] : p["start"] + p["length"]]
                     rows.append((
-                        doc_id, source, p["start"], p["length"], zlib.crc32(own.tobytes()), n,
-                        p["sequence_id"], p["offset"],
+                        doc_id, p["start"], p["length"], zlib.crc32(own.tobytes()), n,
+                        p["sequence_id"], p["offset"], source,
                     ))
             types = [pa.string() if c == "source" else pa.int64() for c in names]
             yield batch_of(names, list(zip(*rows)) or [[]] * 8, types)
