@@ -68,7 +68,7 @@ def gram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
     return out * np.uint64(0xBF58476D1CE4E5B9)
 
 
-def document_key(df: DataFrame) -> list[Column]:
+def document_key() -> list[Column]:
     """Two columns that tell documents apart: the id, and a hash of the text for
     ids that occur more than once. Rows equal in both are the same document."""
     return [

@@ -78,7 +78,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         )
 
     rows = columns(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    keyed = rows.select("doc_id", "text", *document_key(rows))
+    keyed = rows.select("doc_id", "text", *document_key())
     return mapped(keyed, step, "doc_id long, did long, th long, fp long")
 
 
@@ -198,7 +198,7 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
         .groupBy("group").agg(F.min(F.struct("did", "th")).alias("first"))
         .select(F.col("first.did").alias("_did"), F.col("first.th").alias("_th"))
     )
-    did, th = document_key(docs)
+    did, th = document_key()
     keyed = docs.withColumns({"_did": did, "_th": th})
     same = Window.partitionBy("_did", "_th").orderBy(F.lit(0))
     return (
