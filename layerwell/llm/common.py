@@ -16,6 +16,9 @@ WHITE_SPACE = " \t\n\x0b\x0c\r"
 # row per range and group; the rows of one range are summed by one task.
 RANGES = 4096
 
+# Size of the Arrow batches that Python workers get, at most (or one row).
+BATCH_BYTES = "8m"
+
 # A null doc_id is ordered before all others.
 NO_ID = -(2**63)
 
@@ -39,6 +42,13 @@ def batch_of(names: Sequence[str], arrays: Sequence, types: Sequence[pa.DataType
     return pa.RecordBatch.from_arrays(made, list(names))
 
 
+def in_batches(df: DataFrame, run: Callable[[Iterator], Iterator], schema) -> DataFrame:
+    """``mapInArrow`` with batches bounded by bytes, not by rows alone: a batch of
+    long texts must fit into a Python worker several times over."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return df.mapInArrow(run, schema)
+
+
 def mapped(df: DataFrame, step: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """Apply ``step`` to every Arrow batch; ``None`` means no rows."""
 
@@ -47,7 +57,7 @@ def mapped(df: DataFrame, step: Callable[[pa.RecordBatch], pa.RecordBatch | None
             if batch.num_rows and (made := step(batch)) is not None:
                 yield made
 
-    return df.mapInArrow(run, schema)
+    return in_batches(df, run, schema)
 
 
 def word_hashes(words: Sequence[bytes]) -> np.ndarray:

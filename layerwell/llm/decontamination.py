@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from layerwell.llm.common import batch_of, columns, gram_hashes, running_total
+from layerwell.llm.common import batch_of, columns, gram_hashes, in_batches, running_total
 from layerwell.sinks.parquet import stage
 
 MIN_MATCH = 5  # tokens of the shortest tile
@@ -201,7 +201,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
     out = spark.createDataFrame([], schema)
     for items in blocks(benchmark):
         shared = spark.sparkContext.broadcast(Block(items))
-        found = rows.mapInArrow(_reporter(shared, coverage), schema)
+        found = in_batches(rows, _reporter(shared, coverage), schema)
         out = out.unionByName(stage(found))
         shared.unpersist()
     return out
@@ -231,7 +231,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
         if pending is not None:
             pending.unpersist()
         pending = spark.sparkContext.broadcast(Block(items))
-        docs = docs.mapInArrow(_keeper(pending, text_at, coverage), docs.schema)
+        docs = in_batches(docs, _keeper(pending, text_at, coverage), docs.schema)
     return docs
 
 

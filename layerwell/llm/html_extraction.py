@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from layerwell.llm.common import batch_of, columns
+from layerwell.llm.common import batch_of, columns, in_batches
 from layerwell.llm.labelled_pages import labelled_pages
 
 LABELLED_PAGES = 400  # generated pages that the model is fitted on
@@ -315,4 +315,4 @@ def extract_text(pages: DataFrame, model: Model | None = None) -> DataFrame:
             )
 
     rows = columns(pages, "page_id", "url", "html").withColumn("page_id", F.col("page_id").cast("long"))
-    return rows.mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return in_batches(rows, run, "page_id long, url string, text string, n_chars long")

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from layerwell.llm.common import batch_of, columns, gram_hashes, running_total, word_hashes
+from layerwell.llm.common import batch_of, columns, gram_hashes, in_batches, running_total, word_hashes
 from layerwell.sinks.parquet import stage
 
 BUCKETS = 10_000
@@ -56,7 +56,7 @@ def log_ratios(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> np
         seen = np.flatnonzero(raw)
         yield batch_of(["bucket", "raw", "target"], [seen, raw[seen], target[seen]], [pa.int64()] * 3)
 
-    counted = flagged.select("text", "_good").mapInArrow(count, "bucket long, raw long, target long")
+    counted = in_batches(flagged.select("text", "_good"), count, "bucket long, raw long, target long")
     rows = counted.groupBy("bucket").agg(F.sum("raw"), F.sum("target")).collect()
     raw, target = np.zeros(buckets), np.zeros(buckets)
     for bucket, r, t in rows:
@@ -90,7 +90,7 @@ def weigh_documents(docs: DataFrame, labels: DataFrame, seed: int = SEED) -> Dat
         "text",
         F.xxhash64(F.lit(seed), F.col("doc_id").cast("long"), F.crc32(F.col("text").cast("binary"))).alias("noise"),
     )
-    scored = rows.mapInArrow(run, "doc_id long, noise long, n_features long, log_weight double")
+    scored = in_batches(rows, run, "doc_id long, noise long, n_features long, log_weight double")
     # 52 bits of the hash, moved off the ends of (0, 1).
     uniform = (F.shiftrightunsigned("noise", 12).cast("double") + 0.5) / float(2**52)
     return scored.withColumn("sample_key", F.col("log_weight") - F.log(-F.log(uniform)))

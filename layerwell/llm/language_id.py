@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from layerwell.llm.common import batch_of, columns
+from layerwell.llm.common import batch_of, columns, in_batches
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -155,7 +155,7 @@ def fit(docs: DataFrame, per_language: int = TRAIN_DOCS) -> Network:
 
     # Bounded: per_language ids for each language there is.
     texts = columns(docs, "doc_id", "text", "lang").where("lang is not null").join(F.broadcast(chosen), "doc_id")
-    sample = texts.select(F.col("doc_id").cast("long"), "text", "lang").mapInArrow(spread, "doc_id long, lang string, bytes binary")
+    sample = in_batches(texts.select(F.col("doc_id").cast("long"), "text", "lang"), spread, "doc_id long, lang string, bytes binary")
     rows = sorted(tuple(r) for r in sample.distinct().collect())
     languages = sorted({lang for _, lang, _ in rows})
     numbers = {lang: i for i, lang in enumerate(languages)}
@@ -187,4 +187,4 @@ def identify(docs: DataFrame, network: Network | None = None) -> DataFrame:
     rows = columns(docs, "doc_id", "text").select(
         F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), "text"
     )
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    return in_batches(rows, run, "doc_id long, held_out boolean, lang_pred string, score double")

@@ -23,7 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from layerwell.llm.common import batch_of, columns, document_key, mapped
+from layerwell.llm.common import batch_of, columns, document_key, in_batches, mapped
 from layerwell.llm.components import connected_components
 from layerwell.sinks.parquet import stage
 
@@ -110,7 +110,7 @@ def near_links(prints: DataFrame) -> DataFrame:
     )
     keys = ["t", "key", "u", "sub"]
     grouped = spread.repartition(*keys).sortWithinPartitions(*keys)
-    return grouped.mapInArrow(_bucket_links, "a long, b long").distinct()
+    return in_batches(grouped, _bucket_links, "a long, b long").distinct()
 
 
 def _bucket_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-from layerwell.llm.common import RANGES, batch_of, columns, running_total
+from layerwell.llm.common import RANGES, batch_of, columns, in_batches, running_total
 from layerwell.sinks.parquet import stage
 
 WINDOW = 4096
@@ -40,7 +40,7 @@ GRAIN = 256
 END_ID = 2  # follows each document
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 _CACHED_WORDS = 1_000_000
-_CHUNK = 8_000_000  # characters encoded at once
+_CHUNK = 4_000_000  # characters encoded at once
 
 # Texts of these characters need no normalising but lower case: ASCII without
 # separators 1C to 1F, and composed Latin letters and common marks.
@@ -74,7 +74,7 @@ class Encoder:
 
     def _forget(self) -> None:
         """Start over with the empty word, which has no ids."""
-        self.known = {"": 0}
+        self.known = pa.array([""], pa.large_string())
         self.ids = np.empty(0, self.type)
         self.first, self.size = np.zeros(1, np.int64), np.zeros(1, np.int64)
 
@@ -87,7 +87,7 @@ class Encoder:
         lower = [t.lower() if t and is_plain else "" for t, is_plain in zip(texts, plain)]
         split = pc.utf8_split_whitespace(pa.array(lower, pa.large_string()))
         words = split.flatten().dictionary_encode()
-        number = self._numbers(words.dictionary.to_numpy(zero_copy_only=False).tolist())[words.indices.to_numpy()]
+        number = self._numbers(words.dictionary)[words.indices.to_numpy()]
         size = self.size[number]
         end = np.concatenate([[0], np.cumsum(size)])
         at = np.repeat(self.first[number] - end[:-1], size) + np.arange(end[-1])
@@ -98,22 +98,27 @@ class Encoder:
             for t, is_plain, a, b in zip(texts, plain, bounds, bounds[1:])
         ]
 
-    def _numbers(self, words: list[str]) -> np.ndarray:
+    def _numbers(self, words: pa.LargeStringArray) -> np.ndarray:
         """Numbers of the words, after encoding those not known."""
         if len(self.known) > _CACHED_WORDS:
             self._forget()
-        new = [w for w in words if w not in self.known]
+        found = pc.index_in(words, value_set=self.known)
+        missing = found.is_null()
+        fresh = words.filter(missing)
+        new = fresh.to_numpy(zero_copy_only=False).tolist()
+        number = found.fill_null(-1).to_numpy().astype(np.int64)
+        number[missing.to_numpy(zero_copy_only=False)] = np.arange(len(new)) + len(self.known)
         if new:
             pieces = [[w] if w.isalpha() else _PIECES.findall(w) for w in new]
             text = " ".join(p for own in pieces for p in own)
             ids = np.array(self.merger.encode_batch_fast([text], add_special_tokens=False)[0].ids)
             after = np.concatenate([[0], np.flatnonzero(self.ends[ids]) + 1])  # ends of pieces
             bounds = after[np.cumsum([0, *map(len, pieces)])]
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+            self.known = pa.concat_arrays([self.known, fresh])
             self.first = np.concatenate([self.first, bounds[:-1] + len(self.ids)])
             self.size = np.concatenate([self.size, np.diff(bounds)])
             self.ids = np.concatenate([self.ids, ids.astype(self.type)])
-        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        return number
 
 
 def _chunks(texts: Sequence[str | None]) -> Iterator[Sequence[str | None]]:
@@ -152,7 +157,7 @@ def token_table(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
     rows = columns(docs, "doc_id", "text", "source").select(
         F.col("doc_id").cast("long").alias("doc_id"), "source", F.xxhash64("text").alias("th"), "text"
     )
-    made = rows.mapInArrow(run, "doc_id long, source string, th long, n long, ids binary")
+    made = in_batches(rows, run, "doc_id long, source string, th long, n long, ids binary")
     return stage(made.withColumn("key", F.monotonically_increasing_id()))
 
 
@@ -244,4 +249,4 @@ def pack_documents(
             yield batch_of(names, list(zip(*rows)) or [[]] * 8, types)
 
     joined = table.select("key", "doc_id", "source", "n", "ids").join(of_document, "key")
-    return joined.select("doc_id", "source", "n", "ids", "pieces").mapInArrow(cut, PIECES)
+    return in_batches(joined.select("doc_id", "source", "n", "ids", "pieces"), cut, PIECES)

@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import Column, DataFrame, functions as F
 from tokenizers import Tokenizer
 
-from layerwell.llm.common import batch_of, columns
+from layerwell.llm.common import batch_of, columns, in_batches
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 SEGMENT = 64  # characters from which a segment is closed
@@ -232,7 +232,7 @@ def build_trees(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
             )
 
     rows = columns(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    return rows.mapInArrow(run, f"doc_id long, text string, tree {TREE}, n_tokens long")
+    return in_batches(rows, run, f"doc_id long, text string, tree {TREE}, n_tokens long")
 
 
 def edit_trees(trees: DataFrame, path: str = VOCABULARY) -> DataFrame:
@@ -260,7 +260,8 @@ def edit_trees(trees: DataFrame, path: str = VOCABULARY) -> DataFrame:
                 [pa.int64(), pa.string(), _TREE_TYPE, *[pa.int64()] * 4],
             )
 
-    return trees.select("doc_id", "text", "tree", "n_tokens", "edits").mapInArrow(
+    return in_batches(
+        trees.select("doc_id", "text", "tree", "n_tokens", "edits"),
         run,
         f"doc_id long, text string, tree {TREE}, n_tokens long, tokens_before long, n_edits long, encoded_chars long",
     )
@@ -293,7 +294,7 @@ def with_clean_up_edits(trees: DataFrame) -> DataFrame:
             yield batch_of([*batch.schema.names, "edits"], [*batch.columns, found], [None] * batch.num_columns + [kind])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in trees.schema.fields)
-    return trees.mapInArrow(run, schema + ", edits array<struct<start: int, end: int, replacement: string>>")
+    return in_batches(trees, run, schema + ", edits array<struct<start: int, end: int, replacement: string>>")
 
 
 def count_after_clean_up(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
