@@ -55,8 +55,10 @@ def keep_latest(
 
 def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     condition = F.lit(True)
-    for column in _cols(keys):
+    for key, column in zip(keys, _cols(keys)):
         condition = condition & column.isNotNull()
+        if isinstance(df.schema[key].dataType, (T.FloatType, T.DoubleType)):
+            condition = condition & ~F.isnan(column)
     return df.where(condition)
 
 

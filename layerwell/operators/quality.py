@@ -310,15 +310,17 @@ def missing_members(df: DataFrame, expected: DataFrame, keys: Sequence[str]) ->
     return anti(expected.select(*keys).distinct(), df, keys)
 
 
-def completeness(missing: DataFrame, name: str, column: str, severity: str = WARNING) -> DataFrame:
-    """Result row for a table of missing days or members."""
+def completeness(
+    missing: DataFrame, name: str, column: str, severity: str = WARNING, expected: int | None = None
+) -> DataFrame:
+    """Result row for a table of missing days or members, of ``expected`` ones."""
     gaps = F.count(F.lit(1))
     return missing.agg(
         F.lit(name).alias("check"),
         F.lit(column).alias("column"),
         F.lit(severity).alias("severity"),
         gaps.alias("failing"),
-        gaps.alias("total"),
+        F.lit(expected).cast("bigint").alias("total"),
         (gaps == 0).alias("passed"),
         F.lit(None).cast("string").alias("detail"),
     )

@@ -258,7 +258,8 @@ ORACLE: dict[str, str] = {
     "dq_completeness": MISSING_ORDERS,
     "dq_completeness_result": f"""
   SELECT 'completeness' AS "check", 'order_key' AS "column", 'warning' AS severity,
-         count(*) AS failing, count(*) AS total, count(*) = 0 AS passed
+         count(*) AS failing, (SELECT count(DISTINCT o_orderkey) FROM orders) AS total,
+         count(*) = 0 AS passed
   FROM ({MISSING_ORDERS})""",
     "dq_schema": " UNION ALL ".join(
         [

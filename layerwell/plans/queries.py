@@ -278,9 +278,10 @@ def append_incremental(spark, sf_dir):
     root = scratch_path(spark, "append")
     items = table(spark, sf_dir, "lineitem").withColumn("l_shipdate", F.to_date("l_shipdate"))
     landing, target = f"{root}/landing", f"{root}/table"
-    for status in ("F", "O", None):
-        if status:
-            items.where(F.col("l_linestatus") == status).write.mode("append").parquet(landing)
+    first = F.coalesce(F.col("l_linestatus") == "F", F.lit(False))
+    for delivery in (first, ~first, None):
+        if delivery is not None:
+            items.where(delivery).write.mode("append").parquet(landing)
         stream_upsert(
             spark.readStream.schema(items.schema).parquet(landing),
             target,
@@ -597,7 +598,8 @@ def dq_completeness_result(spark, sf_dir):
     expected = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("order_key"))
     items = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("order_key"))
     missing = dq.missing_members(items, expected, ["order_key"])
-    return dq.completeness(missing, "completeness", "order_key").drop("detail")
+    orders = expected.distinct().count()
+    return dq.completeness(missing, "completeness", "order_key", expected=orders).drop("detail")
 
 
 @query("dq_schema")

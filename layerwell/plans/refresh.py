@@ -76,6 +76,7 @@ log = logging.getLogger(__name__)
 
 # Files whose paths the driver names in one read. Larger backlogs are worked
 # off in rounds, each of which is complete and recorded.
+FILE_ORDER = "__file_order"
 FILES_PER_ROUND = 20_000
 
 
@@ -345,14 +346,15 @@ def _refresh_silver_batch(
 
     path = run.lake.silver(spec.name)
     if mode == "append":
+        incoming, file_order = _with_file_order(staged, files)
         merge_partitions(
-            staged,
+            incoming,
             path,
             spec.partition_keys,
             spec.primary_keys,
             spec.record_timestamp,
-            incoming_order=[F.col(c) for c in (BRONZE_INGESTED_AT, *BATCH_HELPERS)],
-            helper_columns=BATCH_HELPERS,
+            incoming_order=[F.col(c) for c in (*file_order, BRONZE_INGESTED_AT, *BATCH_HELPERS)],
+            helper_columns=(*file_order, *BATCH_HELPERS),
             staged=True,
         )
     elif mode == "overwrite" and spec.partition_keys:
@@ -363,6 +365,18 @@ def _refresh_silver_batch(
     return Outcome(0, _audit_files(run, "silver", spec.name, files, partitions), rows)
 
 
+def _with_file_order(batch: DataFrame, files: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Adds when the file of each row was modified, so that a tie goes to the
+    older file within a round as it does between rounds. A stream does not know
+    the times; it takes files in the order of their arrival."""
+    if "modified_at" not in files.columns:
+        return batch, []
+    times = files.select(
+        F.substring_index("path", "/", -1).alias(SOURCE_FILE), F.struct("modified_at", "path").alias(FILE_ORDER)
+    ).groupBy(SOURCE_FILE).agg(F.min(FILE_ORDER).alias(FILE_ORDER))
+    return batch.join(times, SOURCE_FILE, "left"), [FILE_ORDER]
+
+
 def merge_bronze_batch(run: Run, table: str, bronze: DataFrame) -> int:
     """Merge one batch of bronze rows into a silver table, as a stream does."""
     spec = _declared(run.config.silver, table, "silver")

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from layerwell.errors import DataQualityError
 from layerwell.operators.dedup import keep_latest
 from layerwell.operators.selection import semi
 from layerwell.session import scratch_path, table_scratch_path
@@ -81,7 +82,8 @@ def merge_partitions(
     Without a version column ``on_tie`` alone decides. ``helper_columns`` serve
     the ordering and are not stored.
 
-    Keys are compared within a partition: the same key may live in another one.
+    Columns that only the table or only the batch has are kept, null where a row
+    lacks them. Keys are compared within a partition: the same key may live in another one.
     Running the same merge again changes nothing.
     """
     if on_tie not in ("existing", "incoming"):
@@ -93,19 +95,20 @@ def merge_partitions(
     stored_schema = batch.drop(*helper_columns).schema
 
     if not partition_keys:
+        existing = _stored(spark, path, stored_schema, ())
         merged = _merged(
-            batch, ensure_table(spark, path, stored_schema), (), primary_keys,
-            version, on_tie, incoming_order,
+            batch, existing, (), primary_keys, version, on_tie, incoming_order
         )
         place = table_scratch_path(spark, path, "merged")
-        write_table(stage(merged.select(*stored_schema.names), place), path)
+        write_table(stage(merged.select(*_united(existing.schema, stored_schema)), place), path)
         return
 
     touched = batch.select(*partition_keys).distinct()
     listed = touched.limit(MAX_LISTED_PARTITIONS + 1).collect()
     if not listed:
         return
-    existing = ensure_table(spark, path, stored_schema, partition_keys)
+    existing = _stored(spark, path, stored_schema, partition_keys)
+    columns = _united(existing.schema, stored_schema)
     if len(listed) <= MAX_LISTED_PARTITIONS:
         existing = existing.where(_any_of(listed, partition_keys))
         touched = F.broadcast(touched)
@@ -115,7 +118,34 @@ def merge_partitions(
     merged = _merged(
         batch, existing, partition_keys, primary_keys, version, on_tie, incoming_order
     )
-    write_partitions(merged.select(*stored_schema.names), path, partition_keys)
+    write_partitions(merged.select(*columns), path, partition_keys)
+
+
+def _stored(
+    spark: SparkSession, path: str, incoming: T.StructType, partition_keys: Sequence[str]
+) -> DataFrame:
+    """The table with all columns that its files have, whatever the incoming
+    rows have. A column of another type than the incoming one is an error."""
+    ensure_table(spark, path, incoming, partition_keys)
+    # An empty table has no files of its own columns yet.
+    found = spark.read.option("mergeSchema", True).schema(incoming).parquet(path)
+    if not found.isEmpty():
+        found = spark.read.option("mergeSchema", True).parquet(path)
+    fields = []
+    for field in found.schema.fields:
+        new = incoming[field.name] if field.name in incoming.names else field
+        if new.dataType != field.dataType and field.name not in partition_keys:
+            raise DataQualityError(
+                f"column {field.name} of {path} is {field.dataType.simpleString()},"
+                f" the incoming one {new.dataType.simpleString()}"
+            )
+        fields.append(T.StructField(field.name, new.dataType))
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
+def _united(stored: T.StructType, incoming: T.StructType) -> list[str]:
+    """Stored columns, then those that are new."""
+    return [*stored.names, *(n for n in incoming.names if n not in stored.names)]
 
 
 def _merged(

@@ -27,6 +27,9 @@ READER_PARAMETERS = (
 )
 
 
+SURPLUS = "__surplus"
+
+
 def read_delimited(
     spark: SparkSession,
     paths: Sequence[str],
@@ -45,10 +48,12 @@ def read_delimited(
 
     source = spark.read.options(**csv_options(reader)).option("header", has_header)
     if names:
-        source = source.schema(text_schema(names))
+        source = source.schema(text_schema(names, surplus=True))
     else:
         source = source.option("enforceSchema", False)
     rows = source.csv(list(paths))
+    if names:
+        rows = without_surplus(rows, F.col(SURPLUS)).drop(SURPLUS)
     position = F.struct(
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
@@ -97,10 +102,11 @@ def parse_zipped_delimited(
         lines = lines.where(F.col("line_no") > 0)
     if reader.get("spread"):
         lines = lines.hint("rebalance", "path")
-    parsed = F.from_csv("line", text_schema(names).toDDL(), csv_options(reader))
+    parsed = F.from_csv("line", text_schema(names, surplus=True).toDDL(), csv_options(reader))
     rows = lines.where(F.length("line") > 0).select(
         parsed.alias("fields"), "path", "line_no"
     )
+    rows = without_surplus(rows, F.col(f"fields.{SURPLUS}"))
     return rows.select(
         *nulls_for_blanks(names, reader, prefix="fields."),
         F.substring_index("path", "/", -1).alias(SOURCE_FILE),
@@ -110,8 +116,17 @@ def parse_zipped_delimited(
     )
 
 
-def text_schema(names: Sequence[str]) -> T.StructType:
-    return T.StructType([T.StructField(name, T.StringType()) for name in names])
+def text_schema(names: Sequence[str], surplus: bool = False) -> T.StructType:
+    """Text columns; with ``surplus``, one more for a field behind the last."""
+    own = [*names, *([SURPLUS] if surplus else [])]
+    return T.StructType([T.StructField(name, T.StringType()) for name in own])
+
+
+def without_surplus(rows: DataFrame, surplus: Column) -> DataFrame:
+    """The rows; one with more fields than there are names stops the job, as its
+    last fields would be lost."""
+    message = F.concat(F.lit("a line has more fields than names; the first of them is "), surplus)
+    return rows.where(F.when(surplus.isNull(), True).otherwise(F.raise_error(message).cast("boolean")))
 
 
 def csv_options(reader: Mapping[str, Any]) -> dict[str, str]:

@@ -22,9 +22,10 @@ def read_table(
     columns: Sequence[str] | None = None,
     where: Column | None = None,
 ) -> DataFrame:
-    """A Parquet table, optionally only some columns and rows."""
+    """A Parquet table, optionally only some columns and rows. Files whose
+    columns differ are united by name."""
     try:
-        df = spark.read.parquet(path)
+        df = spark.read.option("mergeSchema", True).parquet(path)
     except AnalysisException as problem:
         if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
@@ -41,7 +42,7 @@ def read_partitions(
     table of very many partitions need not be listed to find a few of them."""
     folders = [f"{path}/{partition_folder(key, value)}" for value in values]
     try:
-        return spark.read.option("basePath", path).parquet(*folders)
+        return spark.read.options(basePath=path, mergeSchema=True).parquet(*folders)
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise

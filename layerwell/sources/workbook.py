@@ -106,6 +106,8 @@ def _workbook_batches(path, content, sheet, header, zipped, header_only):
         pending: list[list[str | None]] = []
         first = 0
         for row in rows:
+            if any(cell is not None for cell in row[len(names) :]):
+                raise ValueError(f"{path} has cells beyond its header of {len(names)} columns")
             if any(cell is not None for cell in row):
                 pending.append((row + [None] * len(names))[: len(names)])
             if len(pending) == ROWS_PER_BATCH:

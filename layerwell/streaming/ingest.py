@@ -19,9 +19,9 @@ from layerwell.operators.lineage import SOURCE_FILE, SOURCE_KEY, SOURCE_POSITION
 from layerwell.plans.layers import with_bronze_lineage
 from layerwell.plans.refresh import FILE_SCHEMA, Run, merge_bronze_batch, write_bronze
 from layerwell.sinks.parquet import merge_partitions
-from layerwell.sources.delimited import csv_options, nulls_for_blanks, text_schema
-from layerwell.sources.listing import own_file_name, own_file_path, source_key
-from layerwell.sources.manifest import record_files
+from layerwell.sources.delimited import SURPLUS, csv_options, nulls_for_blanks, text_schema, without_surplus
+from layerwell.sources.listing import key_collisions, own_file_name, own_file_path, source_key
+from layerwell.sources.manifest import load_manifest, record_files
 from layerwell.spec import SourceSpec
 
 FILE = "__file"
@@ -62,13 +62,13 @@ def stream_delimited(
     if source.file_type != "csv" or source.compression == "zip" or not names:
         raise ConfigError(f"source {source.name}: only named text columns can be streamed")
     rows = (
-        spark.readStream.schema(text_schema(names))
+        spark.readStream.schema(text_schema(names, surplus=True))
         .options(**csv_options(source.reader))
         .option("header", source.reader.get("header") is not None)
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(folder)
     )
-    return rows.select(
+    return without_surplus(rows, F.col(SURPLUS)).select(
         *nulls_for_blanks(names, source.reader),
         own_file_name().alias(SOURCE_FILE),
         F.col("_metadata.file_block_start").alias("__block"),
@@ -90,6 +90,7 @@ def stream_bronze(run: Run, table: str, checkpoint: str) -> StreamingQuery:
         position = F.struct(
             F.col("__block").alias("block"), F.monotonically_increasing_id().alias("row")
         )
+        _refuse_shared_keys(batch, load_manifest(run.spark, run.lake.manifest("bronze", table)))
         # A batch holds a bounded number of files, so their set is small.
         files = Observation()
         rows = (
@@ -112,6 +113,17 @@ def stream_bronze(run: Run, table: str, checkpoint: str) -> StreamingQuery:
     return run_available(stream.writeStream.foreachBatch(write), checkpoint)
 
 
+def _refuse_shared_keys(batch: DataFrame, known: DataFrame) -> None:
+    """A key names a bronze partition: a second file with it would replace the
+    rows of the first, in this batch or in an earlier one."""
+    files = batch.select(f"{FILE}.path", f"{FILE}.source_key").distinct()
+    clash = key_collisions(files.unionByName(known.select("path", "source_key"))).join(
+        files.select("source_key"), "source_key", "left_semi"
+    ).first()
+    if clash:
+        raise ConfigError(f"several landing files share the key {clash['source_key']!r}")
+
+
 def stream_silver(
     run: Run,
     table: str,

@@ -1,0 +1,105 @@
+"""Rows, columns and cells that differ from what is stored are never lost silently."""
+
+import os
+from datetime import datetime, timezone
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+import test_refresh as feeds
+from layerwell.errors import ConfigError, DataQualityError
+from layerwell.operators.dedup import keep_latest
+from layerwell.operators.quality import collect_results, completeness
+from layerwell.plans import refresh
+from layerwell.plans.packing import workbook_bytes, zip_bytes
+from layerwell.plans.queries import BUILDERS, LAYERED_CONFIG, TRANSFORMS
+from layerwell.plans.refresh import Lake, Run, refresh_bronze, refresh_silver
+from layerwell.sinks.parquet import merge_partitions
+from layerwell.sources.delimited import read_delimited, read_zipped_delimited
+from layerwell.sources.tables import read_partitions, read_table
+from layerwell.sources.workbook import read_workbooks
+from layerwell.streaming.ingest import stream_bronze
+from test_refresh import lake  # noqa: F401
+
+NAMES = {"names": ["a", "b"], "header": None}
+
+
+def rows(df, *names):
+    return sorted((tuple(r) for r in df.select(*names).collect()), key=str)
+
+
+@pytest.mark.parametrize("keys", [["zone"], []])
+def test_merges_keep_the_columns_of_both_sides(spark, tmp_path, keys):
+    path = str(tmp_path / "t")
+    merge_partitions(spark.createDataFrame([(1, "n", 5), (2, "s", 6)], "id long, zone string, old long"), path, keys, ["id"], None)
+    batch = spark.createDataFrame([(3, "n", "x")], "id long, zone string, new string")
+    merge_partitions(batch, path, keys, ["id"], None)
+    want = [(1, "n", 5, None), (2, "s", 6, None), (3, "n", None, "x")]
+    assert rows(read_table(spark, path), "id", "zone", "old", "new") == want
+    with pytest.raises(DataQualityError, match="old"):
+        merge_partitions(spark.createDataFrame([(1, "n", "5")], "id long, zone string, old string"), path, keys, ["id"], None)
+    assert rows(read_table(spark, path), "id", "zone", "old", "new") == want
+
+
+def test_reads_unite_columns(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, "n")], "a long, zone string").write.partitionBy("zone").parquet(path)
+    spark.createDataFrame([(2, "x", "s")], "a long, c string, zone string").write.mode("append").partitionBy("zone").parquet(path)
+    want = [(1, None, "n"), (2, "x", "s")]
+    assert rows(read_table(spark, path), "a", "c", "zone") == want
+    assert rows(read_partitions(spark, path, "zone", ["n", "s"]), "a", "c", "zone") == want
+
+
+def test_surplus_fields_stop_the_job(spark, tmp_path):
+    (tmp_path / "good.csv").write_text("1,2\n3\n5,6,\n")
+    assert rows(read_delimited(spark, [str(tmp_path / "good.csv")], NAMES), "a", "b") == [("1", "2"), ("3", None), ("5", "6")]
+    (tmp_path / "bad.csv").write_text("1,2\n1,2,3,4\n")
+    (tmp_path / "bad.zip").write_bytes(zip_bytes({"bad.csv": "1,2\n1,2,3,4\n"}))
+    for read, name in ((read_delimited, "bad.csv"), (read_zipped_delimited, "bad.zip")):
+        with pytest.raises(PySparkException, match="more fields than names"):
+            read(spark, [str(tmp_path / name)], NAMES).collect()
+
+
+def test_cells_beyond_the_header_stop_the_job(spark, tmp_path):
+    (tmp_path / "a.xlsx").write_bytes(workbook_bytes([["x", "y"], [1, 2, 3]]))
+    with pytest.raises(PySparkException, match="beyond its header"):
+        read_workbooks(spark, [str(tmp_path)], {"sheet_name": 0, "header": 0}).collect()
+
+
+def test_streams_refuse_a_second_file_with_the_same_key(spark, tmp_path):
+    run = Run(spark, LAYERED_CONFIG, Lake(str(tmp_path)), TRANSFORMS, BUILDERS, "r1", datetime(2024, 2, 1, tzinfo=timezone.utc))
+    landing = tmp_path / "landing" / "feed"
+    (landing / "x").mkdir(parents=True)
+    (landing / "d.csv").write_text("7\t20240102\tx\t1.5\t1\t1\n")
+    stream_bronze(run, "feed", str(tmp_path / "cp"))
+    (landing / "d.txt").write_text("8\t20240102\ty\t1.5\t1\t1\n")
+    known = run.manifest("bronze", "feed").select("source_key").distinct().collect()
+    from layerwell.streaming.ingest import FILE, _refuse_shared_keys
+
+    second = spark.createDataFrame([(("other/" + known[0][0], known[0][0]),)], f"{FILE} struct<path: string, source_key: string>")
+    with pytest.raises(ConfigError, match="share the key"):
+        _refuse_shared_keys(second, run.manifest("bronze", "feed"))
+    assert read_table(spark, run.lake.bronze("feed")).count() >= 1
+
+
+@pytest.mark.parametrize("limit", [1, 2, 20_000])
+def test_ties_go_to_the_older_file_whatever_the_round_size(spark, lake, monkeypatch, limit):  # noqa: F811
+    monkeypatch.setattr(refresh, "FILES_PER_ROUND", limit)
+    for number, name in enumerate(("20260109", "20260103", "20260101")):  # oldest file has the last name
+        feeds.land_feed(lake, name, (1, "20260105", f"from {name}", 1, 1, 1))
+        (file,) = [p for p in (lake / "landing" / "feed").iterdir() if name in p.name]
+        os.utime(file, (1_000_000 + number, 1_000_000 + number))
+    run = feeds.make_run(spark, lake)
+    refresh_bronze(run, "feed"), refresh_silver(run, "feed")
+    assert [a for _, _, a in feeds.silver_feed(spark, lake)] == ["from 20260109"]
+
+
+def test_nan_is_no_key(spark):
+    df = spark.createDataFrame([(float("nan"), 1), (1.0, 2), (None, 3)], "k double, v int")
+    assert rows(keep_latest(df.withColumn("at", F.current_timestamp()), ["k"], "at"), "v") == [(2,)]
+
+
+def test_completeness_counts_what_was_expected(spark):
+    (result,) = collect_results(completeness(spark.createDataFrame([(1,)], "day int"), "days", "day", expected=31))
+    assert (result.failing, result.total, result.passed) == (1, 31, False)
