@@ -13,6 +13,7 @@ Leaves travel as two arrays beside the text, so later edits start from them.
 
 from __future__ import annotations
 
+import os
 import re
 from bisect import bisect_left
 from collections.abc import Iterator, Sequence
@@ -22,7 +23,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
 from layerwell.llm.common import batch_of, columns, in_batches
@@ -30,7 +31,7 @@ from layerwell.llm.common import batch_of, columns, in_batches
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 SEGMENT = 64  # characters from which a segment is closed
 LOOK_AHEAD = 2  # characters behind its end that a pre-token may depend on
-_CACHED = 300_000
+_CACHED = 500_000
 
 # Edits that a clean-up of web text makes, as (pattern, replacement): addresses
 # and long numbers are masked, licence lines and runs of marks are removed.
@@ -48,6 +49,8 @@ class Counter:
     """Tokens of pre-tokens. Each is encoded by itself, so counts are kept."""
 
     def __init__(self, path: str):
+        # Batches are small, and Spark runs a task on every core already.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.split = regex.compile(public_tokenizers.PATTERN)
@@ -304,6 +307,27 @@ def count_after_clean_up(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
     A null or empty text has no tokens and no edits. Rows may repeat; an empty
     table gives no rows; columns other than doc_id and text are ignored.
     """
-    edited = edit_trees(with_clean_up_edits(build_trees(docs, path)), path)
-    length: Column = F.length(F.coalesce(F.col("text"), F.lit(""))).cast("long")
-    return edited.select("doc_id", "tokens_before", "n_edits", "n_tokens", length.alias("n_chars"), "encoded_chars")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = counter(path)
+        names = ["tokens_before", "n_edits", "n_tokens", "n_chars", "encoded_chars"]
+        for batch in batches:
+            rows = []
+            for text in batch.column("text").to_pylist():
+                text = text or ""
+                chars, tokens = own.build(text)
+                edits = merged_edits(clean_up_edits(text), len(text))
+                made, _, _, total, encoded = apply_edits(text, chars, tokens, edits, own)
+                rows.append((sum(tokens), len(edits), total, len(made), encoded))
+            yield batch_of(
+                ["doc_id", *names],
+                [batch.column("doc_id"), *(list(c) for c in zip(*rows))] if rows else [[]] * 6,
+                [pa.int64()] * 6,
+            )
+
+    # Built and edited in one pass: the trees need not leave the task here.
+    rows = columns(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
+    return in_batches(
+        rows, run,
+        "doc_id long, tokens_before long, n_edits long, n_tokens long, n_chars long, encoded_chars long",
+    )
