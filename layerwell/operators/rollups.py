@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -21,14 +21,15 @@ def rollup(df: DataFrame, period: Column, name: str, metrics: Sequence[Column])
 
 
 def event_metrics(
-    event_id: str = "event_id",
-    tone: str = "avg_tone",
-    mentions: str = "num_mentions",
-    articles: str = "num_articles",
+    key: str,
+    means: Mapping[str, str],
+    sums: Mapping[str, str],
+    count_as: str = "total_events",
     ids_are_unique: bool = False,
     approximate_error: float | None = None,
 ) -> list[Column]:
-    """Distinct events, mean tone, total mentions and total articles.
+    """Distinct values of ``key``, then means and sums; both of these map a
+    column to the name of its result.
 
     An exact distinct count needs an exchange on (period, id). It is spared
     when ``ids_are_unique`` within a period, as a table merged per day
@@ -36,14 +37,13 @@ def event_metrics(
     ``approximate_error`` asks for a sketch instead, also without that exchange.
     """
     if ids_are_unique:
-        events = F.count(event_id)
+        events = F.count(key)
     elif approximate_error is not None:
-        events = F.approx_count_distinct(event_id, approximate_error)
+        events = F.approx_count_distinct(key, approximate_error)
     else:
-        events = F.count_distinct(F.col(event_id))
+        events = F.count_distinct(F.col(key))
     return [
-        events.alias("total_events"),
-        F.avg(tone).alias("avg_tone"),
-        total(mentions).alias("total_mentions"),
-        total(articles).alias("total_articles"),
+        events.alias(count_as),
+        *(F.avg(column).alias(name) for column, name in means.items()),
+        *(total(column).alias(name) for column, name in sums.items()),
     ]

@@ -42,20 +42,30 @@ def month_names(
 
 
 def daily_event_metrics(
-    table: str, date_column: str = "event_date", ids_are_unique: bool = False
+    table: str,
+    key: str,
+    means: Mapping[str, str],
+    sums: Mapping[str, str],
+    date_column: str = "event_date",
+    ids_are_unique: bool = False,
 ) -> GoldBuilder:
     """Event metrics per day. Set ``ids_are_unique`` for tables merged per day."""
 
     def build(inputs: Mapping[str, DataFrame]) -> DataFrame:
         df = required_input(inputs, table)
-        period = lenient_period(df, date_column)
-        return rollup(df, period, date_column, event_metrics(ids_are_unique=ids_are_unique))
+        metrics = event_metrics(key, means, sums, ids_are_unique=ids_are_unique)
+        return rollup(df, lenient_period(df, date_column), date_column, metrics)
 
     return build
 
 
 def monthly_event_metrics(
-    table: str, date_column: str = "event_date", result: str = "month_start_date"
+    table: str,
+    key: str,
+    means: Mapping[str, str],
+    sums: Mapping[str, str],
+    date_column: str = "event_date",
+    result: str = "month_start_date",
 ) -> GoldBuilder:
     """Event metrics per month; dates must already be dates or timestamps."""
 
@@ -64,7 +74,7 @@ def monthly_event_metrics(
         column = F.col(date_column)
         if isinstance(df.schema[date_column].dataType, T.StringType):
             column = F.to_timestamp(column)
-        return rollup(df, month_floor(column), result, event_metrics())
+        return rollup(df, month_floor(column), result, event_metrics(key, means, sums))
 
     return build
 

@@ -3,23 +3,17 @@
 from __future__ import annotations
 
 EVENT_FEED = """(
-  SELECT event_id, CAST(ts AS DATE) AS event_date, event_type AS actor1_name,
-         CAST(round(value * 100) AS BIGINT) AS avg_tone,
-         CAST(regexp_extract(props, '[0-9]+') AS BIGINT) AS num_mentions, user_id AS num_articles
+  SELECT CAST(ts AS DATE) AS day, event_id, user_id, event_type,
+         CAST(round(value * 100) AS BIGINT) AS cents,
+         CAST(regexp_extract(props, '[0-9]+') AS BIGINT) AS prop
   FROM events)"""
 
-ORDER_FEED = """(
-  SELECT o_orderkey AS event_id, CAST(o_orderdate AS DATE) AS event_date,
-         CAST(round(o_totalprice * 100) AS BIGINT) AS avg_tone, o_custkey AS num_mentions,
-         CAST(length(o_orderpriority) AS BIGINT) AS num_articles
-  FROM orders)"""
-
-COUNTRY_MONTHS = """(
-  SELECT n_name AS country, CAST(date_trunc('month', o_orderdate) AS DATE) AS month_start_date,
-         count(*) AS num_events
+ORDER_COUNTS = """(
+  SELECT n_name AS nation, c_mktsegment AS segment,
+         CAST(date_trunc('month', o_orderdate) AS DATE) AS month, count(*) AS orders
   FROM orders JOIN customer ON o_custkey = c_custkey
        JOIN nation ON c_nationkey = n_nationkey
-  GROUP BY 1, 2)"""
+  GROUP BY 1, 2, 3)"""
 
 ORDER_ROWS = """(
   SELECT o_orderkey AS order_key, CAST(o_orderdate AS DATE) AS version,
@@ -39,20 +33,23 @@ ORDER_DAYS = """
          CAST(o_orderdate AS DATE) AS order_day
   FROM orders"""
 
-METRICS = """count(DISTINCT event_id) AS total_events, avg(avg_tone) AS avg_tone,
-         CAST(coalesce(sum(num_mentions), 0) AS BIGINT) AS total_mentions,
-         CAST(coalesce(sum(num_articles), 0) AS BIGINT) AS total_articles"""
+METRICS = """count(DISTINCT event_id) AS total_events, avg(cents) AS mean_cents,
+         avg(prop) AS mean_prop, CAST(coalesce(sum(cents), 0) AS BIGINT) AS sum_cents"""
 
-FEED_DAILY = f"""
-  SELECT event_date, {METRICS}
-  FROM {EVENT_FEED} WHERE event_date IS NOT NULL GROUP BY 1"""
+EVENTS_BY_DAY = f"""
+  SELECT day, {METRICS}
+  FROM {EVENT_FEED} WHERE day IS NOT NULL GROUP BY 1"""
 
+EVENTS_BY_MONTH = f"""
+  SELECT CAST(date_trunc('month', day) AS DATE) AS month, {METRICS}
+  FROM {EVENT_FEED} WHERE day IS NOT NULL GROUP BY 1"""
 
-def _monthly(feed: str) -> str:
-    return f"""
-  SELECT CAST(date_trunc('month', event_date) AS DATE) AS month_start_date,
-         {METRICS}
-  FROM {feed} WHERE event_date IS NOT NULL GROUP BY 1"""
+ORDERS_BY_MONTH = """
+  SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
+         count(DISTINCT o_orderkey) AS total_events,
+         avg(CAST(round(o_totalprice * 100) AS BIGINT)) AS mean_cents,
+         CAST(coalesce(sum(CAST(round(o_totalprice * 100) AS BIGINT)), 0) AS BIGINT) AS sum_cents
+  FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1"""
 
 
 def _merge(tie: str) -> str:
@@ -87,21 +84,19 @@ MISSING_ORDERS = """
 STAMP = "TIMESTAMP '2024-02-01 00:00:00'"
 
 ORACLE: dict[str, str] = {
-    "feed_daily": FEED_DAILY,
-    "feed_daily_unique_ids": FEED_DAILY,
-    "feed_monthly": _monthly(EVENT_FEED),
-    "orders_monthly": _monthly(ORDER_FEED),
+    "feed_daily": EVENTS_BY_DAY,
+    "feed_daily_unique_ids": EVENTS_BY_DAY,
+    "feed_monthly": EVENTS_BY_MONTH,
+    "orders_monthly": ORDERS_BY_MONTH,
     "counts_monthly": f"""
-  SELECT month_start_date, CAST(sum(num_events) AS BIGINT) AS total_events
-  FROM {COUNTRY_MONTHS} GROUP BY 1""",
+  SELECT month, CAST(sum(orders) AS BIGINT) AS orders FROM {ORDER_COUNTS} GROUP BY 1""",
     "combined_monthly": f"""
-  WITH a AS ({_monthly(ORDER_FEED)}),
-       b AS (SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month_start_date,
-                    count(*) AS total_events FROM lineitem GROUP BY 1)
-  SELECT coalesce(a.month_start_date, b.month_start_date) AS month_start_date,
-         a.total_events AS order_total_events, a.avg_tone AS order_avg_tone,
-         b.total_events AS shipped_total_events
-  FROM a FULL JOIN b ON a.month_start_date IS NOT DISTINCT FROM b.month_start_date""",
+  WITH a AS ({ORDERS_BY_MONTH}),
+       b AS (SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month, count(*) AS items
+             FROM lineitem GROUP BY 1)
+  SELECT coalesce(a.month, b.month) AS month, a.total_events AS orders,
+         a.mean_cents AS mean_order_cents, b.items AS shipped_items
+  FROM a FULL JOIN b ON a.month IS NOT DISTINCT FROM b.month""",
     "dedup_latest": """
   SELECT * FROM events
   QUALIFY row_number() OVER (PARTITION BY user_id, event_type
@@ -126,18 +121,19 @@ ORACLE: dict[str, str] = {
     ORDER BY l_shipdate DESC, CASE l_linestatus WHEN 'F' THEN 0 ELSE 1 END, l_partkey,
              l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax) = 1""",
     "partition_read": """
-  SELECT * EXCLUDE (l_shipdate) FROM lineitem WHERE l_returnflag = 'R'""",
+  SELECT * REPLACE (CAST(l_shipdate AS DATE) AS l_shipdate) FROM lineitem
+  WHERE l_returnflag = 'R'""",
     "table_replace": """
   SELECT doc_id, upper(lang) AS lang, text FROM documents WHERE n_chars > 1000""",
     "window_filter": f"""
   SELECT * FROM {EVENT_FEED}
-  WHERE event_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'""",
+  WHERE day BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'""",
     "window_read": f"""
   SELECT * FROM {EVENT_FEED}
-  WHERE event_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'""",
+  WHERE day BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'""",
     "snapshot_read": f"""
-  SELECT *, '20240201_000000' AS snapshot FROM {COUNTRY_MONTHS}
-  WHERE month_start_date BETWEEN DATE '1996-01-01' AND DATE '1999-06-01'""",
+  SELECT *, '20240201_000000' AS snapshot FROM {ORDER_COUNTS}
+  WHERE month BETWEEN DATE '1996-01-01' AND DATE '1999-06-01'""",
     "latest_snapshot": f"""
   SELECT * FROM {ORDER_ROWS} WHERE year = (SELECT max(year) FROM {ORDER_ROWS})""",
     "new_files": """
@@ -290,17 +286,15 @@ ORACLE: dict[str, str] = {
   UNION ALL
   SELECT '20240201_000000', 'bronze', 'documents', 'output', count(*), count(DISTINCT doc_id)
   FROM documents""",
-    "layered_daily": FEED_DAILY,
+    "layered_daily": EVENTS_BY_DAY,
     "layered_combined": f"""
-  WITH a AS ({_monthly(EVENT_FEED)}),
-       b AS (SELECT month_start_date, CAST(sum(num_events) AS BIGINT) AS total_events
-             FROM {COUNTRY_MONTHS} GROUP BY 1)
-  SELECT coalesce(a.month_start_date, b.month_start_date) AS month_start_date,
-         a.total_events AS feed_total_events, a.avg_tone AS feed_avg_tone,
-         b.total_events AS counts_total_events
-  FROM a FULL JOIN b ON a.month_start_date IS NOT DISTINCT FROM b.month_start_date""",
+  WITH a AS ({EVENTS_BY_MONTH}),
+       b AS (SELECT month, CAST(sum(orders) AS BIGINT) AS orders FROM {ORDER_COUNTS} GROUP BY 1)
+  SELECT coalesce(a.month, b.month) AS month, b.orders, a.total_events AS events,
+         a.mean_cents AS mean_event_cents
+  FROM a FULL JOIN b ON a.month IS NOT DISTINCT FROM b.month""",
     "layered_silver": f"""
-  SELECT CAST(event_id AS VARCHAR) AS event_id, event_date, actor1_name,
-         CAST(avg_tone AS DOUBLE) AS avg_tone, num_mentions, num_articles, '20240201_000000' AS _silver_run_id, '20240201_000000' AS _bronze_run_id
+  SELECT day, CAST(event_id AS VARCHAR) AS event_id, user_id, event_type, cents, prop,
+         '20240201_000000' AS _silver_run_id, '20240201_000000' AS _bronze_run_id
   FROM {EVENT_FEED}""",
 }

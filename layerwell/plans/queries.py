@@ -79,44 +79,54 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events in the shape of a media-event feed."""
+    """Events by day, with the number in their properties."""
     return table(spark, sf_dir, "events").select(
+        F.to_date("ts").alias("day"),
         "event_id",
-        F.to_date("ts").alias("event_date"),
-        F.col("event_type").alias("actor1_name"),
-        hundredths("value").alias("avg_tone"),
-        F.regexp_extract("props", "([0-9]+)", 1).cast("bigint").alias("num_mentions"),
-        F.col("user_id").alias("num_articles"),
+        "user_id",
+        "event_type",
+        hundredths("value").alias("cents"),
+        F.regexp_extract("props", "([0-9]+)", 1).cast("bigint").alias("prop"),
     )
 
 
+EVENT_MEASURES = {
+    "key": "event_id",
+    "means": {"cents": "mean_cents", "prop": "mean_prop"},
+    "sums": {"cents": "sum_cents"},
+}
+
+
 def order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders in the same shape; they span many months."""
+    """Orders by day; they span many months."""
     return table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("event_id"),
-        F.to_date("o_orderdate").alias("event_date"),
-        hundredths("o_totalprice").alias("avg_tone"),
-        F.col("o_custkey").alias("num_mentions"),
-        F.length("o_orderpriority").cast("bigint").alias("num_articles"),
+        F.to_date("o_orderdate").alias("day"), "o_orderkey", hundredths("o_totalprice").alias("cents")
     )
 
 
-def country_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders per country and month: a count feed."""
+ORDER_MEASURES = {
+    "key": "o_orderkey",
+    "means": {"cents": "mean_cents"},
+    "sums": {"cents": "sum_cents"},
+}
+
+
+def order_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders per nation, market segment and month."""
     # Counting before the joins leaves one row per customer and month, so that a
     # customer with very many orders cannot overload a join task.
     orders = (
         table(spark, sf_dir, "orders")
-        .groupBy("o_custkey", month_of("o_orderdate").alias("month_start_date"))
+        .groupBy("o_custkey", month_of("o_orderdate").alias("month"))
         .agg(F.count(F.lit(1)).alias("orders"))
     )
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     return (
         orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
         .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
-        .groupBy(F.col("n_name").alias("country"), "month_start_date")
-        .agg(F.sum("orders").alias("num_events"))
+        .groupBy(F.col("n_name").alias("nation"), F.col("c_mktsegment").alias("segment"), "month")
+        .agg(F.sum("orders").alias("orders"))
     )
 
 
@@ -148,51 +158,51 @@ def hundredths(column: str):
 
 @query("feed_daily")
 def feed_daily(spark, sf_dir):
-    build = daily_event_metrics("feed")
-    return build({"feed": event_feed(spark, sf_dir)})
+    build = daily_event_metrics("events", **EVENT_MEASURES, date_column="day")
+    return build({"events": event_feed(spark, sf_dir)})
 
 
 @query("feed_daily_unique_ids")
 def feed_daily_unique_ids(spark, sf_dir):
     """As ``feed_daily`` where ids are known to be unique per day."""
-    build = daily_event_metrics("feed", ids_are_unique=True)
-    return build({"feed": event_feed(spark, sf_dir)})
+    build = daily_event_metrics("events", **EVENT_MEASURES, date_column="day", ids_are_unique=True)
+    return build({"events": event_feed(spark, sf_dir)})
 
 
 @query("feed_monthly")
 def feed_monthly(spark, sf_dir):
-    build = monthly_event_metrics("feed")
-    months = build({"feed": event_feed(spark, sf_dir)})
-    return months.withColumn("month_start_date", F.to_date("month_start_date"))
+    build = monthly_event_metrics("events", **EVENT_MEASURES, date_column="day", result="month")
+    months = build({"events": event_feed(spark, sf_dir)})
+    return months.withColumn("month", F.to_date("month"))
 
 
 @query("orders_monthly")
 def orders_monthly(spark, sf_dir):
-    build = monthly_event_metrics("feed")
-    months = build({"feed": order_feed(spark, sf_dir)})
-    return months.withColumn("month_start_date", F.to_date("month_start_date"))
+    build = monthly_event_metrics("orders", **ORDER_MEASURES, date_column="day", result="month")
+    months = build({"orders": order_feed(spark, sf_dir)})
+    return months.withColumn("month", F.to_date("month"))
 
 
 @query("counts_monthly")
 def counts_monthly(spark, sf_dir):
-    build = monthly_totals("counts")
-    return build({"counts": country_months(spark, sf_dir)})
+    build = monthly_totals("counts", "orders", "month", "orders")
+    return build({"counts": order_counts(spark, sf_dir)})
 
 
 @query("combined_monthly")
 def combined_monthly_report(spark, sf_dir):
     """Order metrics next to shipment counts; months of either side stay."""
-    orders = monthly_event_metrics("feed")({"feed": order_feed(spark, sf_dir)})
-    orders = orders.withColumn("month_start_date", F.to_date("month_start_date"))
-    shipped = table(spark, sf_dir, "lineitem").select(
-        month_of("l_shipdate").alias("month_start_date"), F.lit(1).alias("num_events")
+    orders = orders_monthly(spark, sf_dir)
+    items = table(spark, sf_dir, "lineitem").select(
+        month_of("l_shipdate").alias("month"), F.lit(1).alias("items")
     )
-    shipped = monthly_totals("shipped")({"shipped": shipped})
+    shipped = monthly_totals("items", "items", "month", "items")({"items": items})
     build = combined_monthly(
         "orders",
         "shipped",
-        {"total_events": "order_total_events", "avg_tone": "order_avg_tone"},
-        {"total_events": "shipped_total_events"},
+        {"total_events": "orders", "mean_cents": "mean_order_cents"},
+        {"items": "shipped_items"},
+        key="month",
     )
     return build({"orders": orders, "shipped": shipped})
 
@@ -296,7 +306,7 @@ def append_incremental(spark, sf_dir):
 @query("partition_read")
 def partition_read(spark, sf_dir):
     path = scratch_path(spark, "partition")
-    items = table(spark, sf_dir, "lineitem").drop("l_shipdate")
+    items = table(spark, sf_dir, "lineitem").withColumn("l_shipdate", F.to_date("l_shipdate"))
     write_partitions(items, path, ["l_returnflag"])
     rows, _files = read_partition(spark, path, items.schema, {"l_returnflag": "R"})
     return rows
@@ -314,23 +324,23 @@ def table_replace(spark, sf_dir):
 
 @query("window_filter")
 def window_filter(spark, sf_dir):
-    return within(event_feed(spark, sf_dir), "event_date", date(2024, 1, 5), date(2024, 1, 20))
+    return within(event_feed(spark, sf_dir), "day", date(2024, 1, 5), date(2024, 1, 20))
 
 
 @query("window_read")
 def window_read(spark, sf_dir):
     """The same window on a table partitioned by day."""
     path = scratch_path(spark, "window")
-    write_partitions(event_feed(spark, sf_dir), path, ["event_date"])
-    return read_window(spark, path, "event_date", date(2024, 1, 5), date(2024, 1, 20))
+    write_partitions(event_feed(spark, sf_dir), path, ["day"])
+    return read_window(spark, path, "day", date(2024, 1, 5), date(2024, 1, 20))
 
 
 @query("snapshot_read")
 def snapshot_read(spark, sf_dir):
     path = scratch_path(spark, "snapshot")
-    write_table(country_months(spark, sf_dir).withColumn("snapshot", F.lit(RUN_ID)), path)
+    write_table(order_counts(spark, sf_dir).withColumn("snapshot", F.lit(RUN_ID)), path)
     return read_snapshot(
-        spark, path, "snapshot", "month_start_date", date(1996, 1, 1), date(1999, 6, 1)
+        spark, path, "snapshot", "month", date(1996, 1, 1), date(1999, 6, 1)
     )
 
 
@@ -676,25 +686,34 @@ def audit_rows(spark, sf_dir):
     )
 
 
-FEED_COLUMNS = ["EventKey", "Day", "Actor", "Tone", "Mentions", "Articles"]
+EVENT_COLUMNS = ["day", "event_id", "user_id", "event_type", "cents", "prop"]
+
+KEY = {"nullable": False, "primary_key": True}
+MONTH_KEY = {"type": "date", **KEY}
+EVENT_RESULTS = {
+    "total_events": {"type": "Int64"},
+    "mean_cents": {"type": "Float64"},
+    "mean_prop": {"type": "Float64"},
+    "sum_cents": {"type": "Int64"},
+}
 
 LAYERED_CONFIG = PipelineConfig.from_mappings(
     {
         "pipeline": {
-            "name": "layered_report",
+            "name": "activity",
             "timezone": "UTC",
             "execution": {"start_date": "1995-01-01", "end_date": "2024-12-31"},
         }
     },
     {
         "sources": {
-            "feed": {
+            "events": {
                 "acquisition_method": "manual_drop",
                 "ingestion_mode": "append",
                 "file_type": "csv",
-                "reader": {"sep": "\t", "header": None, "names": FEED_COLUMNS},
+                "reader": {"sep": "\t", "header": None, "names": EVENT_COLUMNS},
             },
-            "counts": {
+            "order_counts": {
                 "acquisition_method": "manual_drop",
                 "ingestion_mode": "latest_snapshot",
                 "file_type": "csv",
@@ -705,84 +724,55 @@ LAYERED_CONFIG = PipelineConfig.from_mappings(
     {
         "schemas": {
             "bronze": {
-                "feed": {"required_columns": ["EventKey", "Day"]},
-                "counts": {"required_columns": ["COUNTRY", "MONTH", "YEAR", "EVENTS"]},
+                "events": {"required_columns": ["day", "event_id"]},
+                "order_counts": {"required_columns": ["segment", "month_name", "order_year", "n"]},
             },
             "silver": {
-                "feed": {
+                "events": {
                     "columns": {
-                        "event_id": {
-                            "source": "EventKey", "type": "string",
-                            "nullable": False, "primary_key": True,
-                        },
-                        "event_date": {
-                            "source": "Day", "type": "date", "nullable": False,
+                        "day": {
+                            "type": "date", "nullable": False,
                             "partition_key": True, "record_timestamp": True,
                         },
-                        "actor1_name": {"source": "Actor", "type": "string"},
-                        "avg_tone": {"source": "Tone", "type": "Float64"},
-                        "num_mentions": {"source": "Mentions", "type": "Int64"},
-                        "num_articles": {"source": "Articles", "type": "Int64"},
+                        "event_id": {"type": "string", **KEY},
+                        "user_id": {"type": "Int64"},
+                        "event_type": {"type": "string"},
+                        "cents": {"type": "Int64"},
+                        "prop": {"type": "Int64"},
                     }
                 },
-                "counts": {
+                "order_counts": {
                     "columns": {
-                        "country": {
-                            "source": "COUNTRY", "type": "string",
-                            "nullable": False, "primary_key": True,
-                        },
-                        "month_start_date": {
-                            "type": "date", "nullable": False,
-                            "primary_key": True, "record_timestamp": True,
-                        },
-                        "num_events": {"source": "EVENTS", "type": "int64", "nullable": False},
+                        "month": {**MONTH_KEY, "record_timestamp": True},
+                        "segment": {"type": "string", **KEY},
+                        "nation": {"type": "string", **KEY},
+                        "orders": {"source": "n", "type": "int64", "nullable": False},
                     }
                 },
             },
             "gold": {
-                "combined": {
-                    "inputs": {
-                        "feed": {"layer": "gold", "table_name": "feed_monthly"},
-                        "counts": {"layer": "gold", "table_name": "counts_monthly"},
-                    },
-                    "columns": {
-                        "month_start_date": {
-                            "type": "date", "nullable": False, "primary_key": True,
-                        },
-                        "feed_total_events": {"type": "Int64"},
-                        "feed_avg_tone": {"type": "Float64"},
-                        "counts_total_events": {"type": "Int64"},
-                    },
+                "events_by_day": {
+                    "inputs": {"events": {"layer": "silver", "table_name": "events"}},
+                    "columns": {"day": MONTH_KEY, **EVENT_RESULTS},
                 },
-                "feed_daily": {
-                    "inputs": {"feed": {"layer": "silver", "table_name": "feed"}},
-                    "columns": {
-                        "event_date": {"type": "date", "nullable": False, "primary_key": True},
-                        "total_events": {"type": "Int64"},
-                        "avg_tone": {"type": "Float64"},
-                        "total_mentions": {"type": "Int64"},
-                        "total_articles": {"type": "Int64"},
-                    },
+                "events_by_month": {
+                    "inputs": {"events": {"layer": "silver", "table_name": "events"}},
+                    "columns": {"month": MONTH_KEY, **EVENT_RESULTS},
                 },
-                "feed_monthly": {
-                    "inputs": {"feed": {"layer": "silver", "table_name": "feed"}},
-                    "columns": {
-                        "month_start_date": {
-                            "type": "date", "nullable": False, "primary_key": True,
-                        },
-                        "total_events": {"type": "Int64"},
-                        "avg_tone": {"type": "Float64"},
-                        "total_mentions": {"type": "Int64"},
-                        "total_articles": {"type": "Int64"},
-                    },
+                "orders_by_month": {
+                    "inputs": {"order_counts": {"layer": "silver", "table_name": "order_counts"}},
+                    "columns": {"month": MONTH_KEY, "orders": {"type": "Int64"}},
                 },
-                "counts_monthly": {
-                    "inputs": {"counts": {"layer": "silver", "table_name": "counts"}},
+                "activity": {
+                    "inputs": {
+                        "orders": {"layer": "gold", "table_name": "orders_by_month"},
+                        "events": {"layer": "gold", "table_name": "events_by_month"},
+                    },
                     "columns": {
-                        "month_start_date": {
-                            "type": "date", "nullable": False, "primary_key": True,
-                        },
-                        "total_events": {"type": "Int64"},
+                        "month": MONTH_KEY,
+                        "orders": {"type": "Int64"},
+                        "events": {"type": "Int64"},
+                        "mean_event_cents": {"type": "Float64"},
                     },
                 },
             },
@@ -791,43 +781,50 @@ LAYERED_CONFIG = PipelineConfig.from_mappings(
 )
 
 TRANSFORMS = Registry("silver transform")
-TRANSFORMS.register("feed", compact_dates("event_date"))
-TRANSFORMS.register("counts", month_names())
+TRANSFORMS.register("events", compact_dates("day"))
+TRANSFORMS.register("order_counts", month_names("month_name", "order_year", "month"))
 
 BUILDERS = Registry("gold builder")
-BUILDERS.register("feed_daily", daily_event_metrics("feed", ids_are_unique=True))
-BUILDERS.register("feed_monthly", monthly_event_metrics("feed"))
-BUILDERS.register("counts_monthly", monthly_totals("counts"))
 BUILDERS.register(
-    "combined",
+    "events_by_day",
+    daily_event_metrics("events", **EVENT_MEASURES, date_column="day", ids_are_unique=True),
+)
+BUILDERS.register(
+    "events_by_month",
+    monthly_event_metrics("events", **EVENT_MEASURES, date_column="day", result="month"),
+)
+BUILDERS.register("orders_by_month", monthly_totals("order_counts", "orders", "month", "orders"))
+BUILDERS.register(
+    "activity",
     combined_monthly(
-        "feed_monthly",
-        "counts_monthly",
-        {"total_events": "feed_total_events", "avg_tone": "feed_avg_tone"},
-        {"total_events": "counts_total_events"},
+        "orders_by_month",
+        "events_by_month",
+        {"orders": "orders"},
+        {"total_events": "events", "mean_cents": "mean_event_cents"},
+        key="month",
     ),
 )
 
 
 def layered_run(spark: SparkSession, sf_dir: str, gold: list[str]) -> Run:
-    """Land events and counts as text, then refresh all layers."""
+    """Land events and order counts as text, then refresh all layers."""
     run = Run(
         spark, LAYERED_CONFIG, Lake(scratch_path(spark, "lake")), TRANSFORMS, BUILDERS,
         RUN_ID, CLOCK,
     )
-    feed = event_feed(spark, sf_dir).withColumn(
-        "event_date", F.date_format("event_date", "yyyyMMdd")
-    )
-    feed.write.csv(run.lake.landing("feed"), sep="\t")
-    counts = country_months(spark, sf_dir).select(
-        F.col("country").alias("COUNTRY"),
-        F.date_format("month_start_date", "MMMM").alias("MONTH"),
-        F.year("month_start_date").alias("YEAR"),
-        F.col("num_events").alias("EVENTS"),
-    )
-    # One file: a snapshot of counts per country and month, small by nature.
-    counts.coalesce(1).write.csv(run.lake.landing("counts"), header=True)
-    tables = ["feed", "counts"] if "combined" in gold else ["feed"]
+    events = event_feed(spark, sf_dir).withColumn("day", F.date_format("day", "yyyyMMdd"))
+    events.select(*EVENT_COLUMNS).write.csv(run.lake.landing("events"), sep="\t")
+    tables = ["events"]
+    if "activity" in gold:
+        tables.append("order_counts")
+        # One file: a snapshot of counts per nation, segment and month, small by nature.
+        order_counts(spark, sf_dir).select(
+            "nation",
+            "segment",
+            F.year("month").alias("order_year"),
+            F.date_format("month", "MMMM").alias("month_name"),
+            F.col("orders").alias("n"),
+        ).repartition(1).write.csv(run.lake.landing("order_counts"), header=True)
     with run.recording():
         for name in tables:
             refresh_bronze(run, name)
@@ -838,21 +835,20 @@ def layered_run(spark: SparkSession, sf_dir: str, gold: list[str]) -> Run:
 
 @query("layered_daily")
 def layered_daily(spark, sf_dir):
-    run = layered_run(spark, sf_dir, ["feed_daily"])
-    return read_table(spark, run.lake.gold("feed_daily"))
+    run = layered_run(spark, sf_dir, ["events_by_day"])
+    return read_table(spark, run.lake.gold("events_by_day"))
 
 
 @query("layered_combined")
 def layered_combined(spark, sf_dir):
-    run = layered_run(spark, sf_dir, ["feed_monthly", "counts_monthly", "combined"])
-    return read_table(spark, run.lake.gold("combined"))
+    run = layered_run(spark, sf_dir, ["events_by_month", "orders_by_month", "activity"])
+    return read_table(spark, run.lake.gold("activity"))
 
 
 @query("layered_silver")
 def layered_silver(spark, sf_dir):
     """The silver table after landing and merging all events."""
     run = layered_run(spark, sf_dir, [])
-    return read_table(spark, run.lake.silver("feed")).select(
-        "event_id", "event_date", "actor1_name", "avg_tone", "num_mentions", "num_articles",
-        "_silver_run_id", "_bronze_run_id",
+    return read_table(spark, run.lake.silver("events")).select(
+        *EVENT_COLUMNS, "_silver_run_id", "_bronze_run_id"
     )

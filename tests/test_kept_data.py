@@ -69,18 +69,18 @@ def test_cells_beyond_the_header_stop_the_job(spark, tmp_path):
 
 def test_streams_refuse_a_second_file_with_the_same_key(spark, tmp_path):
     run = Run(spark, LAYERED_CONFIG, Lake(str(tmp_path)), TRANSFORMS, BUILDERS, "r1", datetime(2024, 2, 1, tzinfo=timezone.utc))
-    landing = tmp_path / "landing" / "feed"
+    landing = tmp_path / "landing" / "events"
     (landing / "x").mkdir(parents=True)
-    (landing / "d.csv").write_text("7\t20240102\tx\t1.5\t1\t1\n")
-    stream_bronze(run, "feed", str(tmp_path / "cp"))
-    (landing / "d.txt").write_text("8\t20240102\ty\t1.5\t1\t1\n")
-    known = run.manifest("bronze", "feed").select("source_key").distinct().collect()
+    (landing / "d.csv").write_text("20240102\t7\t30\tx\t150\t4\n")
+    stream_bronze(run, "events", str(tmp_path / "cp"))
+    (landing / "d.txt").write_text("20240102\t8\t31\ty\t150\t4\n")
+    known = run.manifest("bronze", "events").select("source_key").distinct().collect()
     from layerwell.streaming.ingest import FILE, _refuse_shared_keys
 
     second = spark.createDataFrame([(("other/" + known[0][0], known[0][0]),)], f"{FILE} struct<path: string, source_key: string>")
     with pytest.raises(ConfigError, match="share the key"):
-        _refuse_shared_keys(second, run.manifest("bronze", "feed"))
-    assert read_table(spark, run.lake.bronze("feed")).count() >= 1
+        _refuse_shared_keys(second, run.manifest("bronze", "events"))
+    assert read_table(spark, run.lake.bronze("events")).count() >= 1
 
 
 @pytest.mark.parametrize("limit", [1, 2, 20_000])

@@ -8,9 +8,16 @@ import pytest
 
 from layerwell.errors import ConfigError, DataQualityError, MissingInputError
 from layerwell.plans import refresh
+from layerwell.plans.builders import (
+    combined_monthly,
+    compact_dates,
+    daily_event_metrics,
+    month_names,
+    monthly_event_metrics,
+    monthly_totals,
+)
 from layerwell.plans.layers import silver_frame
 from layerwell.plans.packing import workbook_bytes, zip_bytes
-from layerwell.plans.queries import BUILDERS, TRANSFORMS
 from layerwell.plans.refresh import (
     Lake,
     Run,
@@ -32,6 +39,25 @@ METRICS = {
     "total_events": {"type": "Int64"}, "avg_tone": {"type": "Float64"},
     "total_mentions": {"type": "Int64"}, "total_articles": {"type": "Int64"},
 }
+MEASURES = {
+    "key": "event_id",
+    "means": {"avg_tone": "avg_tone"},
+    "sums": {"num_mentions": "total_mentions", "num_articles": "total_articles"},
+}
+TRANSFORMS, BUILDERS = Registry("silver transform"), Registry("gold builder")
+TRANSFORMS.register("feed", compact_dates("event_date"))
+TRANSFORMS.register("counts", month_names())
+BUILDERS.register("feed_daily", daily_event_metrics("feed", **MEASURES, ids_are_unique=True))
+BUILDERS.register("feed_monthly", monthly_event_metrics("feed", **MEASURES))
+BUILDERS.register("counts_monthly", monthly_totals("counts"))
+BUILDERS.register(
+    "combined",
+    combined_monthly(
+        "feed_monthly", "counts_monthly",
+        {"total_events": "feed_total_events", "avg_tone": "feed_avg_tone"},
+        {"total_events": "counts_total_events"},
+    ),
+)
 KEY = {"type": "datetime64[ns]", "nullable": False, "primary_key": True}
 
 

@@ -16,6 +16,11 @@ from pyspark.sql import functions as F
 
 FEED = "event_date date, event_id long, avg_tone double, num_mentions long, num_articles long"
 METRICS = ["total_events", "avg_tone", "total_mentions", "total_articles"]
+MEASURES = {
+    "key": "event_id",
+    "means": {"avg_tone": "avg_tone"},
+    "sums": {"num_mentions": "total_mentions", "num_articles": "total_articles"},
+}
 
 
 def rows(df, *columns):
@@ -31,13 +36,13 @@ def test_daily(spark):
     df = feed(spark, [date(2026, 2, 16), date(2026, 2, 16), date(2026, 2, 17)])
     expected = [(date(2026, 2, 16), 2, 1.0, 5, 3), (date(2026, 2, 17), 1, -0.5, 1, 1)]
     for unique in (False, True):
-        out = daily_event_metrics("feed", ids_are_unique=unique)({"feed": df})
+        out = daily_event_metrics("feed", **MEASURES, ids_are_unique=unique)({"feed": df})
         assert rows(out, "event_date", *METRICS) == expected
 
 
 def test_monthly(spark):
     df = feed(spark, [date(2026, 2, 16), date(2026, 2, 20), date(2026, 3, 5)])
-    out = monthly_event_metrics("feed")({"feed": df})
+    out = monthly_event_metrics("feed", **MEASURES)({"feed": df})
     assert rows(out, "month_start_date", *METRICS) == [
         (datetime(2026, 2, 1), 2, 1.0, 5, 3), (datetime(2026, 3, 1), 1, -0.5, 1, 1)
     ]
@@ -48,21 +53,21 @@ def test_nulls_in_metrics_and_keys(spark):
     df = spark.createDataFrame(
         [(day, None, None, None, None), (day, 1, None, None, 4), (None, 2, 1.0, 1, 1)], FEED
     )
-    out = daily_event_metrics("feed")({"feed": df})
+    out = daily_event_metrics("feed", **MEASURES)({"feed": df})
     assert rows(out, "event_date", *METRICS) == [(day, 1, None, 0, 4)]
 
 
 def test_repeated_ids_count_once(spark):
     day = date(2026, 2, 16)
     df = spark.createDataFrame([(day, 1, 1.0, 1, 1)] * 3, FEED)
-    assert daily_event_metrics("feed")({"feed": df}).first()["total_events"] == 1
+    assert daily_event_metrics("feed", **MEASURES)({"feed": df}).first()["total_events"] == 1
 
 
 def test_text_dates_are_parsed_leniently(spark):
     df = spark.createDataFrame(
         [("2026-02-16", 1, 0.5, 2, 1), ("bad", 2, 1.5, 3, 2)], FEED.replace("date date", "date string")
     )
-    out = daily_event_metrics("feed")({"feed": df})
+    out = daily_event_metrics("feed", **MEASURES)({"feed": df})
     assert rows(out, "event_date", "total_events") == [(datetime(2026, 2, 16), 1)]
 
 
@@ -71,7 +76,7 @@ def test_approximate_distinct(spark):
         F.lit(date(2026, 1, 1)).alias("d"), F.col("id").alias("event_id"),
         F.lit(1.0).alias("avg_tone"), F.lit(1).alias("num_mentions"), F.lit(1).alias("num_articles"),
     )
-    out = rollup(df, F.col("d"), "d", event_metrics(approximate_error=0.02)).first()
+    out = rollup(df, F.col("d"), "d", event_metrics(**MEASURES, approximate_error=0.02)).first()
     assert abs(out["total_events"] - 5000) < 400
 
 
@@ -120,7 +125,7 @@ def test_combined_null_keys_meet(spark):
 
 def test_missing_inputs(spark):
     df = spark.createDataFrame([(None, 2)], "month_start_date timestamp, total_events long")
-    for build in (daily_event_metrics("x"), monthly_event_metrics("x"), monthly_totals("x")):
+    for build in (daily_event_metrics("x", **MEASURES), monthly_event_metrics("x", **MEASURES), monthly_totals("x")):
         with pytest.raises(MissingInputError):
             build({})
     with pytest.raises(MissingInputError):

@@ -47,12 +47,12 @@ def test_round_trip_and_replace(spark, tmp_path):
 
 def test_partitioned_write(spark, tmp_path):
     df = spark.createDataFrame(
-        [(2026, 2, 10), (2026, 3, 20), (2025, 12, 30)], "year long, month long, value long"
+        [("eu", 7, 1.5), ("us", 7, 2.5), ("eu", 11, 3.5), ("eu", 7, 4.5)], "zone string, week long, price double"
     )
-    write_partitions(df, str(tmp_path / "t"), ["year", "month"])
+    write_partitions(df, str(tmp_path / "t"), ["zone", "week"])
     found = sorted(str(p.relative_to(tmp_path / "t")) for p in (tmp_path / "t").glob("*/*") if p.is_dir())
-    assert found == ["year=2025/month=12", "year=2026/month=2", "year=2026/month=3"]
-    assert rows(partition_names(df, ["year", "month"])) == [(f,) for f in found]
+    assert found == ["zone=eu/week=11", "zone=eu/week=7", "zone=us/week=7"]
+    assert rows(partition_names(df, ["zone", "week"])) == [(f,) for f in found]
 
 
 def test_only_written_partitions_are_replaced(spark, tmp_path):

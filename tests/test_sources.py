@@ -200,10 +200,10 @@ def test_unsupported_file_type(spark):
 
 
 def test_source_keys(spark):
-    names = ["data.csv.gz", "data.xlsx.zip", "file.parquet.snappy", "plain", ".hidden.csv"]
+    names = ["sales-07.tsv.zip", "sales-07.tsv", "q3 report.xlsx", "a.b.csv.gz", "README", ".draft.tsv"]
     df = spark.createDataFrame([(n,) for n in names], "n string")
     keys = [r[0] for r in df.select(source_key(F.col("n"))).collect()]
-    assert keys == ["data", "data", "file", "plain", ".hidden"]
+    assert keys == ["sales-07", "sales-07", "q3 report", "a", "README", ".draft"]
 
 
 def test_listing(spark, tmp_path):

@@ -53,28 +53,28 @@ def test_batch_delivered_twice_changes_nothing(spark, tmp_path):
 def test_layers_as_streams(spark, tmp_path):
     now = datetime(2024, 2, 1, tzinfo=timezone.utc)
     run = Run(spark, LAYERED_CONFIG, Lake(str(tmp_path)), TRANSFORMS, BUILDERS, "r1", now)
-    landing = tmp_path / "landing" / "feed"
+    landing = tmp_path / "landing" / "events"
     landing.mkdir(parents=True)
     checkpoints = str(tmp_path / "cp1"), str(tmp_path / "cp2")
 
     def advance():
-        stream_bronze(run, "feed", checkpoints[0])
-        schema = read_table(spark, run.lake.bronze("feed")).schema
-        stream_silver(run, "feed", schema, checkpoints[1])
-        return rows(read_table(spark, run.lake.silver("feed")), "event_id", "event_date", "actor1_name")
+        stream_bronze(run, "events", checkpoints[0])
+        schema = read_table(spark, run.lake.bronze("events")).schema
+        stream_silver(run, "events", schema, checkpoints[1])
+        return rows(read_table(spark, run.lake.silver("events")), "event_id", "day", "event_type")
 
-    (landing / "2.csv").write_text("7\t20240102\tx\t1.5\t1\t1\n7\t20240102\ty\t1.5\t1\t1\n")
+    (landing / "2.csv").write_text("20240102\t7\t30\tx\t150\t4\n20240102\t7\t30\ty\t150\t4\n")
     first = advance()
     assert [(i, str(d), a) for i, d, a in first] == [("7", "2024-01-02", "x")]
     # A late file for an earlier day, and another version of a known key.
-    (landing / "1 a+b.csv").write_text("8\t20240101\tlate\t1.5\t1\t1\n7\t20240102\tz\t1.5\t1\t1\n")
+    (landing / "1 a+b.csv").write_text("20240101\t8\t31\tlate\t25\t9\n20240102\t7\t30\tz\t150\t4\n")
     second = advance()
     assert [(i, str(d), a) for i, d, a in second] == [("7", "2024-01-02", "x"), ("8", "2024-01-01", "late")]
     assert advance() == second
     # The manifest knows the files under the paths that a listing gives.
-    manifest, listing = run.manifest("bronze", "feed"), list_files(spark, run.lake.landing("feed"))
+    manifest, listing = run.manifest("bronze", "events"), list_files(spark, run.lake.landing("events"))
     assert rows(manifest, "path", "source_key", "modified_at") == rows(listing, "path", "source_key", "modified_at")
-    bronze = read_table(spark, run.lake.bronze("feed"))
+    bronze = read_table(spark, run.lake.bronze("events"))
     assert rows(bronze.groupBy("_source_file").agg(F.count("*").alias("n")), "_source_file", "n") == [("1 a+b.csv", 2), ("2.csv", 2)]
 
 
