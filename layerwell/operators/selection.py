@@ -37,9 +37,18 @@ def anti(df: DataFrame, known: DataFrame, on: str | Sequence[str]) -> DataFrame:
 
 def semi(df: DataFrame, wanted: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key is in ``wanted``; null keys meet null keys."""
+    return _null_safe(df, wanted, on, "left_semi")
+
+
+def unmatched(df: DataFrame, wanted: DataFrame, on: str | Sequence[str]) -> DataFrame:
+    """Rows of ``df`` that :func:`semi` leaves out."""
+    return _null_safe(df, wanted, on, "left_anti")
+
+
+def _null_safe(df: DataFrame, wanted: DataFrame, on: str | Sequence[str], how: str) -> DataFrame:
     keys = [on] if isinstance(on, str) else list(on)
     right = wanted.select(*(F.col(f"`{k}`").alias(f"__wanted_{k}") for k in keys))
     condition = F.lit(True)
     for k in keys:
         condition = condition & F.col(f"`{k}`").eqNullSafe(F.col(f"`__wanted_{k}`"))
-    return df.join(right, condition, "left_semi")
+    return df.join(right, condition, how)

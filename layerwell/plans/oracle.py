@@ -114,6 +114,14 @@ ORACLE: dict[str, str] = {
          CASE WHEN year = (SELECT max(year) FROM {ORDER_ROWS}) THEN 'restated'
               ELSE status END AS status, customer, year
   FROM {ORDER_ROWS}""",
+    "table_replace_interrupted": """
+  SELECT p_partkey, p_name, p_brand, 'failed' AS run FROM part
+  UNION ALL SELECT p_partkey, upper(p_name), p_brand, 'repeated' FROM part""",
+    "evolved_table": """
+  SELECT o_orderkey, CAST(o_orderdate AS DATE) AS version,
+         CASE WHEN year(o_orderdate) >= 1997 THEN o_orderpriority END AS o_orderpriority,
+         CAST(date_trunc('year', o_orderdate) AS DATE) AS year
+  FROM orders WHERE year(o_orderdate) BETWEEN 1995 AND 1998""",
     "append_incremental": """
   SELECT * REPLACE (CAST(l_shipdate AS DATE) AS l_shipdate) FROM lineitem
   QUALIFY row_number() OVER (

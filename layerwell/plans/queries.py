@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime, timedelta, timezone
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from layerwell.functions.dates import month_start_from_name, parse_compact_date
@@ -32,7 +33,7 @@ from layerwell.plans.refresh import Lake, Run, build_gold, refresh_bronze, refre
 from layerwell.plans.registry import Registry
 from layerwell.session import scratch_path
 from layerwell.sinks.audit import append_files, file_table
-from layerwell.sinks.parquet import merge_partitions, write_partitions, write_table
+from layerwell.sinks.parquet import merge_partitions, stage, write_partitions, write_table
 from layerwell.sources.delimited import parse_zipped_delimited, read_delimited
 from layerwell.sources.listing import expected_files, files_to_acquire, new_files, source_key
 from layerwell.sources.manifest import load_manifest, record_files
@@ -322,6 +323,39 @@ def table_replace(spark, sf_dir):
     return read_table(spark, path, ["doc_id", "lang", "text"], F.col("n_chars") > 1000)
 
 
+@query("table_replace_interrupted")
+def table_replace_interrupted(spark, sf_dir):
+    """A table after a replacing write that failed on some rows, and after the
+    next run of it."""
+    path = scratch_path(spark, "interrupted")
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
+    write_table(parts, path)
+    renamed = parts.withColumn("p_name", F.upper("p_name"))
+    broken = F.when(F.col("p_partkey") % 50 == 7, F.raise_error(F.lit("interrupted"))).otherwise(F.col("p_name"))
+    try:
+        write_table(renamed.withColumn("p_name", broken.cast("string")), path)
+    except PySparkException as failure:
+        if "interrupted" not in str(failure):
+            raise
+    kept = stage(read_table(spark, path).withColumn("run", F.lit("failed")))
+    write_table(renamed, path)
+    return kept.unionByName(read_table(spark, path).withColumn("run", F.lit("repeated")))
+
+
+@query("evolved_table")
+def evolved_table(spark, sf_dir):
+    """Years of orders, of which the later ones have a column more, merged into
+    one table and read in a window that covers both."""
+    path = scratch_path(spark, "evolved")
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.to_date("o_orderdate").alias("version"), "o_orderpriority", year_of("o_orderdate").alias("year")
+    )
+    late = F.col("year") >= date(1997, 1, 1)
+    for batch in (orders.where(~late).drop("o_orderpriority"), orders.where(late)):
+        merge_partitions(batch, path, ["year"], ["o_orderkey"], "version")
+    return read_window(spark, path, "year", date(1995, 1, 1), date(1998, 1, 1))
+
+
 @query("window_filter")
 def window_filter(spark, sf_dir):
     return within(event_feed(spark, sf_dir), "day", date(2024, 1, 5), date(2024, 1, 20))

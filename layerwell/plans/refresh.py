@@ -56,6 +56,7 @@ from layerwell.sinks.audit import RunRecord, append_files, append_runs, file_tab
 from layerwell.sinks.jdbc import publish_table
 from layerwell.sinks.parquet import (
     merge_partitions,
+    overwrite_partitions,
     partition_names,
     stage,
     write_table,
@@ -68,7 +69,7 @@ from layerwell.sources.listing import (
     new_files,
     newest_file,
 )
-from layerwell.sources.manifest import MANIFEST_SCHEMA, load_manifest, record_files
+from layerwell.sources.manifest import load_manifest, record_files
 from layerwell.sources.tables import read_partitions, read_snapshot, read_table, read_window
 from layerwell.spec import PipelineConfig, TableSpec
 
@@ -143,7 +144,6 @@ class Run:
     now: datetime
     code_version: str | None = None
     results: list[CheckResult] = field(default_factory=list)
-    _manifests: dict[str, DataFrame] = field(default_factory=dict, repr=False)
     _pending: list[RunRecord] = field(default_factory=list, repr=False)
     _checked: list[DataFrame] = field(default_factory=list, repr=False)
     _deferred: bool = field(default=False, repr=False)
@@ -154,12 +154,8 @@ class Run:
         require_utc(self.spark)
 
     def manifest(self, layer: str, table: str) -> DataFrame:
-        """Recorded files as of now; the table is created on first use."""
-        path = self.lake.manifest(layer, table)
-        if path in self._manifests:
-            return self.spark.read.schema(MANIFEST_SCHEMA).parquet(path)
-        self._manifests[path] = load_manifest(self.spark, path)
-        return self._manifests[path]
+        """Recorded files as of now."""
+        return load_manifest(self.spark, self.lake.manifest(layer, table))
 
     @contextmanager
     def recording(self) -> Iterator[None]:
@@ -236,12 +232,8 @@ def write_bronze(df: DataFrame, path: str) -> int:
     """Replace the partitions of the files in ``df`` and return the row count.
     Nothing is exchanged: each task writes the rows it has read."""
     observation = Observation()
-    (
-        df.observe(observation, F.count(F.lit(1)).alias("rows"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(SOURCE_KEY)
-        .parquet(path)
+    overwrite_partitions(
+        df.observe(observation, F.count(F.lit(1)).alias("rows")), path, [SOURCE_KEY]
     )
     return observation.get["rows"]
 
@@ -356,9 +348,11 @@ def _refresh_silver_batch(
             incoming_order=[F.col(c) for c in (*file_order, BRONZE_INGESTED_AT, *BATCH_HELPERS)],
             helper_columns=(*file_order, *BATCH_HELPERS),
             staged=True,
+            # File and position identify a row.
+            order_settles=set(BATCH_HELPERS) <= set(incoming.columns),
         )
     elif mode == "overwrite" and spec.partition_keys:
-        _replace_partitioned(staged.drop(*BATCH_HELPERS), path, spec.partition_keys)
+        write_table(staged.drop(*BATCH_HELPERS), path, spec.partition_keys)
     else:
         write_table(staged.drop(*BATCH_HELPERS), path)
     partitions = partition_names(staged, spec.partition_keys)
@@ -384,17 +378,6 @@ def merge_bronze_batch(run: Run, table: str, bronze: DataFrame) -> int:
     return _refresh_silver_batch(run, spec, bronze, "append", files).rows
 
 
-def _replace_partitioned(df: DataFrame, path: str, partition_keys: Sequence[str]) -> None:
-    """Replace the whole table, partitions without new rows included."""
-    (
-        df.hint("rebalance", *partition_keys)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy(*partition_keys)
-        .parquet(path)
-    )
-
-
 def _read_bronze(
     run: Run, table: str, keys: Sequence[str] | None = None
 ) -> DataFrame | None:

@@ -4,18 +4,32 @@ Rows are laid out with a ``rebalance`` hint on the partition columns: adaptive
 execution merges small shuffle blocks and splits a partition that is larger
 than the advisory size over several tasks, so neither many tiny files nor one
 overloaded task come out, however unevenly the partitions are filled.
+
+Every table keeps a log (see ``sources.table_log``). A replacing write goes to a
+folder of its own, which becomes the table when it is complete: a write that
+fails leaves the table as it was.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from layerwell.errors import DataQualityError
 from layerwell.operators.dedup import keep_latest
-from layerwell.operators.selection import semi
+from layerwell.operators.selection import semi, unmatched
 from layerwell.session import scratch_path, table_scratch_path
+from layerwell.sources.table_log import (
+    TableState,
+    commit,
+    listed_changes,
+    next_folder,
+    table_state,
+    united_schema,
+)
+from layerwell.sources.tables import stored_rows
 
 # Up to this many touched partitions are named in the filter on the existing
 # table, which prunes directories at planning time. Beyond it a join finds them.
@@ -24,21 +38,67 @@ MAX_LISTED_PARTITIONS = 10_000
 _ORIGIN = "__origin"
 
 
-def write_table(df: DataFrame, path: str) -> None:
-    """Replace a table. ``df`` must not read from ``path``: stage it first."""
-    df.write.mode("overwrite").parquet(path)
+def write_table(
+    df: DataFrame,
+    path: str,
+    partition_keys: Sequence[str] = (),
+    unique_keys: Sequence[str] = (),
+    inputs: dict | None = None,
+) -> None:
+    """Replace a table, which ``df`` may read from. Readers see the old rows until
+    the new ones are complete; a failure on the way changes nothing.
+    ``unique_keys`` states a key that ``df`` is known to hold once."""
+    spark = df.sparkSession
+    before = table_state(spark, path)
+    folder = next_folder(before)
+    if partition_keys:
+        df = df.hint("rebalance", *partition_keys)
+    df.write.partitionBy(*partition_keys).parquet(f"{path}/{folder}")
+    schema = united_schema(path, None, df.schema)
+    commit(spark, path, before, TableState(0, folder, schema, tuple(unique_keys), None, inputs))
 
 
 def write_partitions(df: DataFrame, path: str, partition_keys: Sequence[str]) -> None:
     """Replace exactly the partitions that occur in ``df``; a null key is a
     partition of its own. No rows, no change."""
+    overwrite_partitions(df.hint("rebalance", *partition_keys), path, partition_keys)
+
+
+def overwrite_partitions(
+    df: DataFrame,
+    path: str,
+    partition_keys: Sequence[str],
+    unique_keys: Sequence[str] = (),
+    changed: Sequence[str | None] | None = None,
+) -> None:
+    """As :func:`write_partitions`, in the layout that ``df`` has already.
+    ``changed`` names the touched partitions, where the caller knows them."""
+    spark = df.sparkSession
+    before = table_state(spark, path) or adopted(spark, path)
+    state = TableState(0, before.folder if before else "", df.schema, tuple(unique_keys))
+    state = replace(state, schema=united_schema(path, before.schema if before else None, df.schema))
+    if before is None or before.schema.names != state.schema.names or before.unique_keys != state.unique_keys:
+        # Before the rows, so that no stored column is ever unknown and no key wrongly trusted.
+        before = commit(spark, path, before, state)
     (
-        df.hint("rebalance", *partition_keys)
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_keys)
-        .parquet(path)
+        .parquet(state.location(path))
     )
+    commit(spark, path, before, replace(state, changed=None if changed is None else tuple(changed)))
+
+
+def adopted(spark: SparkSession, path: str) -> TableState | None:
+    """State of a table that was written without a log: its columns are read
+    from its files, once."""
+    try:
+        found = spark.read.option("mergeSchema", True).parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+    return TableState(0, "", united_schema(path, None, found.schema))
 
 
 def stage(df: DataFrame, path: str | None = None) -> DataFrame:
@@ -53,14 +113,15 @@ def stage(df: DataFrame, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(target)
 
 
-def ensure_table(
-    spark: SparkSession, path: str, schema: T.StructType, partition_keys: Sequence[str] = ()
-) -> DataFrame:
-    """The table at ``path`` read with the given schema, created empty if there
-    is none yet."""
-    empty = spark.createDataFrame([], schema)
-    empty.write.mode("ignore").partitionBy(*partition_keys).parquet(path)
-    return spark.read.schema(schema).parquet(path)
+def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The append-only table at ``path``, whose columns are fixed; empty if
+    nothing has been appended yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def merge_partitions(
@@ -73,18 +134,22 @@ def merge_partitions(
     incoming_order: Sequence[Column] = (),
     helper_columns: Sequence[str] = (),
     staged: bool = False,
+    order_settles: bool = False,
 ) -> None:
     """Upsert ``incoming`` into the partitions it touches.
 
     Per touched partition the latest version of every key stays. On equal
     versions the existing row stays, or the incoming one with
-    ``on_tie='incoming'``; among incoming rows ``incoming_order`` decides.
-    Without a version column ``on_tie`` alone decides. ``helper_columns`` serve
-    the ordering and are not stored.
+    ``on_tie='incoming'``; among incoming rows ``incoming_order`` decides, all by
+    itself if ``order_settles``. Without a version column ``on_tie`` alone
+    decides. ``helper_columns`` serve the ordering and are not stored.
 
     Columns that only the table or only the batch has are kept, null where a row
     lacks them. Keys are compared within a partition: the same key may live in another one.
     Running the same merge again changes nothing.
+
+    In a table that only merges have written, keys are unique. There only stored
+    rows whose key comes in again are ranked; all others pass as they are.
     """
     if on_tie not in ("existing", "incoming"):
         raise ValueError(f"unknown on_tie: {on_tie}")
@@ -92,81 +157,72 @@ def merge_partitions(
     batch = incoming
     if not staged:
         batch = stage(incoming, table_scratch_path(spark, path, "incoming"))
-    stored_schema = batch.drop(*helper_columns).schema
-
-    if not partition_keys:
-        existing = _stored(spark, path, stored_schema, ())
-        merged = _merged(
-            batch, existing, (), primary_keys, version, on_tie, incoming_order
-        )
-        place = table_scratch_path(spark, path, "merged")
-        write_table(stage(merged.select(*_united(existing.schema, stored_schema)), place), path)
-        return
-
     touched = batch.select(*partition_keys).distinct()
     listed = touched.limit(MAX_LISTED_PARTITIONS + 1).collect()
-    if not listed:
+    if partition_keys and not listed:
         return
-    existing = _stored(spark, path, stored_schema, partition_keys)
-    columns = _united(existing.schema, stored_schema)
-    if len(listed) <= MAX_LISTED_PARTITIONS:
-        existing = existing.where(_any_of(listed, partition_keys))
-        touched = F.broadcast(touched)
-    if len(listed) > MAX_LISTED_PARTITIONS or len(partition_keys) > 1:
-        existing = semi(existing, touched, partition_keys)
-
-    merged = _merged(
-        batch, existing, partition_keys, primary_keys, version, on_tie, incoming_order
-    )
-    write_partitions(merged.select(*columns), path, partition_keys)
-
 
-def _stored(
-    spark: SparkSession, path: str, incoming: T.StructType, partition_keys: Sequence[str]
-) -> DataFrame:
-    """The table with all columns that its files have, whatever the incoming
-    rows have. A column of another type than the incoming one is an error."""
-    ensure_table(spark, path, incoming, partition_keys)
-    # An empty table has no files of its own columns yet.
-    found = spark.read.option("mergeSchema", True).schema(incoming).parquet(path)
-    if not found.isEmpty():
-        found = spark.read.option("mergeSchema", True).parquet(path)
-    fields = []
-    for field in found.schema.fields:
-        new = incoming[field.name] if field.name in incoming.names else field
-        if new.dataType != field.dataType and field.name not in partition_keys:
-            raise DataQualityError(
-                f"column {field.name} of {path} is {field.dataType.simpleString()},"
-                f" the incoming one {new.dataType.simpleString()}"
-            )
-        fields.append(T.StructField(field.name, new.dataType))
-    return spark.read.schema(T.StructType(fields)).parquet(path)
+    state = table_state(spark, path) or adopted(spark, path)
+    schema = united_schema(path, state.schema if state else None, batch.drop(*helper_columns).schema)
+    unique = state is None or state.unique_keys == tuple(primary_keys)
+    existing = stored_rows(spark, path, replace(state, schema=schema)) if state else None
+    if existing is not None and partition_keys:
+        if len(listed) <= MAX_LISTED_PARTITIONS:
+            existing = existing.where(_any_of(listed, partition_keys))
+            touched = F.broadcast(touched)
+        if len(listed) > MAX_LISTED_PARTITIONS or len(partition_keys) > 1:
+            existing = semi(existing, touched, partition_keys)
+
+    def latest(old: DataFrame | None) -> DataFrame:
+        return _latest(old, batch, partition_keys, primary_keys, version, on_tie, incoming_order, order_settles)
+
+    if existing is None or not unique:
+        merged = latest(existing)
+    else:
+        keys = [*partition_keys, *primary_keys]
+        incoming_keys = batch.select(*keys).distinct()
+        merged = unmatched(existing, incoming_keys, keys).unionByName(
+            latest(semi(existing, incoming_keys, keys)), allowMissingColumns=True
+        )
+    merged = _with_columns(merged, schema)
+    if not partition_keys:
+        write_table(merged, path, unique_keys=primary_keys)
+        return
+    changed = listed_changes([row[0] for row in listed]) if len(listed) <= MAX_LISTED_PARTITIONS else None
+    overwrite_partitions(
+        merged.hint("rebalance", *partition_keys), path, partition_keys,
+        primary_keys if unique else (), changed,
+    )
 
 
-def _united(stored: T.StructType, incoming: T.StructType) -> list[str]:
-    """Stored columns, then those that are new."""
-    return [*stored.names, *(n for n in incoming.names if n not in stored.names)]
+def _with_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of ``schema``, null where ``df`` lacks them."""
+    return df.select(*(
+        F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in schema.fields
+    ))
 
 
-def _merged(
+def _latest(
+    existing: DataFrame | None,
     batch: DataFrame,
-    existing: DataFrame,
     partition_keys: Sequence[str],
     primary_keys: Sequence[str],
     version: str | None,
     on_tie: str,
     incoming_order: Sequence[Column],
+    order_settles: bool,
 ) -> DataFrame:
-    both = existing.withColumn(_ORIGIN, F.lit(0)).unionByName(
-        batch.withColumn(_ORIGIN, F.lit(1)), allowMissingColumns=True
-    )
+    both = batch.withColumn(_ORIGIN, F.lit(1))
+    if existing is not None:
+        both = existing.withColumn(_ORIGIN, F.lit(0)).unionByName(both, allowMissingColumns=True)
     origin = F.col(_ORIGIN).asc() if on_tie == "existing" else F.col(_ORIGIN).desc()
     if not version or version not in both.columns:
         # Nothing tells old from new: rank by origin alone.
         version, both = "__version", both.withColumn("__version", F.lit(None).cast("timestamp"))
     return keep_latest(
         both, primary_keys, version, scope=partition_keys,
-        tie_breakers=[origin, *incoming_order],
+        tie_breakers=[origin, *incoming_order], ties_settled=order_settles,
     )
 
 
@@ -192,8 +248,10 @@ def partition_names(df: DataFrame, partition_keys: Sequence[str]) -> DataFrame:
 
 __all__ = [
     "MAX_LISTED_PARTITIONS",
+    "adopted",
     "ensure_table",
     "merge_partitions",
+    "overwrite_partitions",
     "partition_names",
     "stage",
     "write_partitions",

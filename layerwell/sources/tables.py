@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from layerwell.errors import DataQualityError, MissingInputError
 from layerwell.operators.selection import within
+from layerwell.sources.table_log import TableState, table_state
 
 # How partition folders spell special characters and nulls.
 ESCAPED_IN_FOLDERS = set(map(chr, range(1, 32))) | set("\"#%'*/:=?\\\x7f{[]^")
@@ -22,10 +23,15 @@ def read_table(
     columns: Sequence[str] | None = None,
     where: Column | None = None,
 ) -> DataFrame:
-    """A Parquet table, optionally only some columns and rows. Files whose
-    columns differ are united by name."""
+    """A table, optionally only some columns and rows. Its log tells the columns
+    that any of its files have; in a folder without a log, all files are opened
+    to find out."""
+    state = table_state(spark, path)
     try:
-        df = spark.read.option("mergeSchema", True).parquet(path)
+        if state is None:
+            df = spark.read.option("mergeSchema", True).parquet(path)
+        else:
+            df = stored_rows(spark, path, state)
     except AnalysisException as problem:
         if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
@@ -35,14 +41,22 @@ def read_table(
     return df.select(*columns) if columns else df
 
 
+def stored_rows(spark: SparkSession, path: str, state: TableState) -> DataFrame:
+    """The rows of a table in the given state of it."""
+    return spark.read.schema(state.schema).parquet(state.location(path))
+
+
 def read_partitions(
     spark: SparkSession, path: str, key: str, values: Sequence[str]
 ) -> DataFrame:
     """Rows of the given partitions. Their folders are named outright, so that a
     table of very many partitions need not be listed to find a few of them."""
-    folders = [f"{path}/{partition_folder(key, value)}" for value in values]
+    state = table_state(spark, path)
+    place = state.location(path) if state else path
+    folders = [f"{place}/{partition_folder(key, value)}" for value in values]
+    reader = spark.read.schema(state.schema) if state else spark.read.option("mergeSchema", True)
     try:
-        return spark.read.options(basePath=path, mergeSchema=True).parquet(*folders)
+        return reader.option("basePath", place).parquet(*folders)
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -62,8 +76,9 @@ def read_partition(
 ) -> tuple[DataFrame, DataFrame]:
     """Rows of one partition and the files they are in. A partition that does
     not exist gives an empty frame with the table's columns, and no files."""
+    state = table_state(spark, path)
     try:
-        rows = spark.read.schema(schema).parquet(path)
+        rows = spark.read.schema(schema).parquet(state.location(path) if state else path)
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
