@@ -6,7 +6,8 @@ implementation serves every feed of that shape.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -14,10 +15,36 @@ from layerwell.functions.casting import lenient_timestamp
 from layerwell.functions.dates import month_floor, month_start_from_name, parse_compact_date
 from layerwell.operators.joins import outer_by_key
 from layerwell.operators.rollups import event_metrics, rollup, total
-from layerwell.plans.registry import GoldBuilder, SilverTransform, required_input
+from layerwell.plans.registry import SilverTransform, required_input
 
 
-def compact_dates(column: str = "event_date") -> SilverTransform:
+@dataclass(frozen=True)
+class Period:
+    """Every row of the result stems from the rows of one day or one month of
+    ``date_column`` in ``table``; ``result`` names that day or month."""
+
+    table: str
+    date_column: str
+    result: str
+    unit: str
+
+
+@dataclass(frozen=True)
+class Builder:
+    """A gold builder whose result its settings and inputs determine. ``unique``
+    is a key that the result holds once by construction."""
+
+    kind: str
+    settings: tuple
+    build: Callable[[Mapping[str, DataFrame]], DataFrame] = field(repr=False, compare=False)
+    unique: tuple[str, ...] = ()
+    period: Period | None = None
+
+    def __call__(self, inputs: Mapping[str, DataFrame]) -> DataFrame:
+        return self.build(inputs)
+
+
+def compact_dates(column: str) -> SilverTransform:
     """Turn ``yyyymmdd`` into timestamps; a table without the column is unchanged."""
 
     def transform(df: DataFrame) -> DataFrame:
@@ -28,9 +55,7 @@ def compact_dates(column: str = "event_date") -> SilverTransform:
     return transform
 
 
-def month_names(
-    month: str = "MONTH", year: str = "YEAR", result: str = "month_start_date"
-) -> SilverTransform:
+def month_names(month: str, year: str, result: str) -> SilverTransform:
     """Add the first day of the named month; unchanged without both columns."""
 
     def transform(df: DataFrame) -> DataFrame:
@@ -46,9 +71,9 @@ def daily_event_metrics(
     key: str,
     means: Mapping[str, str],
     sums: Mapping[str, str],
-    date_column: str = "event_date",
+    date_column: str,
     ids_are_unique: bool = False,
-) -> GoldBuilder:
+) -> Builder:
     """Event metrics per day. Set ``ids_are_unique`` for tables merged per day."""
 
     def build(inputs: Mapping[str, DataFrame]) -> DataFrame:
@@ -56,7 +81,9 @@ def daily_event_metrics(
         metrics = event_metrics(key, means, sums, ids_are_unique=ids_are_unique)
         return rollup(df, lenient_period(df, date_column), date_column, metrics)
 
-    return build
+    settings = (table, key, tuple(means.items()), tuple(sums.items()), date_column, ids_are_unique)
+    period = Period(table, date_column, date_column, "day")
+    return Builder("daily event metrics", settings, build, (date_column,), period)
 
 
 def monthly_event_metrics(
@@ -64,9 +91,9 @@ def monthly_event_metrics(
     key: str,
     means: Mapping[str, str],
     sums: Mapping[str, str],
-    date_column: str = "event_date",
-    result: str = "month_start_date",
-) -> GoldBuilder:
+    date_column: str,
+    result: str,
+) -> Builder:
     """Event metrics per month; dates must already be dates or timestamps."""
 
     def build(inputs: Mapping[str, DataFrame]) -> DataFrame:
@@ -76,22 +103,19 @@ def monthly_event_metrics(
             column = F.to_timestamp(column)
         return rollup(df, month_floor(column), result, event_metrics(key, means, sums))
 
-    return build
+    settings = (table, key, tuple(means.items()), tuple(sums.items()), date_column, result)
+    period = Period(table, date_column, result, "month")
+    return Builder("monthly event metrics", settings, build, (result,), period)
 
 
-def monthly_totals(
-    table: str,
-    value: str = "num_events",
-    date_column: str = "month_start_date",
-    result: str = "total_events",
-) -> GoldBuilder:
+def monthly_totals(table: str, value: str, date_column: str, result: str) -> Builder:
     """Sum of a count column per month."""
 
     def build(inputs: Mapping[str, DataFrame]) -> DataFrame:
         df = required_input(inputs, table)
         return rollup(df, F.col(date_column), date_column, [total(value).alias(result)])
 
-    return build
+    return Builder("monthly totals", (table, value, date_column, result), build, (date_column,))
 
 
 def combined_monthly(
@@ -99,8 +123,8 @@ def combined_monthly(
     right: str,
     left_columns: Mapping[str, str],
     right_columns: Mapping[str, str],
-    key: str = "month_start_date",
-) -> GoldBuilder:
+    key: str,
+) -> Builder:
     """Two monthly tables side by side; months of either side are kept. Text
     keys must be readable as timestamps, otherwise the job fails."""
 
@@ -110,7 +134,8 @@ def combined_monthly(
             _strict_key(a, key), _strict_key(b, key), key, left_columns, right_columns
         )
 
-    return build
+    settings = (left, right, tuple(left_columns.items()), tuple(right_columns.items()), key)
+    return Builder("combined monthly", settings, build)
 
 
 def lenient_period(df: DataFrame, column: str):

@@ -13,11 +13,10 @@ import logging
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import asdict, dataclass, field
-from datetime import datetime, timezone
-from functools import reduce
+from datetime import date, datetime, timedelta, timezone
 from graphlib import CycleError, TopologicalSorter
 
-from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F, types as T
 
 from layerwell.errors import ConfigError, MissingInputError
 from layerwell.operators.lineage import (
@@ -28,6 +27,7 @@ from layerwell.operators.lineage import (
 )
 from layerwell.operators.quality import (
     CRITICAL,
+    RESULT_SCHEMA,
     WARNING,
     Check,
     CheckResult,
@@ -39,10 +39,10 @@ from layerwell.operators.quality import (
     observed_results,
     partition_keys_exist,
     record_timestamp,
-    results_table,
     table_checks,
 )
 from layerwell.operators.selection import anti
+from layerwell.plans.builders import Builder, Period
 from layerwell.plans.layers import (
     BATCH_HELPERS,
     bronze_frame,
@@ -55,9 +55,12 @@ from layerwell.session import require_utc, table_scratch_path
 from layerwell.sinks.audit import RunRecord, append_files, append_runs, file_table
 from layerwell.sinks.jdbc import publish_table
 from layerwell.sinks.parquet import (
+    Draft,
+    draft_table,
     merge_partitions,
     overwrite_partitions,
     partition_names,
+    publish_draft,
     stage,
     write_table,
 )
@@ -70,6 +73,7 @@ from layerwell.sources.listing import (
     newest_file,
 )
 from layerwell.sources.manifest import load_manifest, record_files
+from layerwell.sources.table_log import changes_since, table_state
 from layerwell.sources.tables import read_partitions, read_snapshot, read_table, read_window
 from layerwell.spec import PipelineConfig, TableSpec
 
@@ -80,9 +84,16 @@ log = logging.getLogger(__name__)
 FILE_ORDER = "__file_order"
 FILES_PER_ROUND = 20_000
 
+# Changed days or months of a gold table up to which only these are rebuilt.
+MOST_PERIODS = 400
+
 
 FILE_COLUMNS = ("path", "source_key", "modified_at")
 FILE_SCHEMA = "path string, source_key string, modified_at timestamp"
+QUALITY_SCHEMA = T.StructType([
+    *(T.StructField(name, T.StringType()) for name in ("run_id", "layer", "table")),
+    *RESULT_SCHEMA.fields,
+])
 
 
 @dataclass(frozen=True)
@@ -145,7 +156,7 @@ class Run:
     code_version: str | None = None
     results: list[CheckResult] = field(default_factory=list)
     _pending: list[RunRecord] = field(default_factory=list, repr=False)
-    _checked: list[DataFrame] = field(default_factory=list, repr=False)
+    _checked: list[tuple] = field(default_factory=list, repr=False)
     _deferred: bool = field(default=False, repr=False)
 
     def __post_init__(self) -> None:
@@ -173,8 +184,8 @@ class Run:
         if self._deferred:
             return
         if self._checked:
-            rows = reduce(DataFrame.union, self._checked).coalesce(1)
-            rows.write.mode("append").parquet(self.lake.quality)
+            rows = self.spark.createDataFrame(self._checked, QUALITY_SCHEMA)
+            rows.coalesce(1).write.mode("append").parquet(self.lake.quality)
         if self._pending:
             append_runs(self.spark, self.lake.audit, *self._pending)
         self._checked, self._pending = [], []
@@ -411,20 +422,124 @@ def gold_order(config: PipelineConfig) -> list[str]:
         raise ConfigError(f"gold tables depend on each other: {cycle.args[1]}") from cycle
 
 
-def build_gold(run: Run, tables: Sequence[str] | None = None) -> list[str]:
-    """Build gold tables in dependency order and return their names."""
+def build_gold(
+    run: Run, tables: Sequence[str] | None = None, from_scratch: bool = False
+) -> list[str]:
+    """Bring gold tables up to date in dependency order and return their names.
+
+    A table whose builder declares the period its rows stem from is rebuilt for
+    the periods that changed since its last build; one whose inputs have not
+    changed at all stays as it is. Everything else, or all ``from_scratch``, is
+    built anew.
+    """
     order = [t for t in gold_order(run.config) if tables is None or t in tables]
     for table in order:
-        started = datetime.now(timezone.utc)
-        spec = run.config.gold[table]
-        inputs = {i.table: _gold_input(run, i.layer, i.table) for i in spec.inputs}
-        df = gold_frame(inputs, spec, run.builders.get(table))
-        staged, rows = _stage_checked(run, "gold", df, spec, [], spec.primary_keys)
-        write_table(staged, run.lake.gold(table))
-        _audit(run, "gold", table, started, Outcome(len(inputs), 1, rows))
+        _build_gold_table(run, run.config.gold[table], from_scratch)
     return order
 
 
+def _build_gold_table(run: Run, spec: TableSpec, from_scratch: bool) -> None:
+    started = datetime.now(timezone.utc)
+    builder, path = run.builders.get(spec.name), run.lake.gold(spec.name)
+    made_from = _made_from(run, spec, builder)
+    periods = None if from_scratch else _periods_to_build(run, spec, builder, made_from)
+    if periods is not None and not periods:
+        _audit(run, "gold", spec.name, started, Outcome(len(spec.inputs)))
+        return
+
+    inputs = {i.table: _gold_input(run, i.layer, i.table) for i in spec.inputs}
+    if periods is None:
+        df = gold_frame(inputs, spec, builder)
+    else:
+        period = builder.period
+        inputs[period.table] = inputs[period.table].where(_in_periods(period, periods))
+        same = F.to_date(period.result).isin(sorted(periods))
+        df = (
+            read_table(run.spark, path, spec.column_names).where(~same)
+            .unionByName(gold_frame(inputs, spec, builder).where(same))
+        )
+    proved = getattr(builder, "unique", ()) == tuple(spec.primary_keys)
+    draft, rows = _draft_checked(run, df, spec, path, None if proved else spec.primary_keys)
+    publish_draft(run.spark, draft, spec.primary_keys, made_from)
+    files = run.spark.createDataFrame(
+        [(f"{i.layer}/{i.table}",) for i in spec.inputs], "path string"
+    )
+    written = run.spark.createDataFrame([(f"gold/{spec.name}/{draft.folder}",)], "path string")
+    partitions = _audit_files(run, "gold", spec.name, files, written)
+    _audit(run, "gold", spec.name, started, Outcome(len(inputs), partitions, rows))
+
+
+def _made_from(run: Run, spec: TableSpec, builder: Callable) -> dict | None:
+    """What determines a gold table: the state of its inputs, the window, and the
+    settings of builder and columns. None if that cannot be told, as a function
+    may do anything."""
+    if not isinstance(builder, Builder):
+        return None
+    states = {
+        f"{i.layer}/{i.table}": table_state(run.spark, getattr(run.lake, i.layer)(i.table))
+        for i in spec.inputs
+    }
+    if None in states.values():
+        return None
+    first, last = run.config.window(run.now)
+    return {
+        "inputs": {name: state.number for name, state in states.items()},
+        "window": [first.isoformat(), last.isoformat()],
+        "settings": repr((builder, spec, run.code_version)),
+    }
+
+
+def _periods_to_build(
+    run: Run, spec: TableSpec, builder: Callable, made_from: dict | None
+) -> set[date] | None:
+    """First days of the periods that changed since the last build; None if that
+    cannot be told and everything is to be built."""
+    state = table_state(run.spark, run.lake.gold(spec.name))
+    if made_from is None or state is None or state.inputs is None:
+        return None
+    before = state.inputs
+    if before["settings"] != made_from["settings"] or before["inputs"].keys() != made_from["inputs"].keys():
+        return None
+    if before["inputs"] == made_from["inputs"] and (
+        before["window"] == made_from["window"] or all(i.layer == "gold" for i in spec.inputs)
+    ):
+        return set()
+    period = builder.period
+    if period is None or len(spec.inputs) != 1 or spec.inputs[0].layer != "silver":
+        return None
+    silver = run.config.silver[period.table]
+    if list(silver.partition_keys) != [period.date_column] or run.config.source(period.table).mode != "append":
+        return None
+    name = f"silver/{period.table}"
+    touched = changes_since(run.spark, run.lake.silver(period.table), before["inputs"][name])
+    if touched is None:
+        return None
+    try:
+        days = {date.fromisoformat(text[:10]) for text in touched if text is not None}
+        for old, new in zip(before["window"], made_from["window"]):
+            low, high = sorted(date.fromisoformat(text[:10]) for text in (old, new))
+            if old != new:
+                if (high - low).days > MOST_PERIODS:
+                    return None
+                days |= {low + timedelta(days=n) for n in range((high - low).days + 1)}
+    except ValueError:
+        return None
+    periods = {day.replace(day=1) if period.unit == "month" else day for day in days}
+    return periods if len(periods) <= MOST_PERIODS else None
+
+
+def _in_periods(period: Period, starts: set[date]) -> Column:
+    """Rows of the given days or months, as ranges that prune partitions."""
+    column, wanted = F.col(period.date_column), F.lit(False)
+    for first in sorted(starts):
+        if period.unit == "month":
+            after = (first.replace(day=28) + timedelta(days=4)).replace(day=1)
+        else:
+            after = first + timedelta(days=1)
+        wanted = wanted | ((column >= F.lit(first)) & (column < F.lit(after)))
+    return wanted
+
+
 def _gold_input(run: Run, layer: str, table: str) -> DataFrame:
     if layer == "gold":
         return read_table(run.spark, run.lake.gold(table))
@@ -526,28 +641,42 @@ def _stage_checked(
     """Store ``df`` in the scratch folder, checking it on the way; raise if a
     critical check fails. ``unique`` names the key to verify, unless it holds
     by construction. Returns the stored rows and their number."""
+
+    def store(observed: DataFrame) -> DataFrame:
+        return stage(observed, run.staging(layer, spec.name))
+
+    return _checked(run, layer, df, spec, extra, unique, store, lambda staged: staged)
+
+
+def _draft_checked(
+    run: Run, df: DataFrame, spec: TableSpec, path: str, unique: Sequence[str] | None
+) -> tuple[Draft, int]:
+    """As :func:`_stage_checked` for rows that need no merging: they are written
+    beside the table at ``path``, to become it once they have passed."""
+    return _checked(
+        run, "gold", df, spec, [], unique,
+        lambda observed: draft_table(observed, path), lambda draft: draft.rows(run.spark),
+    )
+
+
+def _checked(run, layer, df, spec, extra, unique, store, rows_of):
     checks = [*table_checks(df, spec), *extra]
     enforce_schema_checks(*checks)
     observed, observation = observe_checks(df, checks)
-    staged = stage(observed, run.staging(layer, spec.name))
+    stored = store(observed)
     results = observed_results(checks, observation)
     rows = results[0].total
     if unique:
-        results += collect_results(key_uniqueness(staged, unique))
+        results += collect_results(key_uniqueness(rows_of(stored), unique))
     run.results += results
     _record_quality(run, layer, spec.name, results)
     enforce(results)
-    return staged, rows
+    return stored, rows
 
 
 def _record_quality(run: Run, layer: str, table: str, results: Sequence[CheckResult]) -> None:
-    rows = results_table(run.spark, results).select(
-        F.lit(run.run_id).alias("run_id"),
-        F.lit(layer).alias("layer"),
-        F.lit(table).alias("table"),
-        "*",
-    )
-    run._checked.append(rows)
+    names = RESULT_SCHEMA.names
+    run._checked += [(run.run_id, layer, table, *(getattr(r, n) for n in names)) for r in results]
     if any(not r.passed and r.severity == CRITICAL for r in results):
         run.keep_records()
 
@@ -578,6 +707,7 @@ def _audit(run: Run, layer: str, table: str, started: datetime, outcome: Outcome
             "pipeline": {"name": run.config.name, "timezone": run.config.timezone},
             "window": run.config.window(run.now),
             "source": asdict(run.config.sources[table]) if table in run.config.sources else {},
+            "schema": getattr(run.config, layer)[table].dtypes,
         },
     )
     run._pending.append(record)

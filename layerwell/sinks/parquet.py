@@ -13,7 +13,7 @@ fails leaves the table as it was.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import replace
+from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -22,6 +22,7 @@ from layerwell.operators.dedup import keep_latest
 from layerwell.operators.selection import semi, unmatched
 from layerwell.session import scratch_path, table_scratch_path
 from layerwell.sources.table_log import (
+    Files,
     TableState,
     commit,
     listed_changes,
@@ -38,24 +39,44 @@ MAX_LISTED_PARTITIONS = 10_000
 _ORIGIN = "__origin"
 
 
+@dataclass(frozen=True)
+class Draft:
+    """Rows that are written, but not a table's yet."""
+
+    path: str
+    before: TableState | None
+    folder: str
+    schema: T.StructType
+
+    def rows(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(self.schema).parquet(f"{self.path}/{self.folder}")
+
+
+def draft_table(df: DataFrame, path: str, partition_keys: Sequence[str] = ()) -> Draft:
+    """Write what is to replace a table, beside it. ``df`` may read the table."""
+    before = table_state(df.sparkSession, path)
+    draft = Draft(path, before, next_folder(before), united_schema(path, None, df.schema))
+    if partition_keys:
+        df = df.hint("rebalance", *partition_keys)
+    df.write.partitionBy(*partition_keys).parquet(f"{path}/{draft.folder}")
+    return draft
+
+
+def publish_draft(
+    spark: SparkSession, draft: Draft, unique_keys: Sequence[str] = (), inputs: dict | None = None
+) -> None:
+    """Make a draft the table. ``unique_keys`` states a key that it is known to
+    hold once, ``inputs`` what it was made from."""
+    state = TableState(0, draft.folder, draft.schema, tuple(unique_keys), None, inputs)
+    commit(spark, draft.path, draft.before, state)
+
+
 def write_table(
-    df: DataFrame,
-    path: str,
-    partition_keys: Sequence[str] = (),
-    unique_keys: Sequence[str] = (),
-    inputs: dict | None = None,
+    df: DataFrame, path: str, partition_keys: Sequence[str] = (), unique_keys: Sequence[str] = ()
 ) -> None:
     """Replace a table, which ``df`` may read from. Readers see the old rows until
-    the new ones are complete; a failure on the way changes nothing.
-    ``unique_keys`` states a key that ``df`` is known to hold once."""
-    spark = df.sparkSession
-    before = table_state(spark, path)
-    folder = next_folder(before)
-    if partition_keys:
-        df = df.hint("rebalance", *partition_keys)
-    df.write.partitionBy(*partition_keys).parquet(f"{path}/{folder}")
-    schema = united_schema(path, None, df.schema)
-    commit(spark, path, before, TableState(0, folder, schema, tuple(unique_keys), None, inputs))
+    the new ones are complete; a failure on the way changes nothing."""
+    publish_draft(df.sparkSession, draft_table(df, path, partition_keys), unique_keys)
 
 
 def write_partitions(df: DataFrame, path: str, partition_keys: Sequence[str]) -> None:
@@ -92,10 +113,12 @@ def overwrite_partitions(
 def adopted(spark: SparkSession, path: str) -> TableState | None:
     """State of a table that was written without a log: its columns are read
     from its files, once."""
+    if not Files(spark, path).there(path):
+        return None
     try:
         found = spark.read.option("mergeSchema", True).parquet(path)
     except AnalysisException as problem:
-        if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if problem.getCondition() != "UNABLE_TO_INFER_SCHEMA":
             raise
         return None
     return TableState(0, "", united_schema(path, None, found.schema))
@@ -116,12 +139,9 @@ def stage(df: DataFrame, path: str | None = None) -> DataFrame:
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The append-only table at ``path``, whose columns are fixed; empty if
     nothing has been appended yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not Files(spark, path).there(path):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def merge_partitions(
@@ -248,11 +268,14 @@ def partition_names(df: DataFrame, partition_keys: Sequence[str]) -> DataFrame:
 
 __all__ = [
     "MAX_LISTED_PARTITIONS",
+    "Draft",
     "adopted",
+    "draft_table",
     "ensure_table",
     "merge_partitions",
     "overwrite_partitions",
     "partition_names",
+    "publish_draft",
     "stage",
     "write_partitions",
     "write_table",

@@ -23,21 +23,21 @@ def values(df, column):
 
 def test_compact_dates_text_and_numbers(spark):
     df = spark.createDataFrame([("20240115",), ("20240201",)], "event_date string")
-    out = df.transform(compact_dates())
+    out = df.transform(compact_dates("event_date"))
     assert values(out, "event_date") == [datetime(2024, 1, 15), datetime(2024, 2, 1)]
-    numbers = spark.createDataFrame([(20240115,)], "event_date long").transform(compact_dates())
+    numbers = spark.createDataFrame([(20240115,)], "event_date long").transform(compact_dates("event_date"))
     assert values(numbers, "event_date") == [datetime(2024, 1, 15)]
 
 
 @pytest.mark.parametrize("bad", ["invalid_date", "2024011", "20240230", "20240115.0", "", None])
 def test_compact_dates_invalid(spark, bad):
     df = spark.createDataFrame([("20240115",), (bad,)], "event_date string")
-    assert values(df.transform(compact_dates()), "event_date") == [datetime(2024, 1, 15), None]
+    assert values(df.transform(compact_dates("event_date")), "event_date") == [datetime(2024, 1, 15), None]
 
 
 def test_compact_dates_absent_column(spark):
     df = spark.createDataFrame([(1,), (2,)], "some_other_column long")
-    assert df.transform(compact_dates()).collect() == df.collect()
+    assert df.transform(compact_dates("event_date")).collect() == df.collect()
 
 
 def test_month_names(spark):
@@ -46,7 +46,7 @@ def test_month_names(spark):
          ("Jan", 2026, 1), (None, 2026, 1), ("May", None, 1)],
         "MONTH string, YEAR long, value long",
     )
-    out = df.transform(month_names())
+    out = df.transform(month_names("MONTH", "YEAR", "month_start_date"))
     assert out.columns == ["MONTH", "YEAR", "value", "month_start_date"]
     assert values(out, "month_start_date") == [
         datetime(2026, 1, 1), datetime(2026, 2, 1), datetime(2026, 3, 1), None, None, None, None
@@ -55,7 +55,7 @@ def test_month_names(spark):
 
 def test_month_names_absent_column(spark):
     df = spark.createDataFrame([("January",)], "MONTH string")
-    assert df.transform(month_names()).columns == ["MONTH"]
+    assert df.transform(month_names("MONTH", "YEAR", "month_start_date")).columns == ["MONTH"]
 
 
 def test_rename_ignores_absent_sources(spark):

@@ -1,0 +1,197 @@
+"""Gold tables follow the periods that changed, and equal a build from scratch."""
+
+import random
+from datetime import date, datetime, timedelta, timezone
+
+import pytest
+
+from layerwell.plans import refresh
+from layerwell.plans.builders import daily_event_metrics, monthly_event_metrics
+from layerwell.plans.refresh import Lake, Run, build_gold, refresh_bronze, refresh_silver
+from layerwell.plans.registry import Registry
+from layerwell.sources.table_log import table_state
+from layerwell.sources.tables import read_table
+from layerwell.spec import PipelineConfig
+
+NAMES = ["on", "id", "litres"]
+RESULTS = {"total_events": {"type": "Int64"}, "mean_litres": {"type": "Float64"}, "litres": {"type": "Int64"}}
+MEASURES = {"key": "id", "means": {"litres": "mean_litres"}, "sums": {"litres": "litres"}}
+
+
+def config(end="2026-12-31", **more):
+    key = {"type": "date", "nullable": False, "primary_key": True}
+    inputs = {"meters": {"layer": "silver", "table_name": "meters"}}
+    return PipelineConfig.from_mappings(
+        {"pipeline": {"name": "p", "timezone": "UTC", "execution": {"start_date": "2026-01-01", "end_date": end}}},
+        {"sources": {"meters": {
+            "acquisition_method": "manual_drop", "ingestion_mode": "append", "file_type": "csv",
+            "reader": {"header": None, "names": NAMES},
+        }}},
+        {"schemas": {
+            "bronze": {"meters": {"required_columns": NAMES}},
+            "silver": {"meters": {"columns": {
+                "on": {"type": "date", "nullable": False, "partition_key": True, "record_timestamp": True},
+                "id": {"type": "string", "nullable": False, "primary_key": True}, "litres": {"type": "Int64"},
+            }}},
+            "gold": {
+                "by_day": {"inputs": inputs, "columns": {"on": key, **RESULTS}},
+                "by_month": {"inputs": inputs, "columns": {"month": key, **RESULTS, **more}},
+            },
+        }},
+    )
+
+
+@pytest.fixture
+def builders():
+    made = Registry("gold builder")
+    made.register("by_day", daily_event_metrics("meters", **MEASURES, date_column="on", ids_are_unique=True))
+    made.register("by_month", monthly_event_metrics("meters", **MEASURES, date_column="on", result="month"))
+    return made
+
+
+class Site:
+    def __init__(self, spark, root, builders):
+        self.spark, self.lake, self.builders, self.runs = spark, Lake(str(root)), builders, 0
+        (root / "landing" / "meters").mkdir(parents=True)
+        self.landing = root / "landing" / "meters"
+
+    def land(self, name, *lines):
+        (self.landing / f"{name}.csv").write_text("".join(f"{d},{i},{n}\n" for d, i, n in lines))
+
+    def run(self, settings=None, **how):
+        self.runs += 1
+        transforms = Registry("silver transform")
+        transforms.register("meters", lambda df: df)
+        run = Run(self.spark, settings or config(), self.lake, transforms, self.builders, f"r{self.runs}",
+                  datetime(2026, 6, 1, tzinfo=timezone.utc) + timedelta(hours=self.runs))
+        refresh_bronze(run, "meters")
+        refresh_silver(run, "meters")
+        build_gold(run, **how)
+        return run
+
+    def gold(self, table):
+        return sorted(tuple(r) for r in read_table(self.spark, self.lake.gold(table)).collect())
+
+    def version(self, table):
+        return table_state(self.spark, self.lake.gold(table)).number
+
+    def same_as_from_scratch(self, settings=None):
+        now = [self.gold(t) for t in ("by_day", "by_month")]
+        self.run(settings, from_scratch=True)
+        return now == [self.gold(t) for t in ("by_day", "by_month")]
+
+
+@pytest.fixture
+def site(spark, tmp_path, builders):
+    return Site(spark, tmp_path, builders)
+
+
+@pytest.fixture
+def built(monkeypatch):
+    """What each gold build reads: the days of its input."""
+    seen, frame = [], refresh.gold_frame
+
+    def watched(inputs, spec, builder):
+        days = inputs["meters"].select("on").distinct().collect()
+        seen.append((spec.name, sorted(r["on"] for r in days)))
+        return frame(inputs, spec, builder)
+
+    monkeypatch.setattr(refresh, "gold_frame", watched)
+    return seen
+
+
+def test_one_new_day_reads_one_period(site, built):
+    site.land("a", *((f"2026-0{m}-{d:02d}", f"{m}{d}", d) for m in (1, 2, 3) for d in (1, 9, 20)))
+    site.run()
+    built.clear()
+    site.land("b", ("2026-02-10", "x", 4), ("2026-02-10", "y", 6))
+    site.run()
+    assert dict(built) == {
+        "by_day": [date(2026, 2, 10)],
+        "by_month": [date(2026, 2, 1), date(2026, 2, 9), date(2026, 2, 10), date(2026, 2, 20)],
+    }
+    assert (date(2026, 2, 1), 5, 8.0, 40) in site.gold("by_month")
+    assert (date(2026, 2, 10), 2, 5.0, 10) in site.gold("by_day")
+    assert site.same_as_from_scratch()
+
+
+def test_nothing_new_builds_nothing(site, built):
+    site.land("a", ("2026-01-01", "1", 5))
+    site.run()
+    versions = [site.version(t) for t in ("by_day", "by_month")]
+    built.clear()
+    site.run()
+    assert built == [] and versions == [site.version(t) for t in ("by_day", "by_month")]
+
+
+def test_late_and_corrected_rows_reach_their_period(site, built):
+    site.land("a", *((f"2026-01-{d:02d}", d, d) for d in range(1, 29)))
+    site.run()
+    built.clear()
+    site.land("b", ("2026-01-03", "late", 100), ("2026-04-01", "m", 1))
+    site.run()
+    assert dict(built)["by_day"] == [date(2026, 1, 3), date(2026, 4, 1)]
+    assert (date(2026, 1, 3), 2, 51.5, 103) in site.gold("by_day")
+    assert site.same_as_from_scratch()
+
+
+def test_other_settings_build_everything(site, built):
+    site.land("a", ("2026-01-01", "1", 5), ("2026-03-01", "2", 7))
+    site.run()
+    built.clear()
+    site.builders.register("by_day", daily_event_metrics("meters", **MEASURES, date_column="on"))
+    site.run()
+    assert [name for name, _ in built] == ["by_day"] and len(built[0][1]) == 2
+    built.clear()
+    site.run(config(extra={"type": "Int64"}))
+    assert [name for name, _ in built] == ["by_month"]
+    built.clear()
+    site.builders.register("by_day", lambda inputs: daily_event_metrics("meters", **MEASURES, date_column="on")(inputs))
+    for _ in range(2):  # what a function does cannot be known
+        site.run(config(extra={"type": "Int64"}))
+    assert [name for name, _ in built] == ["by_day", "by_day"]
+
+
+def test_a_moved_window_rebuilds_what_it_uncovers_and_covers(site, built):
+    site.land("a", *((f"2026-0{m}-15", m, m) for m in range(1, 7)))
+    site.run(config("2026-03-20"))
+    assert len(site.gold("by_month")) == 3
+    built.clear()
+    site.run(config("2026-05-16"))
+    assert dict(built)["by_day"] == [date(2026, 4, 15), date(2026, 5, 15)]
+    assert len(site.gold("by_month")) == 5 and site.same_as_from_scratch(config("2026-05-16"))
+    site.run(config("2026-02-10"))
+    assert len(site.gold("by_day")) == 1 and site.same_as_from_scratch(config("2026-02-10"))
+
+
+def test_many_changed_periods_and_replaced_silver_build_everything(site, built, monkeypatch):
+    site.land("a", ("2026-01-01", "1", 5), ("2026-03-01", "2", 7))
+    site.run()
+    monkeypatch.setattr(refresh, "MOST_PERIODS", 1)
+    built.clear()
+    site.land("b", ("2026-04-01", "1", 5), ("2026-05-01", "2", 7))
+    site.run()
+    assert len(dict(built)["by_day"]) == 4 and site.same_as_from_scratch()
+
+
+def test_random_deliveries_equal_a_build_from_scratch(site):
+    r = random.Random(2)
+    for number in range(3):
+        days = [date(2026, 1, 1) + timedelta(days=r.randrange(120)) for _ in range(5)]
+        site.land(f"f{number}", *((r.choice(days), r.randrange(6), r.randrange(50)) for _ in range(30)))
+        site.run()
+        assert site.same_as_from_scratch()
+
+
+def test_a_failed_check_leaves_the_gold_table(site):
+    from layerwell.errors import DataQualityError
+
+    site.land("a", ("2026-01-01", "1", 5))
+    site.run()
+    before = site.gold("by_month")
+    site.land("b", ("2026-02-01", "2", 5))
+    with pytest.raises(DataQualityError):
+        site.run(config(absent={"type": "Int64", "nullable": False}))
+    assert site.gold("by_month") == before
+    site.run()
+    assert len(site.gold("by_month")) == 2

@@ -46,16 +46,17 @@ MEASURES = {
 }
 TRANSFORMS, BUILDERS = Registry("silver transform"), Registry("gold builder")
 TRANSFORMS.register("feed", compact_dates("event_date"))
-TRANSFORMS.register("counts", month_names())
-BUILDERS.register("feed_daily", daily_event_metrics("feed", **MEASURES, ids_are_unique=True))
-BUILDERS.register("feed_monthly", monthly_event_metrics("feed", **MEASURES))
-BUILDERS.register("counts_monthly", monthly_totals("counts"))
+TRANSFORMS.register("counts", month_names("MONTH", "YEAR", "month_start_date"))
+BUILDERS.register("feed_daily", daily_event_metrics("feed", **MEASURES, date_column="event_date", ids_are_unique=True))
+BUILDERS.register("feed_monthly", monthly_event_metrics("feed", **MEASURES, date_column="event_date", result="month_start_date"))
+BUILDERS.register("counts_monthly", monthly_totals("counts", "num_events", "month_start_date", "total_events"))
 BUILDERS.register(
     "combined",
     combined_monthly(
         "feed_monthly", "counts_monthly",
         {"total_events": "feed_total_events", "avg_tone": "feed_avg_tone"},
         {"total_events": "counts_total_events"},
+        key="month_start_date",
     ),
 )
 KEY = {"type": "datetime64[ns]", "nullable": False, "primary_key": True}

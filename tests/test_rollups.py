@@ -1,8 +1,12 @@
-"""Gold builders against hand-computed frames."""
+"""Metrics per day and month, against a plain Python model of them."""
 
-from datetime import date, datetime
+import random
+from collections import defaultdict
+from datetime import date, datetime, timedelta
+from statistics import fmean
 
 import pytest
+from pyspark.sql import functions as F
 
 from layerwell.errors import MissingInputError
 from layerwell.operators.rollups import event_metrics, rollup
@@ -12,123 +16,130 @@ from layerwell.plans.builders import (
     monthly_event_metrics,
     monthly_totals,
 )
-from pyspark.sql import functions as F
 
-FEED = "event_date date, event_id long, avg_tone double, num_mentions long, num_articles long"
-METRICS = ["total_events", "avg_tone", "total_mentions", "total_articles"]
-MEASURES = {
-    "key": "event_id",
-    "means": {"avg_tone": "avg_tone"},
-    "sums": {"num_mentions": "total_mentions", "num_articles": "total_articles"},
-}
+TRIPS = "left_on date, trip long, delay double, riders long, bikes long"
+MEASURES = {"key": "trip", "means": {"delay": "mean_delay"}, "sums": {"riders": "riders", "bikes": "bikes"}}
+RESULTS = ["total_events", "mean_delay", "riders", "bikes"]
 
 
-def rows(df, *columns):
-    return sorted(tuple(r) for r in df.select(*columns).collect())
+def trips(seed, n=200, days=75):
+    """Trips with repeated ids and gaps in every column, the date included."""
+    r = random.Random(seed)
 
+    def maybe(value):
+        return None if r.random() < 0.15 else value
 
-def feed(spark, days):
-    metrics = [(1, 0.5, 2, 1), (2, 1.5, 3, 2), (3, -0.5, 1, 1)]
-    return spark.createDataFrame([(d, *m) for d, m in zip(days, metrics)], FEED)
+    return [
+        (maybe(date(2025, 11, 20) + timedelta(days=r.randrange(days))), maybe(r.randrange(n // 2)),
+         maybe(r.randrange(-40, 90) / 8), maybe(r.randrange(60)), maybe(r.randrange(5)))
+        for _ in range(n)
+    ]
 
 
-def test_daily(spark):
-    df = feed(spark, [date(2026, 2, 16), date(2026, 2, 16), date(2026, 2, 17)])
-    expected = [(date(2026, 2, 16), 2, 1.0, 5, 3), (date(2026, 2, 17), 1, -0.5, 1, 1)]
-    for unique in (False, True):
-        out = daily_event_metrics("feed", **MEASURES, ids_are_unique=unique)({"feed": df})
-        assert rows(out, "event_date", *METRICS) == expected
+def expected(rows, period):
+    groups = defaultdict(list)
+    for row in rows:
+        if row[0] is not None:
+            groups[period(row[0])].append(row)
+    out = {}
+    for key, own in groups.items():
+        delays = [x[2] for x in own if x[2] is not None]
+        out[key] = (
+            len({x[1] for x in own if x[1] is not None}), fmean(delays) if delays else None,
+            sum(x[3] or 0 for x in own), sum(x[4] or 0 for x in own),
+        )
+    return out
 
 
-def test_monthly(spark):
-    df = feed(spark, [date(2026, 2, 16), date(2026, 2, 20), date(2026, 3, 5)])
-    out = monthly_event_metrics("feed", **MEASURES)({"feed": df})
-    assert rows(out, "month_start_date", *METRICS) == [
-        (datetime(2026, 2, 1), 2, 1.0, 5, 3), (datetime(2026, 3, 1), 1, -0.5, 1, 1)
-    ]
+def found(df, key):
+    return {r[key]: tuple(r[c] for c in RESULTS) for r in df.collect()}
 
 
-def test_nulls_in_metrics_and_keys(spark):
-    day = date(2026, 2, 16)
-    df = spark.createDataFrame(
-        [(day, None, None, None, None), (day, 1, None, None, 4), (None, 2, 1.0, 1, 1)], FEED
-    )
-    out = daily_event_metrics("feed", **MEASURES)({"feed": df})
-    assert rows(out, "event_date", *METRICS) == [(day, 1, None, 0, 4)]
+def daily(**more):
+    return daily_event_metrics("trips", **MEASURES, date_column="left_on", **more)
 
 
-def test_repeated_ids_count_once(spark):
-    day = date(2026, 2, 16)
-    df = spark.createDataFrame([(day, 1, 1.0, 1, 1)] * 3, FEED)
-    assert daily_event_metrics("feed", **MEASURES)({"feed": df}).first()["total_events"] == 1
+def monthly():
+    return monthly_event_metrics("trips", **MEASURES, date_column="left_on", result="month")
 
 
-def test_text_dates_are_parsed_leniently(spark):
-    df = spark.createDataFrame(
-        [("2026-02-16", 1, 0.5, 2, 1), ("bad", 2, 1.5, 3, 2)], FEED.replace("date date", "date string")
-    )
-    out = daily_event_metrics("feed", **MEASURES)({"feed": df})
-    assert rows(out, "event_date", "total_events") == [(datetime(2026, 2, 16), 1)]
+@pytest.mark.parametrize("seed", [1, 2])
+def test_days(spark, seed):
+    rows = trips(seed)
+    out = daily()({"trips": spark.createDataFrame(rows, TRIPS).repartition(5)})
+    assert found(out, "left_on") == expected(rows, lambda d: d)
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_months(spark, seed):
+    rows = trips(seed)
+    out = monthly()({"trips": spark.createDataFrame(rows, TRIPS).repartition(5)})
+    assert found(out, "month") == expected(rows, lambda d: datetime(d.year, d.month, 1))
+
+
+def test_ids_that_are_unique_need_no_distinct_count(spark):
+    rows = [(d, i, x, a, b) for i, (d, _, x, a, b) in enumerate(trips(5))]
+    out = daily(ids_are_unique=True)({"trips": spark.createDataFrame(rows, TRIPS)})
+    assert found(out, "left_on") == expected(rows, lambda d: d)
+
 
+def test_one_id_in_every_row_counts_once(spark):
+    rows = [(date(2026, 5, 1), 77, float(i), 1, 0) for i in range(40)]
+    assert found(daily()({"trips": spark.createDataFrame(rows, TRIPS)}), "left_on") == {date(2026, 5, 1): (1, 19.5, 40, 0)}
 
-def test_approximate_distinct(spark):
+
+def test_dates_in_text_are_parsed_leniently(spark):
+    rows = [(text, i, 1.0, 1, 1) for i, text in enumerate(["2026-05-01", "first of May", None, "2026-05-01", "2026-13-01"])]
+    df = spark.createDataFrame(rows, TRIPS.replace("left_on date", "left_on string"))
+    assert found(daily()({"trips": df}), "left_on") == {datetime(2026, 5, 1): (2, 1.0, 2, 2)}
+
+
+def test_a_sketch_is_near_the_exact_count(spark):
     df = spark.range(5000).select(
-        F.lit(date(2026, 1, 1)).alias("d"), F.col("id").alias("event_id"),
-        F.lit(1.0).alias("avg_tone"), F.lit(1).alias("num_mentions"), F.lit(1).alias("num_articles"),
+        F.lit("all").alias("d"), F.col("id").alias("trip"),
+        F.lit(1.0).alias("delay"), F.lit(1).alias("riders"), F.lit(1).alias("bikes"),
     )
     out = rollup(df, F.col("d"), "d", event_metrics(**MEASURES, approximate_error=0.02)).first()
     assert abs(out["total_events"] - 5000) < 400
 
 
-def test_counts_monthly(spark):
-    df = spark.createDataFrame(
-        [(datetime(2026, 1, 1), 5), (datetime(2026, 1, 1), 7), (datetime(2026, 2, 1), 3)],
-        "month_start_date timestamp, num_events long",
-    )
-    out = monthly_totals("counts")({"counts": df})
-    assert rows(out, "month_start_date", "total_events") == [
-        (datetime(2026, 1, 1), 12), (datetime(2026, 2, 1), 3)
-    ]
+def test_totals_by_month(spark):
+    r = random.Random(6)
+    rows = [(r.choice([None, date(2026, 4, 1), date(2026, 7, 1)]), r.choice([None, r.randrange(50)])) for _ in range(60)]
+    build = monthly_totals("stock", "pieces", "month", "all_pieces")
+    out = build({"stock": spark.createDataFrame(rows, "month date, pieces long")})
+    want = {m: sum(n or 0 for x, n in rows if x == m) for m, _ in rows if m}
+    assert {x["month"]: x["all_pieces"] for x in out.collect()} == want
 
 
-def combine():
+def side_by_side():
     return combined_monthly(
-        "feed", "counts",
-        {"total_events": "feed_total", "avg_tone": "feed_tone"}, {"total_events": "counts_total"},
+        "trips", "stock", {"total_events": "trips", "mean_delay": "mean_delay"}, {"pieces": "pieces"}, key="month"
     )
 
 
-def test_combined_keeps_unmatched_months(spark):
-    left = spark.createDataFrame(
-        [(datetime(2026, 1, 1), 100, 0.1), (datetime(2026, 2, 1), 200, 0.2)],
-        "month_start_date timestamp, total_events long, avg_tone double",
-    )
-    right = spark.createDataFrame(
-        [("2026-02-01", 5), ("2026-03-01", 7)], "month_start_date string, total_events long"
-    )
-    out = combine()({"feed": left, "counts": right})
-    assert rows(out, "month_start_date", "feed_total", "feed_tone", "counts_total") == [
-        (datetime(2026, 1, 1), 100, 0.1, None),
-        (datetime(2026, 2, 1), 200, 0.2, 5),
-        (datetime(2026, 3, 1), None, None, 7),
-    ]
+def test_months_of_either_side_stay_and_null_months_meet(spark):
+    ours = {None: (4, 0.5), datetime(2026, 4, 1): (9, None), datetime(2026, 6, 1): (1, -2.0)}
+    theirs = {None: 8, "2026-06-01": 3, "2026-08-01": 0}
+    left = spark.createDataFrame([(k, *v) for k, v in ours.items()], "month timestamp, total_events long, mean_delay double")
+    right = spark.createDataFrame(list(theirs.items()), "month string, pieces long")
+    made = {r["month"]: (r["trips"], r["mean_delay"], r["pieces"]) for r in side_by_side()({"trips": left, "stock": right}).collect()}
+    assert made == {
+        None: (4, 0.5, 8), datetime(2026, 4, 1): (9, None, None),
+        datetime(2026, 6, 1): (1, -2.0, 3), datetime(2026, 8, 1): (None, None, 0),
+    }
 
 
-def test_combined_null_keys_meet(spark):
-    left = spark.createDataFrame(
-        [(None, 1, 0.1)], "month_start_date timestamp, total_events long, avg_tone double"
-    )
-    right = spark.createDataFrame([(None, 2)], "month_start_date timestamp, total_events long")
-    out = combine()({"feed": left, "counts": right})
-    assert [tuple(r) for r in out.collect()] == [(None, 1, 0.1, 2)]
+def test_settings_tell_builders_apart():
+    assert daily() == daily() and repr(daily()) == repr(daily())
+    assert daily() != daily(ids_are_unique=True) and daily() != monthly()
+    assert daily().period.unit == "day" and monthly().unique == ("month",)
 
 
 def test_missing_inputs(spark):
-    df = spark.createDataFrame([(None, 2)], "month_start_date timestamp, total_events long")
-    for build in (daily_event_metrics("x", **MEASURES), monthly_event_metrics("x", **MEASURES), monthly_totals("x")):
+    df = spark.createDataFrame([], "month timestamp, total_events long, mean_delay double, pieces long")
+    for build in (daily(), monthly(), monthly_totals("stock", "pieces", "month", "all"), side_by_side()):
         with pytest.raises(MissingInputError):
-            build({})
-    with pytest.raises(MissingInputError):
-        combine()({"feed": df})
+            build({"other": df})
     with pytest.raises(MissingInputError):
-        combine()({"counts": df})
+        side_by_side()({"trips": df})
