@@ -25,6 +25,7 @@ from layerwell.operators.quality import (
 from layerwell.operators.schema import enforce_schema, rename_columns
 from layerwell.functions.text import normalize_strings
 from layerwell.plans.registry import GoldBuilder, SilverTransform
+from layerwell.sources.delimited import BAD_LINE
 from layerwell.sources.listing import source_key
 from layerwell.sources.tabular import read_files
 from layerwell.spec import SourceSpec, TableSpec
@@ -71,7 +72,10 @@ def silver_frame(
     ingestion time, so the first one stays. ``across_files`` chooses over all
     files instead, which makes the choice within files redundant. Rows without
     a key disappear here; ``observation`` reports their number as ``null_keys``.
+    Lines that bronze keeps as bad ones have no values and stay behind.
     """
+    if BAD_LINE in bronze.columns:
+        bronze = bronze.where(F.col(BAD_LINE).isNull()).drop(BAD_LINE)
     df = bronze.transform(rename_columns, spec).transform(transform)
     df = normalize_strings(df)
     enforce_schema_checks(primary_keys_exist(df, spec.primary_keys))

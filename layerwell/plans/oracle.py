@@ -122,6 +122,11 @@ ORACLE: dict[str, str] = {
          CASE WHEN year(o_orderdate) >= 1997 THEN o_orderpriority END AS o_orderpriority,
          CAST(date_trunc('year', o_orderdate) AS DATE) AS year
   FROM orders WHERE year(o_orderdate) BETWEEN 1995 AND 1998""",
+    "bronze_bad_lines": """
+  SELECT CASE WHEN o_orderstatus <> 'P' THEN o_orderkey::VARCHAR END AS key,
+         CASE WHEN o_orderstatus <> 'P' THEN concat(o_orderstatus, ',x') END AS flag,
+         CASE WHEN o_orderstatus = 'P' THEN concat(o_orderkey, ',"P,x",,more') END AS line
+  FROM orders""",
     "append_incremental": """
   SELECT * REPLACE (CAST(l_shipdate AS DATE) AS l_shipdate) FROM lineitem
   QUALIFY row_number() OVER (

@@ -29,7 +29,7 @@ from layerwell.plans.builders import (
     monthly_totals,
 )
 from layerwell.plans.packing import workbook_batches, zip_batches
-from layerwell.plans.refresh import Lake, Run, build_gold, refresh_bronze, refresh_silver
+from layerwell.plans.refresh import Lake, Run, bad_lines, build_gold, refresh_bronze, refresh_silver
 from layerwell.plans.registry import Registry
 from layerwell.session import scratch_path
 from layerwell.sinks.audit import append_files, file_table
@@ -690,6 +690,23 @@ def bronze_zip(spark, sf_dir):
     return enforce_schema(rows, ORDER_TYPES)
 
 
+@query("bronze_bad_lines")
+def bronze_bad_lines(spark, sf_dir):
+    """Orders as text, of which the finished ones have fields too many, through
+    bronze and silver: rows that arrived, and the lines kept back."""
+    run = Run(
+        spark, BAD_LINES_CONFIG, Lake(scratch_path(spark, "lake")), TRANSFORMS, BUILDERS, RUN_ID, CLOCK
+    )
+    more = F.when(F.col("o_orderstatus") == "P", F.lit(",,more")).when(F.col("o_orderstatus") == "O", F.lit(",")).otherwise(F.lit(""))
+    line = F.concat(F.col("o_orderkey"), F.lit(',"'), F.col("o_orderstatus"), F.lit(',x"'), more)
+    table(spark, sf_dir, "orders").select(line).write.text(run.lake.landing("flagged"))
+    refresh_bronze(run, "flagged")
+    refresh_silver(run, "flagged")
+    silver = read_table(spark, run.lake.silver("flagged")).select("key", "flag", F.lit(None).cast("string").alias("line"))
+    none = F.lit(None).cast("string")
+    return silver.unionByName(bad_lines(run, "flagged").select(none.alias("key"), none.alias("flag"), "line"))
+
+
 @query("bronze_workbook")
 def bronze_workbook(spark, sf_dir):
     """Customers packed into workbooks, one per batch of rows, and decoded."""
@@ -814,7 +831,21 @@ LAYERED_CONFIG = PipelineConfig.from_mappings(
     },
 )
 
+BAD_LINES_CONFIG = PipelineConfig.from_mappings(
+    {"pipeline": {"name": "flags", "timezone": "UTC", "execution": {"start_date": "1992-01-01"}}},
+    {"sources": {"flagged": {
+        "acquisition_method": "manual_drop", "ingestion_mode": "overwrite", "file_type": "csv",
+        "reader": {"header": None, "names": ["key", "flag"], "bad_lines": "keep"},
+    }}},
+    {"schemas": {
+        "bronze": {"flagged": {"required_columns": ["key", "flag"]}},
+        "silver": {"flagged": {"columns": {"key": {"type": "string", **KEY}, "flag": {"type": "string"}}}},
+        "gold": {},
+    }},
+)
+
 TRANSFORMS = Registry("silver transform")
+TRANSFORMS.register("flagged", lambda df: df)
 TRANSFORMS.register("events", compact_dates("day"))
 TRANSFORMS.register("order_counts", month_names("month_name", "order_year", "month"))
 

@@ -64,6 +64,7 @@ from layerwell.sinks.parquet import (
     stage,
     write_table,
 )
+from layerwell.sources.delimited import BAD_LINE
 from layerwell.sources.listing import (
     expected_files,
     files_to_acquire,
@@ -229,7 +230,11 @@ def refresh_bronze(run: Run, table: str) -> int:
     def ingest(files: DataFrame, paths: Sequence[Row]) -> Outcome:
         names = [file["path"] for file in paths]
         df = bronze_frame(run.spark, names, source, spec, run.run_id, run.now)
-        rows = write_bronze(df, run.lake.bronze(table))
+        rows, bad = write_bronze(df, run.lake.bronze(table))
+        if BAD_LINE in df.columns:
+            result = CheckResult("bad_lines", BAD_LINE, WARNING, bad, rows, not bad)
+            run.results.append(result)
+            _record_quality(run, "bronze", table, [result])
         record_files(files, manifest_path, run.run_id, run.now, all_new=source.mode == "append")
         partitions = files.select(F.concat(F.lit(f"{SOURCE_KEY}="), "source_key"))
         return Outcome(len(paths), _audit_files(run, "bronze", table, files, partitions), rows)
@@ -239,14 +244,23 @@ def refresh_bronze(run: Run, table: str) -> int:
     return outcome.files
 
 
-def write_bronze(df: DataFrame, path: str) -> int:
-    """Replace the partitions of the files in ``df`` and return the row count.
-    Nothing is exchanged: each task writes the rows it has read."""
+def write_bronze(df: DataFrame, path: str) -> tuple[int, int]:
+    """Replace the partitions of the files in ``df``; the number of rows, and of
+    bad lines among them. Nothing is exchanged: each task writes the rows it has read."""
     observation = Observation()
-    overwrite_partitions(
-        df.observe(observation, F.count(F.lit(1)).alias("rows")), path, [SOURCE_KEY]
-    )
-    return observation.get["rows"]
+    is_bad = F.col(BAD_LINE).isNotNull() if BAD_LINE in df.columns else F.lit(False)
+    counts = F.count(F.lit(1)).alias("rows"), F.count_if(is_bad).alias("bad")
+    overwrite_partitions(df.observe(observation, *counts), path, [SOURCE_KEY])
+    return observation.get["rows"], observation.get["bad"]
+
+
+def bad_lines(run: Run, table: str) -> DataFrame:
+    """Lines of text files that bronze keeps because they have more fields than
+    there are names, with the file they are in. None of them reaches silver."""
+    rows = read_table(run.spark, run.lake.bronze(table))
+    if BAD_LINE not in rows.columns:
+        rows = rows.withColumn(BAD_LINE, F.lit(None).cast("string"))
+    return rows.where(F.col(BAD_LINE).isNotNull()).select(SOURCE_FILE, F.col(BAD_LINE).alias("line"))
 
 
 def missing_from_landing(run: Run, table: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from typing import Any
 
@@ -24,10 +25,11 @@ READER_PARAMETERS = (
     "multi_line",
     "mode",
     "spread",
+    "bad_lines",
 )
 
-
-SURPLUS = "__surplus"
+# The raw text of a line that has more fields than there are names.
+BAD_LINE = "_bad_line"
 
 
 def read_delimited(
@@ -40,6 +42,10 @@ def read_delimited(
     ``header: 0`` takes the names from the first row unless ``names`` are given;
     ``header: null`` requires ``names``. Files whose header differs from the
     first one make the job fail instead of shifting columns.
+
+    A line with fewer fields is filled up with nulls. One with more, other than
+    blank ones, is an error, or with ``bad_lines: keep`` a row of nulls whose
+    column ``_bad_line`` holds the line.
     """
     reader = _checked(reader)
     names, has_header = reader.get("names"), reader.get("header") is not None
@@ -47,19 +53,17 @@ def read_delimited(
         raise ConfigError("text files without a header need column names")
 
     source = spark.read.options(**csv_options(reader)).option("header", has_header)
-    if names:
-        source = source.schema(text_schema(names, surplus=True))
-    else:
+    if not names:
+        names = source.csv(list(paths)).columns
         source = source.option("enforceSchema", False)
-    rows = source.csv(list(paths))
-    if names:
-        rows = without_surplus(rows, F.col(SURPLUS)).drop(SURPLUS)
+    rows = judged(source.schema(text_schema(names)).csv(list(paths)), names, reader)
     position = F.struct(
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )
     return rows.select(
-        *nulls_for_blanks(rows.columns, reader),
+        *nulls_for_blanks(names, reader),
+        *kept_lines(reader),
         own_file_name().alias(SOURCE_FILE),
         position.alias(SOURCE_POSITION),
     )
@@ -102,13 +106,14 @@ def parse_zipped_delimited(
         lines = lines.where(F.col("line_no") > 0)
     if reader.get("spread"):
         lines = lines.hint("rebalance", "path")
-    parsed = F.from_csv("line", text_schema(names, surplus=True).toDDL(), csv_options(reader))
+    parsed = F.from_csv("line", text_schema(names).toDDL(), csv_options(reader))
     rows = lines.where(F.length("line") > 0).select(
         parsed.alias("fields"), "path", "line_no"
     )
-    rows = without_surplus(rows, F.col(f"fields.{SURPLUS}"))
+    rows = judged(rows.select("fields.*", "path", "line_no"), names, reader)
     return rows.select(
-        *nulls_for_blanks(names, reader, prefix="fields."),
+        *nulls_for_blanks(names, reader),
+        *kept_lines(reader),
         F.substring_index("path", "/", -1).alias(SOURCE_FILE),
         F.struct(F.lit(0).cast("bigint").alias("block"), F.col("line_no").alias("row")).alias(
             SOURCE_POSITION
@@ -116,17 +121,39 @@ def parse_zipped_delimited(
     )
 
 
-def text_schema(names: Sequence[str], surplus: bool = False) -> T.StructType:
-    """Text columns; with ``surplus``, one more for a field behind the last."""
-    own = [*names, *([SURPLUS] if surplus else [])]
-    return T.StructType([T.StructField(name, T.StringType()) for name in own])
+def text_schema(names: Sequence[str]) -> T.StructType:
+    """Text columns, and the raw text of lines that do not have as many fields."""
+    return T.StructType([T.StructField(name, T.StringType()) for name in (*names, BAD_LINE)])
+
+
+def judged(rows: DataFrame, names: Sequence[str], reader: Mapping[str, Any]) -> DataFrame:
+    """The rows, with ``_bad_line`` null but for lines that have more fields than
+    names; these have no values. Unless they are to be kept, one stops the job."""
+    line = F.col(BAD_LINE)
+    # Always true. Lines are judged only where all columns are read, whatever is selected.
+    parsed = F.length(F.concat_ws("", *(F.col(f"`{name}`") for name in names))) >= 0
+    surplus = F.when(line.isNull(), False).otherwise(_has_surplus(line, len(names), reader) & parsed)
+    if reader.get("bad_lines", "error") != "keep":
+        message = F.concat(F.lit("a line has more fields than names: "), F.left(line, F.lit(200)))
+        return rows.where(F.when(surplus, F.raise_error(message).cast("boolean")).otherwise(True)).drop(BAD_LINE)
+    return rows.withColumn(BAD_LINE, F.when(surplus, line)).withColumns(
+        {name: F.when(F.col(BAD_LINE).isNull(), F.col(f"`{name}`")) for name in names}
+    )
+
+
+def _has_surplus(line: Column, names: int, reader: Mapping[str, Any]) -> Column:
+    """Whether any field beyond the names is not blank. A field in quotes, which
+    may hold separators, counts as one letter or, if there is nothing in it, none."""
+    quote, sep = re.escape(reader.get("quotechar", '"')), re.escape(reader.get("sep", ","))
+    plain = F.regexp_replace(line, f"(^|{sep}){quote}{quote}(?={sep}|$)", "$1")
+    plain = F.regexp_replace(plain, f"(^|{sep}){quote}(?:[^{quote}]|{quote}{quote})+{quote}(?={sep}|$)", "$1x")
+    fields = F.split(plain, sep, -1)
+    beyond = F.slice(fields, names + 1, F.greatest(F.size(fields) - names, F.lit(0)))
+    return F.exists(beyond, lambda field: F.trim(field) != "")
 
 
-def without_surplus(rows: DataFrame, surplus: Column) -> DataFrame:
-    """The rows; one with more fields than there are names stops the job, as its
-    last fields would be lost."""
-    message = F.concat(F.lit("a line has more fields than names; the first of them is "), surplus)
-    return rows.where(F.when(surplus.isNull(), True).otherwise(F.raise_error(message).cast("boolean")))
+def kept_lines(reader: Mapping[str, Any]) -> list[Column]:
+    return [F.col(BAD_LINE)] if reader.get("bad_lines") == "keep" else []
 
 
 def csv_options(reader: Mapping[str, Any]) -> dict[str, str]:
@@ -140,18 +167,14 @@ def csv_options(reader: Mapping[str, Any]) -> dict[str, str]:
         "ignoreLeadingWhiteSpace": str(bool(reader.get("skipinitialspace", False))).lower(),
         "multiLine": str(bool(reader.get("multi_line", False))).lower(),
         "mode": reader.get("mode", "PERMISSIVE"),
+        "columnNameOfCorruptRecord": BAD_LINE,
     }
 
 
-def nulls_for_blanks(
-    names: Sequence[str], reader: Mapping[str, Any], prefix: str = ""
-) -> list[Column]:
+def nulls_for_blanks(names: Sequence[str], reader: Mapping[str, Any]) -> list[Column]:
     """Empty text, quoted or not, and the configured markers become null."""
     markers = ["", *reader.get("null_values", ())]
-    return [
-        F.when(~F.col(f"{prefix}`{n}`").isin(markers), F.col(f"{prefix}`{n}`")).alias(n)
-        for n in names
-    ]
+    return [F.when(~F.col(f"`{n}`").isin(markers), F.col(f"`{n}`")).alias(n) for n in names]
 
 
 def _names_in_header(lines: DataFrame, reader: Mapping[str, Any]) -> list[str]:
@@ -160,15 +183,17 @@ def _names_in_header(lines: DataFrame, reader: Mapping[str, Any]) -> list[str]:
     if len(headers) != 1:
         raise ConfigError("archives are empty or their headers differ")
     text = lines.sparkSession.createDataFrame(headers, "line string")
-    width = headers[0]["line"].count(reader.get("sep", ",")) + 1
-    slots = text_schema([f"c{i}" for i in range(width)])
-    row = text.select(F.from_csv("line", slots.toDDL(), csv_options(reader)).alias("r")).first()
-    return [name for name in row["r"] if name is not None]
+    slots = [f"c{i}" for i in range(headers[0]["line"].count(reader.get("sep", ",")) + 1)]
+    parsed = F.from_csv("line", text_schema(slots).toDDL(), csv_options(reader))
+    row = text.select(parsed.alias("r")).select("r.*").select(*slots).first()
+    return [name for name in row if name is not None]
 
 
 def _checked(reader: Mapping[str, Any] | None) -> dict[str, Any]:
     reader = dict(reader or {})
     reader.setdefault("header", 0 if not reader.get("names") else None)
+    if reader.get("bad_lines", "error") not in ("error", "keep"):
+        raise ConfigError(f"bad_lines must be error or keep, not {reader['bad_lines']}")
     unknown = [key for key in reader if key not in READER_PARAMETERS]
     if unknown:
         raise ConfigError(f"unknown reader parameters {unknown}")

@@ -19,7 +19,7 @@ from layerwell.operators.lineage import SOURCE_FILE, SOURCE_KEY, SOURCE_POSITION
 from layerwell.plans.layers import with_bronze_lineage
 from layerwell.plans.refresh import FILE_SCHEMA, Run, merge_bronze_batch, write_bronze
 from layerwell.sinks.parquet import merge_partitions
-from layerwell.sources.delimited import SURPLUS, csv_options, nulls_for_blanks, text_schema, without_surplus
+from layerwell.sources.delimited import csv_options, judged, kept_lines, nulls_for_blanks, text_schema
 from layerwell.sources.listing import key_collisions, own_file_name, own_file_path, source_key
 from layerwell.sources.manifest import load_manifest, record_files
 from layerwell.spec import SourceSpec
@@ -62,14 +62,15 @@ def stream_delimited(
     if source.file_type != "csv" or source.compression == "zip" or not names:
         raise ConfigError(f"source {source.name}: only named text columns can be streamed")
     rows = (
-        spark.readStream.schema(text_schema(names, surplus=True))
+        spark.readStream.schema(text_schema(names))
         .options(**csv_options(source.reader))
         .option("header", source.reader.get("header") is not None)
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(folder)
     )
-    return without_surplus(rows, F.col(SURPLUS)).select(
+    return judged(rows, names, source.reader).select(
         *nulls_for_blanks(names, source.reader),
+        *kept_lines(source.reader),
         own_file_name().alias(SOURCE_FILE),
         F.col("_metadata.file_block_start").alias("__block"),
         F.struct(

@@ -14,7 +14,7 @@ from layerwell.operators.quality import collect_results, completeness
 from layerwell.plans import refresh
 from layerwell.plans.packing import workbook_bytes, zip_bytes
 from layerwell.plans.queries import BUILDERS, LAYERED_CONFIG, TRANSFORMS
-from layerwell.plans.refresh import Lake, Run, refresh_bronze, refresh_silver
+from layerwell.plans.refresh import Lake, Run, bad_lines, refresh_bronze, refresh_silver
 from layerwell.sinks.parquet import merge_partitions
 from layerwell.sources.delimited import read_delimited, read_zipped_delimited
 from layerwell.sources.tables import read_partitions, read_table
@@ -51,14 +51,53 @@ def test_reads_unite_columns(spark, tmp_path):
     assert rows(read_partitions(spark, path, "zone", ["n", "s"]), "a", "c", "zone") == want
 
 
-def test_surplus_fields_stop_the_job(spark, tmp_path):
-    (tmp_path / "good.csv").write_text("1,2\n3\n5,6,\n")
-    assert rows(read_delimited(spark, [str(tmp_path / "good.csv")], NAMES), "a", "b") == [("1", "2"), ("3", None), ("5", "6")]
-    (tmp_path / "bad.csv").write_text("1,2\n1,2,3,4\n")
-    (tmp_path / "bad.zip").write_bytes(zip_bytes({"bad.csv": "1,2\n1,2,3,4\n"}))
-    for read, name in ((read_delimited, "bad.csv"), (read_zipped_delimited, "bad.zip")):
+# Text, its names (none: its own header), rows that are fine, lines that are not.
+LINES = {
+    "short and filled up": ("1,2\n3\n5,6,\n7,8,, \n", ["a", "b"], [("1", "2"), ("3", None), ("5", "6"), ("7", "8")], []),
+    "first surplus field empty": ("1,2\n1,2,,9\n", ["a", "b"], [("1", "2")], ["1,2,,9"]),
+    "own header": ("a,b\n3,4,5\n6,7\n", None, [("6", "7")], ["3,4,5"]),
+    "header and names": ("x,y\n3,4,5\n6,7\n", ["a", "b"], [("6", "7")], ["3,4,5"]),
+    "separators in quotes": ('"1,9","2,,"\n"1",2,"",""\n"1",2,"3,4"\n', ["a", "b"], [("1", "2"), ("1,9", "2,,")], ['"1",2,"3,4"']),
+    "doubled quotes": ('"a ""b, c""",2\n1,2,"x"""\n', ["a", "b"], [('a "b, c"', "2")], ['1,2,"x"""']),
+}
+
+
+@pytest.mark.parametrize("zipped", [False, True])
+@pytest.mark.parametrize("case", LINES)
+def test_surplus_fields_are_refused_or_kept(spark, tmp_path, case, zipped):
+    text, names, good, bad = LINES[case]
+    header = 0 if names is None or case.startswith("header") else None
+    reader = {"header": header, **({"names": names} if names else {})}
+    read = read_zipped_delimited if zipped else read_delimited
+    path = tmp_path / ("lines.zip" if zipped else "lines.csv")
+    path.write_bytes(zip_bytes({"lines.csv": text}) if zipped else text.encode())
+    kept = read(spark, [str(path)], {**reader, "bad_lines": "keep"}).collect()
+    assert sorted((r["a"], r["b"]) for r in kept if r["_bad_line"] is None) == good
+    assert [r["_bad_line"] for r in kept if r["_bad_line"] is not None] == bad
+    assert all(r["a"] is None and r["b"] is None for r in kept if r["_bad_line"] is not None)
+    if bad:
         with pytest.raises(PySparkException, match="more fields than names"):
-            read(spark, [str(tmp_path / name)], NAMES).collect()
+            read(spark, [str(path)], reader).collect()
+    else:
+        assert rows(read(spark, [str(path)], reader), "a", "b") == good
+    # Reading some of the columns must not hide what is wrong with a line.
+    if bad:
+        with pytest.raises(PySparkException, match="more fields than names"):
+            read(spark, [str(path)], reader).select("a").collect()
+
+
+def test_bad_lines_are_counted_and_stay_out_of_silver(spark, lake):  # noqa: F811
+    settings = feeds.config(sources__feed={"reader": {
+        "sep": "\t", "header": None, "bad_lines": "keep", "names": ["Key", "Day", "Actor", "Tone", "Mentions", "Articles"],
+    }})
+    feeds.land_feed(lake, "20260105", (1, "20260105", "a", 1, 1, 1), (2, "20260105", "b", 1, 1, 1, "", "more"))
+    run = feeds.make_run(spark, lake, settings)
+    refresh_bronze(run, "feed"), refresh_silver(run, "feed")
+    assert [a for _, _, a in feeds.silver_feed(spark, lake)] == ["a"]
+    (check,) = [r for r in run.results if r.check == "bad_lines"]
+    assert (check.failing, check.total) == (1, 2)
+    (line,) = bad_lines(run, "feed").collect()
+    assert line["line"].endswith("more") and line["_source_file"].startswith("20260105")
 
 
 def test_cells_beyond_the_header_stop_the_job(spark, tmp_path):
