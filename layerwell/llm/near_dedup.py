@@ -191,19 +191,21 @@ def _with_component(prints: DataFrame) -> DataFrame:
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """One document of each component, the one with the smallest doc_id, with
-    all its columns. Rows equal in doc_id and text count as copies too."""
+    all its columns, whatever their names. Rows equal in doc_id and text count as
+    copies too. Nulls are linked as in :func:`near_duplicates`; of a component
+    with a null doc_id, a row without one stays. An empty table gives no rows."""
     prints = stage(fingerprints(docs))
     kept = (
         _with_component(prints)
         .groupBy("group").agg(F.min(F.struct("did", "th")).alias("first"))
-        .select(F.col("first.did").alias("_did"), F.col("first.th").alias("_th"))
+        .select("first.did", "first.th")
     )
-    did, th = document_key()
-    keyed = docs.withColumns({"_did": did, "_th": th})
-    same = Window.partitionBy("_did", "_th").orderBy(F.lit(0))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    same = Window.partitionBy("did", "th").orderBy(F.lit(0))
     return (
-        keyed.join(kept, ["_did", "_th"], "left_semi")
-        .withColumn("_copy", F.row_number().over(same))
-        .where("_copy = 1")
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
+        docs.select(*document_key(), row)
+        .join(kept, ["did", "th"], "left_semi")
+        .withColumn("copy", F.row_number().over(same))
+        .where("copy = 1")
+        .select("row.*")
     )
