@@ -54,20 +54,22 @@ def keep_latest(
 
 
 def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.where(_keyed(df, keys))
+
+
+def _keyed(df: DataFrame, keys: Sequence[str]) -> Column:
     condition = F.lit(True)
     for key, column in zip(keys, _cols(keys)):
         condition = condition & column.isNotNull()
         if isinstance(df.schema[key].dataType, (T.FloatType, T.DoubleType)):
             condition = condition & ~F.isnan(column)
-    return df.where(condition)
+    return condition
 
 
-def null_key_rows(keys: Sequence[str]) -> Column:
-    """Aggregate: how many rows :func:`keep_latest` would drop for null keys."""
-    anything_null = F.lit(False)
-    for column in _cols(keys):
-        anything_null = anything_null | column.isNull()
-    return F.count_if(anything_null)
+def null_key_rows(df: DataFrame, keys: Sequence[str]) -> Column:
+    """Aggregate: how many rows of ``df`` :func:`keep_latest` would drop for keys
+    that are null or not a number."""
+    return F.count_if(~_keyed(df, keys))
 
 
 def version_order(df: DataFrame, version: str) -> Column:

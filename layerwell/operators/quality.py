@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F, types as T
 
 from layerwell.errors import DataQualityError
 from layerwell.functions.casting import spark_type
@@ -298,6 +298,36 @@ def key_uniqueness(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 # ----------------------------------------------------------------- completeness
 
 
+def gaps_per_entity(
+    df: DataFrame, entity: Sequence[str], column: str, first: date, last: date
+) -> DataFrame:
+    """Runs of days from ``first`` to ``last`` on which an entity has no row: the
+    entity, gap_first, gap_last and days. Entities without a single row in the
+    window are one gap; rows without a date tell only that the entity exists.
+
+    One row per entity and day is compared with the next one, so that nothing is
+    spread out over the calendar, however long it is.
+    """
+    low, high = F.lit(first).cast("date"), F.lit(last).cast("date")
+    day = F.to_date(column)
+    inside = F.when(day.between(low, high), day)
+    seen = df.select(*entity, inside.alias("__day")).distinct()
+    # A day before the window opens it for every entity, whatever rows it has.
+    opened = seen.select(*entity, F.explode(F.array("__day", F.date_sub(low, 1))).alias("__day"))
+    days = opened.where(F.col("__day").isNotNull()).distinct()
+    following = F.lead("__day").over(Window.partitionBy(*entity).orderBy("__day"))
+    return (
+        days.withColumn("__next", F.coalesce(following, F.date_add(high, 1)))
+        .where(F.datediff("__next", "__day") > 1)
+        .select(
+            *entity,
+            F.date_add("__day", 1).alias("gap_first"),
+            F.date_sub("__next", 1).alias("gap_last"),
+            (F.datediff("__next", "__day") - 1).cast("bigint").alias("days"),
+        )
+    )
+
+
 def missing_days(df: DataFrame, column: str, first: date, last: date) -> DataFrame:
     """Calendar days without any row, both ends included."""
     days = df.sparkSession.range(1).select(F.explode(day_calendar(first, last)).alias("day"))

@@ -82,7 +82,7 @@ def silver_frame(
     kept = (BRONZE_INGESTED_AT, BRONZE_RUN_ID, *BATCH_HELPERS)
     df = df.select(*(c for c in df.columns if c in (*spec.column_names, *kept)))
     if observation is not None:
-        df = df.observe(observation, null_key_rows(spec.primary_keys).alias("null_keys"))
+        df = df.observe(observation, null_key_rows(df, spec.primary_keys).alias("null_keys"))
     order = [F.col(c) for c in BATCH_HELPERS if c in df.columns]
     df = keep_latest(
         df,

@@ -246,6 +246,19 @@ ORACLE: dict[str, str] = {
   SELECT CAST(d AS DATE) AS day
   FROM range(DATE '2024-01-01', DATE '2024-02-03', INTERVAL 1 DAY) AS r(d)
   WHERE CAST(d AS DATE) NOT IN (SELECT CAST(ts AS DATE) FROM events)""",
+    "dq_gaps": """
+  WITH seen AS (
+    SELECT DISTINCT user_id, event_type, CAST(ts AS DATE) AS day FROM events
+  ), days AS (
+    SELECT * FROM seen WHERE day BETWEEN DATE '2024-01-03' AND DATE '2024-01-28'
+    UNION SELECT user_id, event_type, DATE '2024-01-02' FROM seen
+  ), ordered AS (
+    SELECT *, coalesce(lead(day) OVER (PARTITION BY user_id, event_type ORDER BY day),
+                       DATE '2024-01-29') AS following
+    FROM days)
+  SELECT user_id, event_type, day + 1 AS gap_first, following - 1 AS gap_last,
+         CAST(following - day - 1 AS BIGINT) AS days
+  FROM ordered WHERE following - day > 1""",
     "dq_future": _check(
         "no_future_dates", "ts", "warning", "count_if(ts > TIMESTAMP '2024-01-20 12:00:00')",
         "events",
@@ -305,6 +318,12 @@ ORACLE: dict[str, str] = {
        b AS (SELECT month, CAST(sum(orders) AS BIGINT) AS orders FROM {ORDER_COUNTS} GROUP BY 1)
   SELECT coalesce(a.month, b.month) AS month, b.orders, a.total_events AS events,
          a.mean_cents AS mean_event_cents
+  FROM a FULL JOIN b ON a.month IS NOT DISTINCT FROM b.month""",
+    "full_run": f"""
+  WITH a AS ({EVENTS_BY_MONTH}),
+       b AS (SELECT month, CAST(sum(orders) AS BIGINT) AS orders FROM {ORDER_COUNTS} GROUP BY 1)
+  SELECT coalesce(a.month, b.month) AS month, b.orders, a.total_events AS events,
+         a.mean_cents AS mean_event_cents, 4::BIGINT AS built_first, 2::BIGINT AS built_again
   FROM a FULL JOIN b ON a.month IS NOT DISTINCT FROM b.month""",
     "layered_silver": f"""
   SELECT day, CAST(event_id AS VARCHAR) AS event_id, user_id, event_type, cents, prop,

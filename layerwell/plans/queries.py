@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, datetime, timedelta, timezone
 
 from pyspark.errors import PySparkException
@@ -29,7 +30,7 @@ from layerwell.plans.builders import (
     monthly_totals,
 )
 from layerwell.plans.packing import workbook_batches, zip_batches
-from layerwell.plans.refresh import Lake, Run, bad_lines, build_gold, refresh_bronze, refresh_silver
+from layerwell.plans.refresh import Lake, Run, bad_lines, build_gold, refresh_bronze, refresh_silver, run_all
 from layerwell.plans.registry import Registry
 from layerwell.session import scratch_path
 from layerwell.sinks.audit import append_files, file_table
@@ -601,6 +602,14 @@ def dq_coverage(spark, sf_dir):
     )
 
 
+@query("dq_gaps")
+def dq_gaps(spark, sf_dir):
+    """Days without an event, per user and kind of event."""
+    return dq.gaps_per_entity(
+        table(spark, sf_dir, "events"), ["user_id", "event_type"], "ts", date(2024, 1, 3), date(2024, 1, 28)
+    )
+
+
 @query("dq_future")
 def dq_future(spark, sf_dir):
     return _check(
@@ -871,16 +880,17 @@ BUILDERS.register(
 )
 
 
-def layered_run(spark: SparkSession, sf_dir: str, gold: list[str]) -> Run:
-    """Land events and order counts as text, then refresh all layers."""
+def layered_run(spark: SparkSession, sf_dir: str, gold: list[str], lake: Lake | None = None) -> Run:
+    """Land events and order counts as text, then refresh all layers; into a
+    given lake, land them only."""
     run = Run(
-        spark, LAYERED_CONFIG, Lake(scratch_path(spark, "lake")), TRANSFORMS, BUILDERS,
+        spark, LAYERED_CONFIG, lake or Lake(scratch_path(spark, "lake")), TRANSFORMS, BUILDERS,
         RUN_ID, CLOCK,
     )
     events = event_feed(spark, sf_dir).withColumn("day", F.date_format("day", "yyyyMMdd"))
     events.select(*EVENT_COLUMNS).write.csv(run.lake.landing("events"), sep="\t")
     tables = ["events"]
-    if "activity" in gold:
+    if "activity" in gold or lake:
         tables.append("order_counts")
         # One file: a snapshot of counts per nation, segment and month, small by nature.
         order_counts(spark, sf_dir).select(
@@ -890,6 +900,8 @@ def layered_run(spark: SparkSession, sf_dir: str, gold: list[str]) -> Run:
             F.date_format("month", "MMMM").alias("month_name"),
             F.col("orders").alias("n"),
         ).repartition(1).write.csv(run.lake.landing("order_counts"), header=True)
+    if lake:
+        return run
     with run.recording():
         for name in tables:
             refresh_bronze(run, name)
@@ -910,6 +922,24 @@ def layered_combined(spark, sf_dir):
     return read_table(spark, run.lake.gold("activity"))
 
 
+@query("full_run")
+def full_run(spark, sf_dir):
+    """All layers in one run, and the same once more: the second one finds no new
+    events, and only replaces the snapshot and the two tables made from it. Returns
+    the report and the number of gold tables that each run built."""
+    lake = Lake(scratch_path(spark, "lake"))
+    first = layered_run(spark, sf_dir, [], lake=lake)
+    run_all(first)
+    again = replace(first, run_id="20240202_000000", now=CLOCK + timedelta(days=1))
+    run_all(again)
+    runs = read_table(spark, f"{lake.audit}/runs").where("layer = 'gold' and rows_written > 0")
+    built = {r["run_id"]: r["count"] for r in runs.groupBy("run_id").count().collect()}
+    return read_table(spark, lake.gold("activity")).withColumns({
+        "built_first": F.lit(built.get(first.run_id, 0)).cast("bigint"),
+        "built_again": F.lit(built.get(again.run_id, 0)).cast("bigint"),
+    })
+
+
 @query("layered_silver")
 def layered_silver(spark, sf_dir):
     """The silver table after landing and merging all events."""

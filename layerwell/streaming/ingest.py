@@ -19,13 +19,23 @@ from layerwell.operators.lineage import SOURCE_FILE, SOURCE_KEY, SOURCE_POSITION
 from layerwell.plans.layers import with_bronze_lineage
 from layerwell.plans.refresh import FILE_SCHEMA, Run, merge_bronze_batch, write_bronze
 from layerwell.sinks.parquet import merge_partitions
-from layerwell.sources.delimited import csv_options, judged, kept_lines, nulls_for_blanks, text_schema
+from layerwell.sources.delimited import (
+    csv_options,
+    judged,
+    kept_lines,
+    nulls_for_blanks,
+    parse_zipped_delimited,
+    text_schema,
+)
 from layerwell.sources.listing import key_collisions, own_file_name, own_file_path, source_key
 from layerwell.sources.manifest import load_manifest, record_files
 from layerwell.spec import SourceSpec
 
 FILE = "__file"
 
+# Fixed: what Spark reads of whole files.
+ARCHIVE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def stream_upsert(
     stream: DataFrame,
@@ -81,39 +91,59 @@ def stream_delimited(
     )
 
 
+def stream_archives(
+    spark: SparkSession, folder: str, source: SourceSpec, files_per_batch: int = 1_000
+) -> DataFrame:
+    """Zip archives of a folder as a stream of whole files, to be parsed batch by
+    batch, as a text that names no columns cannot be."""
+    if source.file_type != "csv" or not source.reader.get("names"):
+        raise ConfigError(f"source {source.name}: only named text columns can be streamed")
+    return (
+        spark.readStream.format("binaryFile").schema(ARCHIVE_SCHEMA)
+        .option("maxFilesPerTrigger", files_per_batch)
+        .load(folder)
+    )
+
+
 def stream_bronze(run: Run, table: str, checkpoint: str) -> StreamingQuery:
-    """Landing files into the bronze table, each file once. The files are also
-    recorded in the manifest, so that silver may be refreshed either way."""
+    """Landing files into the bronze table, each file once: text, or zip archives
+    of text. The files are also recorded in the manifest, so that silver may be
+    refreshed either way."""
     source, spec = run.config.source(table), run.config.bronze[table]
-    stream = stream_delimited(run.spark, run.lake.landing(table), source)
+    zipped = source.compression == "zip"
+    landing, manifest = run.lake.landing(table), run.lake.manifest("bronze", table)
+    stream = (stream_archives if zipped else stream_delimited)(run.spark, landing, source)
 
     def write(batch: DataFrame, _batch_id: int) -> None:
-        position = F.struct(
-            F.col("__block").alias("block"), F.monotonically_increasing_id().alias("row")
-        )
-        _refuse_shared_keys(batch, load_manifest(run.spark, run.lake.manifest("bronze", table)))
+        if zipped:
+            named = source_key(F.substring_index("path", "/", -1)).alias("source_key")
+            batch = batch.withColumn(FILE, F.struct("path", named, F.col("modificationTime").alias("modified_at")))
+        _refuse_shared_keys(batch, load_manifest(run.spark, manifest))
         # A batch holds a bounded number of files, so their set is small.
-        files = Observation()
-        rows = (
-            batch.withColumn(SOURCE_POSITION, position)
-            .observe(files, F.collect_set(FILE).alias("files"))
-            .drop("__block", FILE)
-        )
+        if zipped:
+            found = [tuple(file) for file in batch.select(f"{FILE}.*").collect()]
+            rows = parse_zipped_delimited(batch.select("path", "content"), source.reader)
+        else:
+            files = Observation()
+            rows = _with_positions(batch).observe(files, F.collect_set(FILE).alias("files")).drop(FILE)
         write_bronze(
             with_bronze_lineage(rows, source.name, spec, run.run_id, run.now),
             run.lake.bronze(table),
         )
-        found = [tuple(file) for file in files.get["files"]]
-        record_files(
-            run.spark.createDataFrame(found, FILE_SCHEMA),
-            run.lake.manifest("bronze", table),
-            run.run_id,
-            run.now,
-        )
+        if not zipped:
+            found = [tuple(file) for file in files.get["files"]]
+        record_files(run.spark.createDataFrame(found, FILE_SCHEMA), manifest, run.run_id, run.now)
 
     return run_available(stream.writeStream.foreachBatch(write), checkpoint)
 
 
+def _with_positions(batch: DataFrame) -> DataFrame:
+    position = F.struct(
+        F.col("__block").alias("block"), F.monotonically_increasing_id().alias("row")
+    )
+    return batch.withColumn(SOURCE_POSITION, position).drop("__block")
+
+
 def _refuse_shared_keys(batch: DataFrame, known: DataFrame) -> None:
     """A key names a bronze partition: a second file with it would replace the
     rows of the first, in this batch or in an earlier one."""

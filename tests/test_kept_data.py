@@ -1,7 +1,8 @@
 """Rows, columns and cells that differ from what is stored are never lost silently."""
 
 import os
-from datetime import datetime, timezone
+import random
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from pyspark.errors import PySparkException
@@ -9,8 +10,8 @@ from pyspark.sql import functions as F
 
 import test_refresh as feeds
 from layerwell.errors import ConfigError, DataQualityError
-from layerwell.operators.dedup import keep_latest
-from layerwell.operators.quality import collect_results, completeness
+from layerwell.operators.dedup import keep_latest, null_key_rows
+from layerwell.operators.quality import collect_results, completeness, gaps_per_entity
 from layerwell.plans import refresh
 from layerwell.plans.packing import workbook_bytes, zip_bytes
 from layerwell.plans.queries import BUILDERS, LAYERED_CONFIG, TRANSFORMS
@@ -139,6 +140,43 @@ def test_nan_is_no_key(spark):
     assert rows(keep_latest(df.withColumn("at", F.current_timestamp()), ["k"], "at"), "v") == [(2,)]
 
 
+def test_keys_that_are_no_numbers_are_counted_as_null_keys(spark):
+    df = spark.createDataFrame([(float("nan"), "a"), (1.0, None), (2.0, "b")], "k double, s string")
+    assert df.agg(null_key_rows(df, ["k", "s"]).alias("n")).first()["n"] == 2
+    assert df.agg(null_key_rows(df, ["k"]).alias("n")).first()["n"] == 1
+
+
+def test_archives_are_streamed_like_text(spark, lake):  # noqa: F811
+    feeds.land_feed(lake, "20260105", (1, "20260105", "a", 1, 1, 1), (2, "20260105", "b", 1, 1, 1))
+    run, checkpoint = feeds.make_run(spark, lake), str(lake / "cp")
+    for more in (None, "20260106", None):
+        if more:
+            feeds.land_feed(lake, more, (3, more, "c", 1, 1, 1))
+        stream_bronze(run, "feed", checkpoint)
+        refresh_silver(run, "feed")
+    streamed = feeds.silver_feed(spark, lake)
+    assert [a for _, _, a in streamed] == ["a", "b", "c"]
+    assert rows(run.manifest("bronze", "feed"), "source_key") == [("20260105",), ("20260106",)]
+    assert refresh_bronze(run, "feed") == 0  # the manifest has what the stream took
+    feeds.land_feed(lake, "20260107", (4, "20260107", "d", 1, 1, 1, "too many"))
+    with pytest.raises(PySparkException, match="more fields than names"):
+        stream_bronze(run, "feed", checkpoint)
+    assert feeds.silver_feed(spark, lake) == streamed
+
+
+def test_gaps_of_each_entity(spark):
+    r, first, last = random.Random(4), date(2026, 1, 5), date(2026, 2, 3)
+    window = [first + timedelta(days=n) for n in range((last - first).days + 1)]
+    data = [(r.choice("abcde"), first + timedelta(days=r.randrange(-5, 35))) for _ in range(60)]
+    data += [("none", None), ("outside", date(2025, 1, 1)), (None, first), ("all", None), *(("all", d) for d in window)]
+    found = gaps_per_entity(spark.createDataFrame(data, "who string, at date"), ["who"], "at", first, last).collect()
+    missing = {(w, d) for w, _ in data for d in window} - set(data)
+    listed = [(g.who, g.gap_first + timedelta(days=n)) for g in found for n in range(g.days)]
+    assert len(listed) == len(set(listed)) and set(listed) == missing
+    assert all((g.gap_last - g.gap_first).days + 1 == g.days for g in found)
+    assert all((g.who, g.gap_last + timedelta(days=1)) not in missing for g in found)
+
+
 def test_completeness_counts_what_was_expected(spark):
     (result,) = collect_results(completeness(spark.createDataFrame([(1,)], "day int"), "days", "day", expected=31))
     assert (result.failing, result.total, result.passed) == (1, 31, False)
