@@ -87,6 +87,13 @@ def document_key() -> list[Column]:
     ]
 
 
+def hash_below(key: Column, distinct: int, wanted: int) -> Column:
+    """A condition on a 64-bit hash that about ``wanted`` of ``distinct`` values
+    meet, or all where there are no more: a sample without a sort of all rows."""
+    share = min(1.0, wanted / max(1, distinct))
+    return key <= F.lit(min(2**63 - 1, int(share * 2**64) - 2**63))
+
+
 def running_total(
     df: DataFrame,
     by: Sequence[str],

@@ -9,15 +9,16 @@ a text is predicted from all of its windows, weighted by the bytes they hold.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from layerwell.llm.common import batch_of, columns, in_batches
+from layerwell.llm.common import batch_of, columns, hash_below, in_batches
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -29,7 +30,7 @@ SEED = 7
 UNKNOWN = "und"
 _AT_ONCE = 64  # windows; their activations stay in the cache
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def windows_of(text: str) -> np.ndarray:
@@ -134,29 +135,40 @@ def held_out() -> Column:
 
 def fit(docs: DataFrame, per_language: int = TRAIN_DOCS) -> Network:
     """Train on at most ``per_language`` labelled documents of each language,
-    chosen by a hash of their ids, none of them held out."""
-    labelled = columns(docs, "doc_id", "lang").where("doc_id is not null and lang is not null").where(~held_out())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (
-        labelled.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= per_language)
-        .select("doc_id").distinct()
+    chosen by a hash of id and text, none of them held out and each with a letter
+    in its text. Equal documents count once, whatever their number.
+
+    A bound on the hash, from the number of documents of each language, leaves
+    some four times as many as are wanted; only windows of these are ranked.
+    """
+    labelled = (
+        columns(docs, "doc_id", "text", "lang").where("doc_id is not null and lang is not null").where(~held_out())
+        .where(F.col("text").rlike(r"\p{L}"))
+        .select(F.col("doc_id").cast("long"), "text", "lang", F.xxhash64("doc_id", "text").alias("key"))
+    )
+    # One row a language; the network has a class for each.
+    found = labelled.groupBy("lang").agg(F.approx_count_distinct("key").alias("n")).collect()
+    if not found:
+        return train(np.empty((0, WINDOW), np.uint8), np.empty(0, np.int64), [])
+    near = reduce(
+        Column.__or__,
+        ((F.col("lang") == r["lang"]) & hash_below(F.col("key"), r["n"], 4 * per_language) for r in found),
     )
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, langs, rows = [], [], []
-            for doc_id, text, lang in zip(*(c.to_pylist() for c in batch.columns)):
-                if not text or not _LETTER.search(text):
-                    continue
+            keys, ids, langs, rows = [], [], [], []
+            for doc_id, text, lang, key in zip(*(c.to_pylist() for c in batch.columns)):
                 x = windows_of(text)
                 for i in np.unique(np.linspace(0, len(x) - 1, TRAIN_WINDOWS).astype(int)):
-                    ids.append(doc_id), langs.append(lang), rows.append(x[i].tobytes())
-            yield batch_of(["doc_id", "lang", "bytes"], [ids, langs, rows], [pa.int64(), pa.string(), pa.binary()])
-
-    # Bounded: per_language ids for each language there is.
-    texts = columns(docs, "doc_id", "text", "lang").where("lang is not null").join(F.broadcast(chosen), "doc_id")
-    sample = in_batches(texts.select(F.col("doc_id").cast("long"), "text", "lang"), spread, "doc_id long, lang string, bytes binary")
-    rows = sorted(tuple(r) for r in sample.distinct().collect())
+                    keys.append(key), ids.append(doc_id), langs.append(lang), rows.append(x[i].tobytes())
+            types = [pa.int64(), pa.int64(), pa.string(), pa.binary()]
+            yield batch_of(["key", "doc_id", "lang", "bytes"], [keys, ids, langs, rows], types)
+
+    windows = in_batches(labelled.where(near).distinct(), spread, "key long, doc_id long, lang string, bytes binary")
+    order = Window.partitionBy("lang").orderBy("key", "doc_id")
+    ranked = windows.distinct().withColumn("rank", F.dense_rank().over(order)).where(F.col("rank") <= per_language)
+    rows = sorted(tuple(r) for r in ranked.select("doc_id", "lang", "bytes").collect())
     languages = sorted({lang for _, lang, _ in rows})
     numbers = {lang: i for i, lang in enumerate(languages)}
     x = np.frombuffer(b"".join(b for _, _, b in rows), np.uint8).reshape(-1, WINDOW)
@@ -166,7 +178,7 @@ def fit(docs: DataFrame, per_language: int = TRAIN_DOCS) -> Network:
 def identify(docs: DataFrame, network: Network | None = None) -> DataFrame:
     """Per row: doc_id, held_out, lang_pred, score (the mean probability).
 
-    A null text, one without a letter, and every text where there is nothing to
+    A null text, one without a letter (Unicode category L), and every text where there is nothing to
     learn from gets ``und`` with the score 0. A null doc_id is not held out and
     not learned from. Rows may repeat; an empty table gives no rows; columns
     other than doc_id, text and lang are ignored.

@@ -1,6 +1,7 @@
 """Each operator against a brute-force version, and on odd rows."""
 
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -87,6 +88,16 @@ def test_shards_hold_the_mixture(odd, empty, odd_rows):
     assert sharding.shard_documents(empty).count() == 0
 
 
+def test_rows_without_ids_spread_over_the_ranges(spark, monkeypatch):
+    seen = []
+    total = sharding.running_total
+    monkeypatch.setattr(sharding, "running_total", lambda df, *a, **k: seen.append(df) or total(df, *a, **k))
+    docs = spark.range(9000).selectExpr("if(id % 3 = 0, null, id) as doc_id", "concat('text ', id) as text", "'s' as source")
+    assert sharding.shard_documents(docs).count() == 9000
+    assert seen[0].groupBy("range").count().agg({"count": "max"}).first()[0] < 20
+
+
+
 # substring dedup
 
 def _exact_repeats(rows, length):
@@ -295,6 +306,26 @@ def test_languages_of_held_out_documents(spark, odd, empty):
     assert language_id.identify(empty).count() == 0
 
 
+def test_texts_without_a_letter_and_repeated_ids(spark):
+    network = language_id.Network.start(["en"], np.random.default_rng(1))
+    assert {network.predict(t)[0] for t in ("²", "½ ①", "Ⅷ 12_3", "")} == {"und"}
+    assert network.predict("中")[0] == network.predict("é")[0] == "en"
+    # One id and text for most rows, and rows without a letter before all others.
+    rows = [(1, "the same old text", "en")] * 3000 + [(i, "12 34", "fr") for i in range(3000)]
+    rows += [(i, f"mots {i}", "fr") for i in range(3000, 3100)]
+    network = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), 20)
+    assert network.languages == ["en", "fr"]
+
+
+def test_training_documents_are_bounded(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(language_id, "train", lambda x, y, languages: seen.append((x, y, languages)))
+    rows = [(i, f"text {i}", "en" if i % 10 else "fr") for i in range(30_000)]
+    language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), 50)
+    (x, y, languages), = seen
+    assert languages == ["en", "fr"] and np.bincount(y).tolist() == [50, 50] and len(np.unique(x, axis=0)) == 100
+
+
 # importance resampling
 
 def test_resampling(spark, odd, empty, odd_rows):
@@ -423,3 +454,37 @@ def test_extraction(spark, model):
     assert [r.text for r in got if r.page_id == 1] == [want] * 2 and len(got) == 5
     assert all(r.n_chars == len(r.text) for r in got) and {r.text for r in got if r.page_id in (2, None)} == {""}
     assert html_extraction.extract_text(pages.limit(0), model).count() == 0
+
+
+@pytest.mark.parametrize("page, runs", [
+    ("<header><svg><path></header><p>one</p>", ["one"]),
+    ("<body><svg><title>t</title><article><p>one</p></article>", ["one"]),
+    ("<body><object data=x><article><p>one</p></article><svg><text>no</text></svg>", ["one"]),
+    ("<div><noscript><p>no</p></noscript>one</div>", ["one"]),
+    ("<div><template></div><p>one</p><template>no</template>two", ["one", "two"]),
+    ("<p>one<script>if (a > b) no</p>", ["one"]),
+    ("<p>one<!-- no > no", ["one"]),
+    ("<p>a > b <!-- no", ["a > b"]),
+    ('<p title="a > b">one<img alt="x>two<p>three</p>', ["one", "two", "three"]),
+])
+def test_unclosed_elements(page, runs):
+    got = [n.text for n in html_extraction.parse(page) if n.group == "run" and n.text]
+    assert got == runs
+
+
+@pytest.mark.parametrize("piece", [
+    "<a ", '<a ">"', "<svg>", "</div>", "<!-", "<a '>\"'>", "<script>", "<div><object></div>", "<p><svg>x</p>", '<a "\'>', "&",
+])
+def test_long_broken_pages_take_linear_time(piece):
+    start = time.process_time()
+    html_extraction.parse(piece * (400_000 // len(piece)))
+    assert time.process_time() - start < 5
+
+
+def test_labelled_pages_are_chosen_by_hash(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(html_extraction, "fit", lambda cases: seen.append(len(cases)))
+    page = "<article><p>Text of page {}.</p></article>"
+    rows = [(i, page.format(i)) for i in range(2000)] + [(1, page.format(1))] * 1000
+    html_extraction.train(spark.createDataFrame(rows, "page_id long, html string"))
+    assert seen == [html_extraction.LABELLED_PAGES + html_extraction.TABLE_PAGES]
