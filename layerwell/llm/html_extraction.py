@@ -13,6 +13,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -20,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from layerwell.llm.common import batch_of, columns, in_batches
+from layerwell.llm.common import batch_of, columns, hash_below, in_batches
 from layerwell.llm.labelled_pages import labelled_pages
 
 LABELLED_PAGES = 400  # generated pages that the model is fitted on
@@ -42,7 +43,8 @@ GROUPS = {
     "page": "html body",
 }
 GROUP_OF = {tag: group for group, tags in GROUPS.items() for tag in tags.split()}
-SKIPPED = "script style noscript template svg iframe object canvas title"
+RAW = "script style iframe title"  # may run to the end of the page, as in browsers
+SKIPPED = "noscript template svg object canvas"  # nothing, unless closed in their block
 CLOSED_BY = {  # open elements that a start tag ends
     "li": "p li", "dt": "p dt dd", "dd": "p dt dd", "tr": "p td th tr", "td": "p td th",
     "th": "p td th", "option": "option",
@@ -58,13 +60,19 @@ BAD_NAMES = (
 )
 _GOOD, _BAD = set(GOOD_NAMES.split()), set(BAD_NAMES.split())
 
-_MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    rf"|<({'|'.join(SKIPPED.split())})\b[^>]*+(?:(?<=/)>|>.*?(?:</\1\s*>|\Z))"
-    r"|<(/?)([a-z][a-z0-9]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*+)>"
-    r"|<[!?/][^>]*+>",
-    re.I | re.S,
+# Markup from a "<" on. A quoted value may hold any character; in the second
+# form, for pages whose quotes do not close, a tag with quotes ends before the next "<".
+_MARKUP, _PLAIN_MARKUP = (
+    re.compile(
+        r"<!--.*?(?:-->|\Z)"
+        rf"|<({'|'.join(RAW.split())})\b[^>]*+(?:(?<=/)>|>.*?(?:</\1\s*>|\Z))"
+        rf"|<(/?)([a-z][a-z0-9]*)(?:((?:{bare}++|\"{value}*+\"|'{single}*+')*+)>|([^>]*+)>)"
+        r"|<[!?/][^>]*+>",
+        re.I | re.S,
+    )
+    for bare, value, single in (("[^>\"']", '[^"]', "[^']"), ("[^<>\"']", '[^"<]', "[^'<]"))
 )
+_ODD_TAGS = 50  # tags with quotes that do not close, from which the second form holds
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _ENDS = re.compile(r"[.!?…:;][\"'”’»)]*$")
@@ -81,11 +89,59 @@ class Node:
     tag: str = ""
 
 
+def markup(page: str) -> Iterator[tuple[int, int, str | None, bool, str]]:
+    """Start, end, tag (none of a comment and the like), whether it is an end tag,
+    and attributes of each piece of markup, in one sweep over the page."""
+    pattern, odd, at = _MARKUP, 0, 0
+    last = page.rfind(">") + 1  # behind it there is no tag, but maybe a comment
+    while (at := page.find("<", at)) >= 0:
+        if at >= last:
+            if (at := page.find("<!--", at)) >= 0:
+                yield at, len(page), None, False, ""
+            return
+        m = pattern.match(page, at, last)
+        if m is None:
+            at += 1
+            continue
+        if m[5] is not None:
+            odd += 1
+            pattern = _PLAIN_MARKUP if odd > _ODD_TAGS else pattern
+        open_ended = m.end() == last and (
+            page.startswith("<!--", at) and not page.endswith("-->", at + 4, last)
+            or m[1] and not page.endswith("/>", at, last) and not re.match(rf"{m[1]}\s*>", page[page.rfind("</", at, last) + 2 : last], re.I)
+        )
+        start, at = at, len(page) if open_ended else m.end()
+        yield start, at, m[3].lower() if m[3] else None, bool(m[2]), m[4] or m[5] or ""
+
+
+def closed_elements(tags: Sequence[tuple[int, int, str | None, bool, str]]) -> dict[int, int]:
+    """Of the elements in ``SKIPPED`` that are closed before the block they are in,
+    the place of the start tag and that of the end tag in ``tags``."""
+    kinds, stack, open_, ends = {*GROUP_OF, *SKIPPED.split()} - {"input"}, [], Counter(), {}
+    for i, (_, _, tag, is_end, rest) in enumerate(tags):
+        if tag not in kinds:
+            continue
+        if not is_end:
+            if not rest.endswith("/"):
+                stack.append((tag, i))
+                open_[tag] += 1
+        elif open_[tag]:
+            while True:
+                name, start = stack.pop()
+                open_[name] -= 1
+                if name == tag:
+                    break
+            if tag not in GROUP_OF:
+                ends[start] = i
+    return ends
+
+
 def parse(page: str | None) -> list[Node]:
     """Nodes of a page; a parent comes before its children. Unclosed and stray
-    tags are taken as browsers do, roughly."""
+    tags are taken as browsers do, roughly: scripts, styles, frames and titles run
+    to the end of the page, objects and the like without an end are no elements."""
     nodes = [Node(-1, "page", tag="html")]
-    stack, run, links, at = [0], None, 0, 0
+    stack, open_, run, links, at = [0], Counter(), None, 0, 0
     page = page or ""
 
     def text(piece: str) -> None:
@@ -101,34 +157,45 @@ def parse(page: str | None) -> list[Node]:
         if links:
             run.linked += len(piece)
 
-    for m in _MARKUP.finditer(page):
-        text(page[at : m.start()])
-        at = m.end()
-        tag = m[3].lower() if m[3] else None
+    def close() -> None:
+        open_[nodes[stack.pop()].tag] -= 1
+
+    tags = list(markup(page))
+    closed, behind = closed_elements(tags), 0
+    for i, (start, end, tag, is_end, rest) in enumerate(tags):
+        if i < behind:
+            continue
+        text(page[at:start])
+        at = end
+        if i in closed:
+            behind = closed[i] + 1
+            at = tags[closed[i]][1]
+            continue
         if tag is None:
             continue
         if tag == "a":
-            links = max(0, links + (-1 if m[2] else 1)) if m[2] or not m[4].endswith("/") else links
+            links = max(0, links + (-1 if is_end else 1)) if is_end or not rest.endswith("/") else links
         if tag == "br":
             text(" ")
         if tag not in GROUP_OF:
             continue
         run, links = None, 0
-        if m[2]:
-            for depth in range(len(stack) - 1, 0, -1):
-                if nodes[stack[depth]].tag == tag:
-                    del stack[depth:]
-                    break
+        if is_end:
+            if open_[tag]:
+                while nodes[stack[-1]].tag != tag:
+                    close()
+                close()
             continue
         ends = CLOSED_BY.get(tag, "p" if tag in CLOSES_P else "").split()
         while len(stack) > 1 and nodes[stack[-1]].tag in ends:
-            stack.pop()
+            close()
         if tag in ("html", "body") and len(stack) == 1:
             continue
-        names = " ".join(x for own in _NAMES.findall(m[4] or "") for x in own)
+        names = " ".join(x for own in _NAMES.findall(rest) for x in own)
         nodes.append(Node(stack[-1], GROUP_OF[tag], names, tag=tag))
-        if tag != "input" and not (m[4] or "").endswith("/"):
+        if tag != "input" and not rest.endswith("/"):
             stack.append(len(nodes) - 1)
+            open_[tag] += 1
     text(page[at:])
     for node in nodes:
         if node.parts:
@@ -284,7 +351,11 @@ def train(pages: DataFrame | None = None) -> Model:
         cases.append((nodes, [n.group == "run" and n.text in content for n in nodes]))
     if pages is not None:
         rows = columns(pages, "page_id", "html").where("html is not null and length(html) < 20000")
-        some = rows.orderBy(F.xxhash64("page_id"), "page_id").select("html").limit(TABLE_PAGES)
+        rows = rows.withColumn("key", F.xxhash64("page_id", "html"))
+        n = rows.agg(F.approx_count_distinct("key")).first()[0]
+        # Some four times as many as are wanted get past the bound, whatever the size of the table.
+        near = rows.where(hash_below(F.col("key"), n, 4 * TABLE_PAGES)).distinct()
+        some = near.orderBy("key", "page_id").select("html").limit(TABLE_PAGES)
         cases += [case for (page,) in some.collect() if (case := marked(page))]
     return fit(cases)
 
