@@ -35,7 +35,9 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) ->
     table gives no rows. Other columns of the input are ignored.
     """
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    # With the checksum, since many rows may share an id or have none.
+    id_or_none = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    key = F.md5(F.concat_ws(":", F.lit(str(seed)), id_or_none, F.crc32(text).cast("string")))
     rows = columns(docs, "doc_id", "text", "source").select(
         "doc_id",
         (F.octet_length(text) + ROW_OVERHEAD).cast("long").alias("size"),
@@ -83,8 +85,7 @@ WITH crc AS (
     lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS step
 ), docs AS (
   SELECT doc_id, source, coalesce(text, '') AS body, hex(encode(coalesce(text, ''))) AS digits,
-         CASE WHEN source IS NULL THEN '' ELSE '=' || source END AS stratum,
-         md5('{SEED}:' || coalesce(doc_id::VARCHAR, '')) AS shuffled
+         CASE WHEN source IS NULL THEN '' ELSE '=' || source END AS stratum
   FROM documents
 ), sums AS (
   SELECT docs.*, strlen(body) + {ROW_OVERHEAD} AS size,
@@ -95,11 +96,13 @@ WITH crc AS (
                    + instr('123456789ABCDEF', substr(digits, 2 * i + 2, 1)))::BIGINT)),
            lambda c, b: xor(c >> 8, step[(xor(c, b) & 255) + 1])))::BIGINT AS text_crc32
   FROM docs, crc
+), keyed AS (
+  SELECT *, md5('{SEED}:' || coalesce(doc_id::VARCHAR, '') || ':' || text_crc32) AS shuffled FROM sums
 ), ranked AS (
   SELECT *, row_number() OVER (PARTITION BY stratum
                                ORDER BY shuffled, doc_id NULLS FIRST, text_crc32, size) - 1 AS r,
          count(*) OVER (PARTITION BY stratum) AS n, count(*) OVER () AS total
-  FROM sums
+  FROM keyed
 ), placed AS (
   SELECT *, row_number() OVER (ORDER BY (2 * r + 1)::DOUBLE / (2 * n), stratum) - 1 AS place
   FROM ranked
