@@ -22,7 +22,7 @@ from layerwell.operators.quality import (
     primary_keys_exist,
     required_columns,
 )
-from layerwell.operators.schema import enforce_schema, rename_columns
+from layerwell.operators.schema import enforce_schema, lost_cells, rename_columns
 from layerwell.functions.text import normalize_strings
 from layerwell.plans.registry import GoldBuilder, SilverTransform
 from layerwell.sources.delimited import BAD_LINE
@@ -33,6 +33,10 @@ from layerwell.spec import SourceSpec, TableSpec
 # Columns a silver batch carries for ordering but does not store.
 BATCH_HELPERS = (SOURCE_FILE, SOURCE_POSITION)
 
+# What a silver batch observes: rows without a key, and per column, behind this
+# prefix, cells that hold something but do not fit the declared type.
+NULL_KEYS, LOST_CELLS = "null_keys", "lost_cells:"
+
 
 def bronze_frame(
     spark: SparkSession,
@@ -71,7 +75,8 @@ def silver_frame(
     The latest row is chosen within each file, where all rows share one
     ingestion time, so the first one stays. ``across_files`` chooses over all
     files instead, which makes the choice within files redundant. Rows without
-    a key disappear here; ``observation`` reports their number as ``null_keys``.
+    a key disappear here; ``observation`` reports their number, and that of the
+    cells of each column, in all rows, that the declared type turns into null.
     Lines that bronze keeps as bad ones have no values and stay behind.
     """
     if BAD_LINE in bronze.columns:
@@ -82,7 +87,12 @@ def silver_frame(
     kept = (BRONZE_INGESTED_AT, BRONZE_RUN_ID, *BATCH_HELPERS)
     df = df.select(*(c for c in df.columns if c in (*spec.column_names, *kept)))
     if observation is not None:
-        df = df.observe(observation, null_key_rows(df, spec.primary_keys).alias("null_keys"))
+        lost = lost_cells(df, spec.dtypes, spec.formats)
+        df = df.observe(
+            observation,
+            null_key_rows(df, spec.primary_keys).alias(NULL_KEYS),
+            *(F.count_if(cells).alias(f"{LOST_CELLS}{name}") for name, cells in lost.items()),
+        )
     order = [F.col(c) for c in BATCH_HELPERS if c in df.columns]
     df = keep_latest(
         df,
@@ -93,7 +103,7 @@ def silver_frame(
         # File and position identify a row, so no other column need decide.
         ties_settled=len(order) == len(BATCH_HELPERS),
     )
-    df = enforce_schema(df, spec.dtypes, keep=kept)
+    df = enforce_schema(df, spec.dtypes, keep=kept, formats=spec.formats)
     return add_silver_lineage(df, run_id, ingested_at)
 
 

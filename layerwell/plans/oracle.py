@@ -192,6 +192,22 @@ ORACLE: dict[str, str] = {
          CAST(NULL AS BIGINT) AS event_type, CAST(NULL AS BIGINT) AS value,
          date_trunc('second', ts) AS stamp, CAST(NULL AS DOUBLE) AS absent
   FROM events""",
+    "cast_formats": """
+  SELECT o_orderkey, CASE WHEN o_orderkey % 4 < 3 THEN CAST(o_orderdate AS DATE) END AS day,
+         CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_custkey AS BIGINT) END AS amount
+  FROM orders""",
+    "rejected_values": """
+  SELECT 'day' AS "column", strftime(o_orderdate, '%Y%mth') AS value, count(*) AS rows
+  FROM orders WHERE o_orderkey % 4 = 3 GROUP BY 2
+  UNION ALL
+  SELECT 'amount', 'n/a', count(*) FROM orders WHERE o_orderkey % 5 = 0 HAVING count(*) > 0""",
+    "bronze_headers": """
+  SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS o_custkey, o_orderstatus,
+         CASE WHEN o_orderstatus = 'O' THEN o_totalprice END AS o_totalprice
+  FROM orders""",
+    "bronze_overwrite": """
+  SELECT o_orderkey::VARCHAR AS key, o_orderstatus AS flag FROM orders
+  WHERE o_orderstatus = 'F' OR (o_orderstatus = 'P' AND o_orderkey % 2 = 0)""",
     "normalize_strings": r"""
   SELECT c_custkey, regexp_replace(' ' || chr(9) || c_name || chr(10) || ' ',
                                    '^\s+|\s+$', '', 'g') AS c_name,

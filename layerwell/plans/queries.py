@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date, datetime, timedelta, timezone
+from functools import reduce
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -19,7 +20,7 @@ from layerwell.operators.lineage import (
     add_bronze_lineage,
     add_silver_lineage,
 )
-from layerwell.operators.schema import enforce_schema, rename_columns
+from layerwell.operators.schema import enforce_schema, rejected_values, rename_columns
 from layerwell.operators.selection import newest, within
 from layerwell.plans.builders import (
     combined_monthly,
@@ -495,6 +496,31 @@ def cast_null_column(spark, sf_dir):
     ).withColumn("stamp", F.col("stamp").cast("timestamp_ntz"))
 
 
+DATE_FORMATS = ("MM/dd/yyyy", "dd.MM.yyyy")
+DATED_TYPES = {"o_orderkey": "Int64", "day": "date", "amount": "Int64"}
+
+
+def _order_dates_as_text(spark, sf_dir):
+    """Days as four kinds of text, one of which no format fits; whole amounts and others."""
+    day = F.col("o_orderdate")
+    kinds = [F.date_format(day, p) for p in (*DATE_FORMATS, "yyyy-MM-dd", "yyyyMM'th'")]
+    text = reduce(lambda rest, k: F.when(F.col("o_orderkey") % 4 == k, kinds[k]).otherwise(rest), range(3), kinds[3])
+    amount = F.when(F.col("o_orderkey") % 5 == 0, F.lit("n/a")).otherwise(F.col("o_custkey").cast("string"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", text.alias("day"), amount.alias("amount"))
+
+
+@query("cast_formats")
+def cast_formats(spark, sf_dir):
+    """Text in several date formats, which are tried in order."""
+    return enforce_schema(_order_dates_as_text(spark, sf_dir), DATED_TYPES, formats={"day": DATE_FORMATS})
+
+
+@query("rejected_values")
+def rejected(spark, sf_dir):
+    """The cells that the declared types turn into null, by column and value."""
+    return rejected_values(_order_dates_as_text(spark, sf_dir), DATED_TYPES, {"day": DATE_FORMATS})
+
+
 @query("normalize_strings")
 def normalized_strings(spark, sf_dir):
     padded = table(spark, sf_dir, "customer").select(
@@ -699,6 +725,40 @@ def bronze_zip(spark, sf_dir):
     return enforce_schema(rows, ORDER_TYPES)
 
 
+@query("bronze_headers")
+def bronze_headers(spark, sf_dir):
+    """Orders as text under three headers: in order, in another order with a
+    column more, and with a column less; read in one go."""
+    path, days = scratch_path(spark, "csv"), order_days(spark, sf_dir)
+    status = F.col("o_orderstatus")
+    for name, wanted, columns in (
+        ("finished", status == "F", ["o_orderkey", "o_custkey", "o_orderstatus"]),
+        ("open", status == "O", ["o_totalprice", "o_orderstatus", "o_orderkey", "o_custkey"]),
+        ("partial", status == "P", ["o_orderstatus", "o_orderkey"]),
+    ):
+        days.where(wanted).select(*columns).write.csv(f"{path}/{name}", header=True)
+    rows = read_delimited(spark, [f"{path}/{n}" for n in ("finished", "open", "partial")], {"header": 0})
+    return enforce_schema(rows, {n: t for n, t in ORDER_TYPES.items() if n != "order_day"})
+
+
+@query("bronze_overwrite")
+def bronze_overwrite(spark, sf_dir):
+    """Orders landed by status and ingested anew after the files of one status are
+    gone and those of another came again without rows."""
+    run = Run(
+        spark, BAD_LINES_CONFIG, Lake(scratch_path(spark, "lake")), TRANSFORMS, BUILDERS, RUN_ID, CLOCK
+    )
+    landing = run.lake.landing("flagged")
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string"), "o_orderstatus")
+    for status in "FOP":
+        orders.where(F.col("o_orderstatus") == status).write.csv(f"{landing}/{status}")
+    refresh_bronze(run, "flagged")
+    orders.limit(0).write.csv(f"{landing}/O", mode="overwrite")
+    orders.where("o_orderstatus = 'P' and o_orderkey % 2 = 0").write.csv(f"{landing}/P", mode="overwrite")
+    refresh_bronze(run, "flagged")
+    return read_table(spark, run.lake.bronze("flagged")).select("key", "flag")
+
+
 @query("bronze_bad_lines")
 def bronze_bad_lines(spark, sf_dir):
     """Orders as text, of which the finished ones have fields too many, through

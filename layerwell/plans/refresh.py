@@ -45,6 +45,8 @@ from layerwell.operators.selection import anti
 from layerwell.plans.builders import Builder, Period
 from layerwell.plans.layers import (
     BATCH_HELPERS,
+    LOST_CELLS,
+    NULL_KEYS,
     bronze_frame,
     gold_frame,
     keys_proved_unique,
@@ -56,7 +58,9 @@ from layerwell.sinks.audit import RunRecord, append_files, append_runs, file_tab
 from layerwell.sinks.jdbc import publish_table
 from layerwell.sinks.parquet import (
     Draft,
+    add_to_draft,
     draft_table,
+    empty_draft,
     merge_partitions,
     overwrite_partitions,
     partition_names,
@@ -74,7 +78,7 @@ from layerwell.sources.listing import (
     newest_file,
 )
 from layerwell.sources.manifest import load_manifest, record_files
-from layerwell.sources.table_log import changes_since, table_state
+from layerwell.sources.table_log import Files, changes_since, table_state
 from layerwell.sources.tables import read_partitions, read_snapshot, read_table, read_window
 from layerwell.spec import PipelineConfig, TableSpec
 
@@ -204,7 +208,8 @@ def refresh_bronze(run: Run, table: str) -> int:
 
     ``append`` takes files that are neither recorded nor present in bronze,
     ``latest_snapshot`` only the newest file unless it was taken already,
-    ``overwrite`` all files.
+    ``overwrite`` all files: what they hold now becomes the table, so that rows
+    of a file that was removed or emptied go. A missing landing folder changes nothing.
     """
     source, spec = run.config.source(table), _declared(run.config.bronze, table, "bronze")
     if not source.enabled:
@@ -227,10 +232,18 @@ def refresh_bronze(run: Run, table: str) -> int:
         known = run.manifest("bronze", table)
         chosen = anti(new_files(listing, known), known, "source_key")
 
+    path = run.lake.bronze(table)
+    whole = empty_draft(run.spark, path) if source.mode == "overwrite" else None
+
     def ingest(files: DataFrame, paths: Sequence[Row]) -> Outcome:
+        nonlocal whole
         names = [file["path"] for file in paths]
         df = bronze_frame(run.spark, names, source, spec, run.run_id, run.now)
-        rows, bad = write_bronze(df, run.lake.bronze(table))
+        if whole:
+            rows, bad = _counting(df, lambda observed: add_to_draft(observed, whole, [SOURCE_KEY]))
+            whole = whole.with_columns(df.schema)
+        else:
+            rows, bad = write_bronze(df, path)
         if BAD_LINE in df.columns:
             result = CheckResult("bad_lines", BAD_LINE, WARNING, bad, rows, not bad)
             run.results.append(result)
@@ -240,6 +253,13 @@ def refresh_bronze(run: Run, table: str) -> int:
         return Outcome(len(paths), _audit_files(run, "bronze", table, files, partitions), rows)
 
     outcome = _in_rounds(run, chosen, ingest, run.staging("files-bronze", table))
+    if whole and not outcome.files and whole.before and Files(run.spark, path).there(run.lake.landing(table)):
+        # Spark lists no files without content: all there are may have been emptied.
+        nothing = read_table(run.spark, path).limit(0)
+        add_to_draft(nothing, whole, [SOURCE_KEY])
+        whole = whole.with_columns(nothing.schema)
+    if whole and whole.schema.fields:
+        publish_draft(run.spark, whole)
     _audit(run, "bronze", table, started, outcome)
     return outcome.files
 
@@ -247,10 +267,14 @@ def refresh_bronze(run: Run, table: str) -> int:
 def write_bronze(df: DataFrame, path: str) -> tuple[int, int]:
     """Replace the partitions of the files in ``df``; the number of rows, and of
     bad lines among them. Nothing is exchanged: each task writes the rows it has read."""
+    return _counting(df, lambda observed: overwrite_partitions(observed, path, [SOURCE_KEY]))
+
+
+def _counting(df: DataFrame, store: Callable[[DataFrame], None]) -> tuple[int, int]:
     observation = Observation()
     is_bad = F.col(BAD_LINE).isNotNull() if BAD_LINE in df.columns else F.lit(False)
     counts = F.count(F.lit(1)).alias("rows"), F.count_if(is_bad).alias("bad")
-    overwrite_partitions(df.observe(observation, *counts), path, [SOURCE_KEY])
+    store(df.observe(observation, *counts))
     return observation.get["rows"], observation.get["bad"]
 
 
@@ -354,12 +378,19 @@ def _refresh_silver_batch(
         run, "silver", batch, spec, extra, None if proved else [*scope, *spec.primary_keys]
     )
 
-    nulls = dropped.get["null_keys"]
+    observed = dropped.get
+    nulls = observed[NULL_KEYS]
     if nulls:
         log.warning("silver %s: %s rows without a key were left out", spec.name, nulls)
     run.results.append(
         CheckResult("null_keys", ",".join(spec.primary_keys), WARNING, nulls, rows + nulls, not nulls)
     )
+    lost = [
+        CheckResult("lost_cells", name.removeprefix(LOST_CELLS), WARNING, cells, rows + nulls, False)
+        for name, cells in observed.items() if name.startswith(LOST_CELLS) and cells
+    ]
+    run.results += lost
+    _record_quality(run, "silver", spec.name, lost)
 
     path = run.lake.silver(spec.name)
     if mode == "append":

@@ -48,6 +48,9 @@ class Draft:
     folder: str
     schema: T.StructType
 
+    def with_columns(self, schema: T.StructType) -> Draft:
+        return replace(self, schema=united_schema(self.path, self.schema, schema))
+
     def rows(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema(self.schema).parquet(f"{self.path}/{self.folder}")
 
@@ -62,6 +65,17 @@ def draft_table(df: DataFrame, path: str, partition_keys: Sequence[str] = ()) ->
     return draft
 
 
+def empty_draft(spark: SparkSession, path: str) -> Draft:
+    """A draft to be filled in steps; its columns are those of what is added."""
+    before = table_state(spark, path)
+    return Draft(path, before, next_folder(before), T.StructType([]))
+
+
+def add_to_draft(df: DataFrame, draft: Draft, partition_keys: Sequence[str]) -> None:
+    """More rows, in the layout that ``df`` has, of partitions of their own."""
+    df.write.mode("append").partitionBy(*partition_keys).parquet(f"{draft.path}/{draft.folder}")
+
+
 def publish_draft(
     spark: SparkSession, draft: Draft, unique_keys: Sequence[str] = (), inputs: dict | None = None
 ) -> None:
@@ -269,8 +283,10 @@ def partition_names(df: DataFrame, partition_keys: Sequence[str]) -> DataFrame:
 __all__ = [
     "MAX_LISTED_PARTITIONS",
     "Draft",
+    "add_to_draft",
     "adopted",
     "draft_table",
+    "empty_draft",
     "ensure_table",
     "merge_partitions",
     "overwrite_partitions",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from layerwell.errors import ConfigError
 from layerwell.operators.lineage import SOURCE_FILE, SOURCE_POSITION
 from layerwell.sources.archive import archive_lines
-from layerwell.sources.listing import own_file_name
+from layerwell.sources.listing import own_file_name, own_file_path
 
 # Reader parameters understood in source declarations.
 READER_PARAMETERS = (
@@ -26,6 +27,7 @@ READER_PARAMETERS = (
     "mode",
     "spread",
     "bad_lines",
+    "one_header",
 )
 
 # The raw text of a line that has more fields than there are names.
@@ -40,8 +42,11 @@ def read_delimited(
     """Plain or gzip/bzip2 text files, split by Spark where the format allows.
 
     ``header: 0`` takes the names from the first row unless ``names`` are given;
-    ``header: null`` requires ``names``. Files whose header differs from the
-    first one make the job fail instead of shifting columns.
+    ``header: null`` requires ``names``. Files with the same header are read
+    together, and files whose headers differ united by name, columns that a file
+    lacks being null. The first lines cost one pass over the text, which a single
+    file does not need; ``one_header: true`` spares it, and a file with another
+    header than the first one then makes the job fail instead of shifting columns.
 
     A line with fewer fields is filled up with nulls. One with more, other than
     blank ones, is an error, or with ``bad_lines: keep`` a row of nulls whose
@@ -52,6 +57,42 @@ def read_delimited(
     if not names and not has_header:
         raise ConfigError("text files without a header need column names")
 
+    if names or reader.get("one_header"):
+        return _read_alike(spark, paths, reader)
+    groups = _paths_by_header(spark, paths)
+    if len(groups) < 2:
+        return _read_alike(spark, paths, reader)
+    return _united(_read_alike(spark, group, reader) for group in groups)
+
+
+def _united(parts) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _paths_by_header(spark: SparkSession, paths: Sequence[str]) -> list[list[str]]:
+    """Files of the same first line, the group of the first path before others."""
+    lines = spark.read.text(list(paths))
+    if len(lines.inputFiles()) < 2:
+        return []
+    # A header is in the first block of its file; min_by keeps one line a file and task.
+    first = (
+        lines.where((F.col("_metadata.file_block_start") == 0) & (F.trim("value") != ""))
+        .select(own_file_path().alias("path"), "value", F.monotonically_increasing_id().alias("row"))
+        .groupBy("path")
+        .agg(F.min_by("value", "row").alias("header"))
+    )
+    return _groups(first)
+
+
+def _groups(first: DataFrame) -> list[list[str]]:
+    """Paths of each ``header``. The paths of a read are in the driver anyway."""
+    found = first.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
+    return sorted(list(row["paths"]) for row in found)
+
+
+def _read_alike(spark: SparkSession, paths: Sequence[str], reader: Mapping[str, Any]) -> DataFrame:
+    """Files that share their names."""
+    names, has_header = reader.get("names"), reader.get("header") is not None
     source = spark.read.options(**csv_options(reader)).option("header", has_header)
     if not names:
         names = source.csv(list(paths)).columns
@@ -86,7 +127,8 @@ def read_zipped_delimited(
 def parse_zipped_delimited(
     files: DataFrame, reader: Mapping[str, Any] | None = None
 ) -> DataFrame:
-    """As :func:`read_zipped_delimited` for rows of ``path`` and ``content``.
+    """As :func:`read_zipped_delimited` for rows of ``path`` and ``content``. Archives
+    are unpacked once for their headers and once for their rows.
 
     Python only unpacks lines; Spark parses them with the options it also uses
     for plain text.
@@ -101,6 +143,16 @@ def parse_zipped_delimited(
     if not names:
         if not has_header:
             raise ConfigError("text files without a header need column names")
+        groups = _groups(lines.where(F.col("line_no") == 0).select("path", F.col("line").alias("header")))
+        if not groups:
+            raise ConfigError("archives are empty")
+        if len(groups) > 1 and reader.get("one_header"):
+            raise ConfigError("the headers of archives differ")
+        if len(groups) > 1:
+            return _united(
+                parse_zipped_delimited(files.where(F.col("path").isin(group)), {**reader, "one_header": True})
+                for group in groups
+            )
         names = _names_in_header(lines, reader)
     if has_header:
         lines = lines.where(F.col("line_no") > 0)
@@ -178,10 +230,8 @@ def nulls_for_blanks(names: Sequence[str], reader: Mapping[str, Any]) -> list[Co
 
 
 def _names_in_header(lines: DataFrame, reader: Mapping[str, Any]) -> list[str]:
-    """Names in the first row; all archives must agree on it."""
-    headers = lines.where(F.col("line_no") == 0).select("line").distinct().take(2)
-    if len(headers) != 1:
-        raise ConfigError("archives are empty or their headers differ")
+    """Names in the first row, on which the archives agree."""
+    headers = lines.where(F.col("line_no") == 0).select("line").take(1)
     text = lines.sparkSession.createDataFrame(headers, "line string")
     slots = [f"c{i}" for i in range(headers[0]["line"].count(reader.get("sep", ",")) + 1)]
     parsed = F.from_csv("line", text_schema(slots).toDDL(), csv_options(reader))

@@ -27,6 +27,8 @@ class ColumnSpec:
     primary_key: bool = False
     partition_key: bool = False
     record_timestamp: bool = False
+    # Date patterns of a text source, tried in this order, before ISO.
+    formats: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -49,7 +51,7 @@ class TableSpec:
     @classmethod
     def from_mapping(cls, name: str, raw: Mapping[str, Any]) -> TableSpec:
         columns = tuple(
-            ColumnSpec(name=column, **(attributes or {}))
+            ColumnSpec(name=column, **{**(attributes or {}), "formats": _patterns(attributes)})
             for column, attributes in (raw.get("columns") or {}).items()
         )
         inputs = tuple(
@@ -75,6 +77,10 @@ class TableSpec:
     def dtypes(self) -> dict[str, str]:
         return {c.name: c.type for c in self.columns if c.type}
 
+    @property
+    def formats(self) -> dict[str, tuple[str, ...]]:
+        return {c.name: c.formats for c in self.columns if c.formats}
+
     @property
     def renames(self) -> dict[str, str]:
         return {c.source: c.name for c in self.columns if c.source}
@@ -212,6 +218,12 @@ class PipelineConfig:
         return self.start_date, self.end_date or now
 
 
+def _patterns(attributes: Mapping[str, Any] | None) -> tuple[str, ...]:
+    """One pattern may stand by itself instead of in a list."""
+    given = (attributes or {}).get("formats") or ()
+    return (given,) if isinstance(given, str) else tuple(given)
+
+
 def _as_date(value: str | date | datetime) -> date:
     if isinstance(value, datetime):
         return value.date()

@@ -29,6 +29,7 @@ from layerwell.sources.delimited import (
 )
 from layerwell.sources.listing import key_collisions, own_file_name, own_file_path, source_key
 from layerwell.sources.manifest import load_manifest, record_files
+from layerwell.sources.table_log import table_state
 from layerwell.spec import SourceSpec
 
 FILE = "__file"
@@ -174,5 +175,7 @@ def stream_silver(
     def merge(batch: DataFrame, _batch_id: int) -> None:
         merge_bronze_batch(run, table, batch.drop(SOURCE_KEY))
 
-    stream = reader.parquet(run.lake.bronze(table))
+    bronze = run.lake.bronze(table)
+    state = table_state(run.spark, bronze)
+    stream = reader.parquet(state.location(bronze) if state else bronze)
     return run_available(stream.writeStream.foreachBatch(merge), checkpoint)

@@ -11,15 +11,18 @@ from pyspark.sql import functions as F
 import test_refresh as feeds
 from layerwell.errors import ConfigError, DataQualityError
 from layerwell.operators.dedup import keep_latest, null_key_rows
+from layerwell.operators.lineage import SOURCE_FILE
 from layerwell.operators.quality import collect_results, completeness, gaps_per_entity
 from layerwell.plans import refresh
 from layerwell.plans.packing import workbook_bytes, zip_bytes
 from layerwell.plans.queries import BUILDERS, LAYERED_CONFIG, TRANSFORMS
 from layerwell.plans.refresh import Lake, Run, bad_lines, refresh_bronze, refresh_silver
+from layerwell.plans.registry import Registry
 from layerwell.sinks.parquet import merge_partitions
 from layerwell.sources.delimited import read_delimited, read_zipped_delimited
 from layerwell.sources.tables import read_partitions, read_table
 from layerwell.sources.workbook import read_workbooks
+from layerwell.spec import PipelineConfig
 from layerwell.streaming.ingest import stream_bronze
 from test_refresh import lake  # noqa: F401
 
@@ -180,3 +183,69 @@ def test_gaps_of_each_entity(spark):
 def test_completeness_counts_what_was_expected(spark):
     (result,) = collect_results(completeness(spark.createDataFrame([(1,)], "day int"), "days", "day", expected=31))
     assert (result.failing, result.total, result.passed) == (1, 31, False)
+
+
+def write_files(folder, **texts):
+    folder.mkdir(exist_ok=True)
+    for name, text in texts.items():
+        (folder / f"{name}.csv").write_text(text)
+    return [str(folder)]
+
+
+HEADERS = {"a": "k,v\n1,one\n", "b": "v,k\ntwo,2\n", "c": "\nk,v,w\n3,three,x\n", "d": "k,v\n4,four\n", "e": "k\n5\n", "f": ""}
+UNITED = [("1", "one", None), ("2", "two", None), ("3", "three", "x"), ("4", "four", None), ("5", None, None)]
+
+
+def test_headers_that_differ_are_united_by_name(spark, tmp_path):
+    out = read_delimited(spark, write_files(tmp_path / "in put", **HEADERS), {"header": 0})
+    assert sorted(tuple(r) for r in out.select("k", "v", "w").collect()) == UNITED
+    assert {tuple(r) for r in out.select("k", SOURCE_FILE).collect()} == {(k, f"{f}.csv") for k, f in zip("12345", "abcde")}
+    surplus = read_delimited(spark, write_files(tmp_path / "s", a="k,v\n1,one\n", b="v,k\ntwo,2,9\n"), {"header": 0, "bad_lines": "keep"})
+    assert sorted((r.k, r._bad_line) for r in surplus.collect() if r.k is None) == [(None, "two,2,9")]
+
+
+def test_headers_of_archives_are_united_by_name(spark, tmp_path):
+    for name, text in HEADERS.items():
+        (tmp_path / f"{name}.zip").write_bytes(zip_bytes({"x.csv": text.lstrip("\n")}))
+    out = read_zipped_delimited(spark, [str(tmp_path)], {"header": 0})
+    assert sorted(tuple(r) for r in out.select("k", "v", "w").collect()) == UNITED
+    with pytest.raises(ConfigError):
+        read_zipped_delimited(spark, [str(tmp_path)], {"header": 0, "one_header": True})
+
+
+def test_one_header_is_read_without_a_pass_for_names(spark, tmp_path):
+    paths = write_files(tmp_path / "x", a="k,v\n1,one\n", b="v,k\none,1\n")
+    with pytest.raises(Exception):
+        read_delimited(spark, paths, {"header": 0, "one_header": True}).select("k", "v").collect()
+
+
+def test_overwrite_leaves_nothing_of_emptied_and_removed_files(spark, tmp_path):
+    settings = PipelineConfig.from_mappings(
+        {"pipeline": {"name": "p", "execution": {"start_date": "2026-01-01"}}},
+        {"sources": {"t": {"acquisition_method": "manual_drop", "ingestion_mode": "overwrite", "file_type": "csv",
+                           "reader": {"header": None, "names": ["key", "day"]}}}},
+        {"schemas": {"bronze": {"t": {"required_columns": ["key"]}},
+                     "silver": {"t": {"columns": {
+                         "key": {"type": "string", "nullable": False, "primary_key": True},
+                         "day": {"type": "date", "formats": "dd.MM.yyyy"}}}}, "gold": {}}},
+    )
+    transforms = Registry("silver transform")
+    transforms.register("t", lambda df: df)
+    run = Run(spark, settings, Lake(str(tmp_path / "lake")), transforms, Registry("gold builder"), "r1", datetime(2026, 2, 1, tzinfo=timezone.utc))
+    landing = tmp_path / "lake" / "landing" / "t"
+    landing.parent.mkdir(parents=True)
+    write_files(landing, a="1,05.02.2026\n", b="2,2026-02-06\n", c="3,6 Feb\n")
+
+    def refreshed():
+        refresh_bronze(run, "t")
+        refresh_silver(run, "t")
+        return sorted((r.key, r.day) for r in read_table(spark, run.lake.silver("t")).collect())
+
+    assert refreshed() == [("1", date(2026, 2, 5)), ("2", date(2026, 2, 6)), ("3", None)]
+    lost = [r for r in run.results if r.check == "lost_cells"]
+    assert [(r.column, r.failing, r.total) for r in lost] == [("day", 1, 3)]
+    (landing / "a.csv").unlink()
+    write_files(landing, b="", c="3,06.02.2026\n4,\n")
+    assert refreshed() == [("3", date(2026, 2, 6)), ("4", None)]
+    write_files(landing, c="")
+    assert refreshed() == []

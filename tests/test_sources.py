@@ -60,13 +60,6 @@ def test_header_and_gzip(spark, tmp_path):
     assert rows(renamed, "p", "q") == [("1", "one"), ("2", "two")]
 
 
-def test_differing_headers_fail(spark, tmp_path):
-    (tmp_path / "a.csv").write_text("k,v\n1,one\n")
-    (tmp_path / "b.csv").write_text("v,k\none,1\n")
-    with pytest.raises(Exception):
-        read_delimited(spark, [str(tmp_path)], {"header": 0}).select("k", "v").collect()
-
-
 def test_reader_parameters_are_checked(spark):
     with pytest.raises(ConfigError):
         read_delimited(spark, ["x"], {"header": None})
