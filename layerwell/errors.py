@@ -9,5 +9,9 @@ class DataQualityError(ValueError):
     """A critical data-quality check failed."""
 
 
+class WriteConflict(DataQualityError):
+    """Another run has changed the table in the meantime."""
+
+
 class MissingInputError(ValueError):
     """A table that a builder needs was not supplied or does not exist."""

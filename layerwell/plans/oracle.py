@@ -152,6 +152,11 @@ ORACLE: dict[str, str] = {
     "new_files": """
   SELECT 'docs/' || doc_id AS path, n_chars FROM documents
   WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
+    "folded_appends": """
+  SELECT o_orderkey % 9 AS part,
+         CASE WHEN o_orderkey % 9 > 5 THEN o_orderpriority END AS o_orderpriority,
+         count(*) AS orders, CAST(sum(o_orderkey) AS BIGINT) AS key_sum, TRUE AS folded
+  FROM orders GROUP BY 1, 2""",
     "manifest_union": """
   SELECT 'docs/' || doc_id || '.txt.gz' AS path, CAST(doc_id AS VARCHAR) AS source_key,
          CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'run-labels'

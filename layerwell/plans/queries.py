@@ -34,11 +34,13 @@ from layerwell.plans.packing import workbook_batches, zip_batches
 from layerwell.plans.refresh import Lake, Run, bad_lines, build_gold, refresh_bronze, refresh_silver, run_all
 from layerwell.plans.registry import Registry
 from layerwell.session import scratch_path
+from layerwell.sinks.appends import append_rows
 from layerwell.sinks.audit import append_files, file_table
 from layerwell.sinks.parquet import merge_partitions, stage, write_partitions, write_table
 from layerwell.sources.delimited import parse_zipped_delimited, read_delimited
 from layerwell.sources.listing import expected_files, files_to_acquire, new_files, source_key
 from layerwell.sources.manifest import load_manifest, record_files
+from layerwell.sources.table_log import table_state
 from layerwell.sources.tables import read_partition, read_snapshot, read_table, read_window
 from layerwell.sources.workbook import parse_workbooks
 from layerwell.spec import PipelineConfig, TableSpec
@@ -793,6 +795,25 @@ def bronze_workbook(spark, sf_dir):
 # -------------------------------------------------------------- layers and audit
 
 
+@query("folded_appends")
+def folded_appends(spark, sf_dir):
+    """Orders appended in nine parts to a table that folds its folders, the last
+    parts with one column more, and the folders that are left."""
+    path = scratch_path(spark, "appends")
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderpriority", (F.pmod(F.col("o_orderkey").cast("long"), F.lit(9))).alias("part")
+    )
+    for part in range(9):
+        rows = orders.where(F.col("part") == part)
+        append_rows(rows if part > 5 else rows.drop("o_orderpriority"), path, fold_after=4)
+    folders = len(table_state(spark, path).locations(path))
+    return read_table(spark, path).groupBy("part", "o_orderpriority").agg(
+        F.count(F.lit(1)).alias("orders"),
+        F.sum(F.col("o_orderkey").cast("long")).alias("key_sum"),
+        F.lit(folders <= 5).alias("folded"),
+    )
+
+
 @query("audit_rows")
 def audit_rows(spark, sf_dir):
     """Files of two audited table runs, counted by layer, table and role."""

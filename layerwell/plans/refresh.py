@@ -54,6 +54,7 @@ from layerwell.plans.layers import (
 )
 from layerwell.plans.registry import Registry
 from layerwell.session import require_utc, table_scratch_path
+from layerwell.sinks.appends import append_rows
 from layerwell.sinks.audit import RunRecord, append_files, append_runs, file_table
 from layerwell.sinks.jdbc import publish_table
 from layerwell.sinks.parquet import (
@@ -190,7 +191,7 @@ class Run:
             return
         if self._checked:
             rows = self.spark.createDataFrame(self._checked, QUALITY_SCHEMA)
-            rows.coalesce(1).write.mode("append").parquet(self.lake.quality)
+            append_rows(rows.coalesce(1), self.lake.quality)
         if self._pending:
             append_runs(self.spark, self.lake.audit, *self._pending)
         self._checked, self._pending = [], []

@@ -10,6 +10,8 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from layerwell.sinks.appends import append_rows
+
 RUN_SCHEMA = T.StructType(
     [
         T.StructField("run_id", T.StringType()),
@@ -93,8 +95,8 @@ def file_table(files: DataFrame, run_id: str, layer: str, table: str, role: str)
 
 
 def append_runs(spark: SparkSession, path: str, *records: RunRecord) -> None:
-    run_table(spark, *records).coalesce(1).write.mode("append").parquet(f"{path}/runs")
+    append_rows(run_table(spark, *records).coalesce(1), f"{path}/runs")
 
 
 def append_files(files: DataFrame, path: str) -> None:
-    files.write.mode("append").parquet(f"{path}/files")
+    append_rows(files, f"{path}/files")

@@ -1,4 +1,4 @@
-"""Record of processed files, kept as an append-only Parquet table."""
+"""Record of processed files, kept as an append-only table that folds itself."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from layerwell.operators.selection import anti
-from layerwell.sinks.parquet import ensure_table
+from layerwell.sinks.appends import append_rows, appended_rows
 
 MANIFEST_SCHEMA = T.StructType(
     [
@@ -22,7 +22,7 @@ MANIFEST_SCHEMA = T.StructType(
 
 def load_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Recorded files; none if nothing has been recorded yet."""
-    return ensure_table(spark, path, MANIFEST_SCHEMA)
+    return appended_rows(spark, path, MANIFEST_SCHEMA)
 
 
 def record_files(
@@ -39,4 +39,4 @@ def record_files(
     )
     if not all_new:
         entries = anti(entries, load_manifest(files.sparkSession, path), "path")
-    entries.write.mode("append").parquet(path)
+    append_rows(entries, path)

@@ -43,7 +43,7 @@ def read_table(
 
 def stored_rows(spark: SparkSession, path: str, state: TableState) -> DataFrame:
     """The rows of a table in the given state of it."""
-    return spark.read.schema(state.schema).parquet(state.location(path))
+    return spark.read.schema(state.schema).parquet(*state.locations(path))
 
 
 def read_partitions(
