@@ -29,7 +29,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 from layerwell.llm.common import RANGES, batch_of, columns, in_batches, running_total
@@ -161,10 +161,16 @@ def token_table(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
     return stage(made.withColumn("key", F.monotonically_increasing_id()))
 
 
+def shuffled_order() -> Column:
+    """Place of a row in its queue. Rows without an id go by their text, so that
+    they do not meet in one range."""
+    return F.xxhash64(F.coalesce("doc_id", "th"))
+
+
 def plan_pieces(counts: DataFrame, window: int = WINDOW, grain: int = GRAIN) -> DataFrame:
     """Pieces of documents in sequences. ``counts`` has key, doc_id, source, th
     and n; the result has key, start, length, sequence_id, offset."""
-    order = F.xxhash64("doc_id")
+    order = shuffled_order()
     queued = running_total(
         counts.select(
             "key", "doc_id", "th", "n", order.alias("shuffled"),

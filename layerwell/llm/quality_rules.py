@@ -26,7 +26,7 @@ LONG_LINE = 8  # more words than this must hold the end of a sentence
 # Fixed values. The patterns are kept to what both Python's and RE2's syntax allow.
 SYMBOLS = "#*$%&|<>"
 SEPARATORS = "|»›•·"
-SENTENCE_END = ".!?…:;\"'”’»)]"
+SENTENCE_END = ".!?…:;\"'”’»)]" + "。！？；：」』）．" + "।॥" + "؟۔؛" + "։" + "።፧" + "។" + "။"
 BOILERPLATE = (
     r"licen[sc]ed under|apache license|mit license|creative commons|all rights reserved|copyright \(c\)|©"
     r"|terms of (use|service)|privacy policy|cookie policy|we use cookies|accept (all )?cookies"

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import compare
 from samples import frame, prose
@@ -179,6 +180,13 @@ def test_failing_lines_are_removed():
     assert not quality_rules.clean("\n".join(f"Home{i} | News{i} | About{i}" for i in range(40)))[0]["kept"]
 
 
+@pytest.mark.parametrize("mark", ["。", "।", "؟", "։", "።", "។", "။", "!"])
+def test_sentences_end_in_any_script(mark):
+    words = [f"w{i}" for i in range(12)]
+    assert quality_rules.line_verdict(" ".join(words) + mark, [*words[:-1], words[-1] + mark], 40, False) is None
+    assert quality_rules.line_verdict(" ".join(words), words, 40, False) == "punctuation"
+
+
 # packing
 
 def _round_robin(lengths, window, grain):
@@ -214,6 +222,15 @@ def test_packing_is_a_deficit_round_robin(spark):
     assert got == want
 
 
+def test_packing_spreads_rows_without_an_id(spark):
+    rows = spark.range(30_000).select(
+        F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.xxhash64(F.col("id").cast("string")).alias("th")
+    )
+    place = F.pmod(packing.shuffled_order(), F.lit(64))
+    sizes = [r["count"] for r in rows.groupBy(place).count().collect()]
+    assert max(sizes) < 1.5 * 30_000 / 64
+
+
 def test_packing_round_trip(odd, empty, odd_rows):
     rows = packing.pack_documents(odd, window=512).collect()
     own = packing.encoder(packing.VOCABULARY)
