@@ -44,7 +44,8 @@ def keep_latest(
     ordering = [version_order(df, version), *tie_breakers]
     if not ties_settled:
         ordering += stable_order(df, [*scope, *keys])
-    window = Window.partitionBy(*_cols([*scope, *keys])).orderBy(*ordering)
+    # Keys first: rows are sorted by the first column's prefix, which a scope of few values leaves to full comparisons.
+    window = Window.partitionBy(*_cols([*keys, *scope])).orderBy(*ordering)
     return (
         drop_null_keys(df, keys)
         .withColumn(_RANK, F.row_number().over(window))

@@ -213,7 +213,7 @@ def merge_partitions(
     if existing is None or not unique:
         merged = latest(existing)
     else:
-        keys = [*partition_keys, *primary_keys]
+        keys = [*primary_keys, *partition_keys]
         incoming_keys = batch.select(*keys).distinct()
         merged = unmatched(existing, incoming_keys, keys).unionByName(
             latest(semi(existing, incoming_keys, keys)), allowMissingColumns=True

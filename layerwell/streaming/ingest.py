@@ -47,12 +47,15 @@ def stream_upsert(
     checkpoint: str,
     transform: Callable[[DataFrame], DataFrame] = lambda df: df,
     on_tie: str = "existing",
+    staged: bool = False,
 ) -> StreamingQuery:
-    """Merge every micro-batch into a partitioned table, then stop."""
+    """Merge every micro-batch into a partitioned table, then stop. ``staged``
+    states that a batch is files of rows as they are to be merged, which may be
+    read again; else its rows are written once before they are ranked."""
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
         merge_partitions(
-            transform(batch), path, partition_keys, primary_keys, version, on_tie=on_tie
+            transform(batch), path, partition_keys, primary_keys, version, on_tie=on_tie, staged=staged
         )
 
     return run_available(stream.writeStream.foreachBatch(merge), checkpoint)

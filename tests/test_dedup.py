@@ -27,6 +27,15 @@ def test_ties_are_settled_by_given_order_then_by_value(spark):
     assert rows(last) == [(1, DAY1, 20)]
 
 
+def test_rows_are_sorted_by_key_before_scope(spark):
+    df = spark.createDataFrame([(1, DAY1, 10), (1, DAY2, 20)], SCHEMA)
+    kept = keep_latest(df, ["id"], "_bronze_ingested_at", scope=["value"])
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    sorts = [line for line in plan.splitlines() if "Sort [" in line]
+    assert sorts and all("Sort [id#" in line for line in sorts)
+    assert rows(kept) == [(1, DAY1, 10), (1, DAY2, 20)]
+
+
 def test_null_keys_are_dropped_null_scope_is_not(spark):
     df = spark.createDataFrame([(None, DAY1, 1), (1, DAY1, None), (1, DAY1, 5)], SCHEMA)
     out = keep_latest(df, ["id"], "_bronze_ingested_at", scope=["value"])

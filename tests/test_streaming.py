@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from layerwell.errors import ConfigError
 from layerwell.plans.queries import BUILDERS, LAYERED_CONFIG, TRANSFORMS
 from layerwell.plans.refresh import Lake, Run
+from layerwell.sinks import parquet
 from layerwell.sources.listing import list_files
 from layerwell.sources.tables import read_table
 from layerwell.spec import SourceSpec
@@ -50,6 +51,21 @@ def test_batch_delivered_twice_changes_nothing(spark, tmp_path):
         assert rows(read_table(spark, table), "id", "value") == [(1, 1)]
 
 
+def test_stored_rows_are_not_written_twice(spark, tmp_path, monkeypatch):
+    """Batches that are files of finished rows are ranked from there."""
+    landing, written = str(tmp_path / "landing"), []
+    monkeypatch.setattr(parquet, "stage", lambda df, path=None: written.append(path) or df)
+    t1, t2 = datetime(2026, 1, 1), datetime(2026, 1, 2)
+    for n, data in enumerate(([(1, "a", 1, t1), (1, "a", 2, t1), (2, None, 2, t1)], [(1, "a", 0, t2), (None, "a", 5, t2)])):
+        spark.createDataFrame(data, SCHEMA).write.mode("append").parquet(landing)
+        for staged in (True, False):
+            stream = spark.readStream.schema(SCHEMA).parquet(landing)
+            table, checkpoint = (str(tmp_path / f"{name}{staged}") for name in ("table", "cp"))
+            stream_upsert(stream, table, ["day"], ["id"], "version", checkpoint, staged=staged)
+            assert rows(read_table(spark, table), "id", "day", "value") == [(1, "a", 1 - n), (2, None, 2)]
+        assert len(written) == n + 1  # by the one that is not staged
+
+
 def test_layers_as_streams(spark, tmp_path):
     now = datetime(2024, 2, 1, tzinfo=timezone.utc)
     run = Run(spark, LAYERED_CONFIG, Lake(str(tmp_path)), TRANSFORMS, BUILDERS, "r1", now)
