@@ -304,7 +304,6 @@ def append_incremental(spark, sf_dir):
             ["l_orderkey", "l_linenumber"],
             "l_shipdate",
             f"{root}/checkpoint",
-            staged=True,
         )
     return read_table(spark, target)
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from layerwell.errors import ConfigError
+from layerwell.plans import queries
 from layerwell.plans.queries import BUILDERS, LAYERED_CONFIG, TRANSFORMS
 from layerwell.plans.refresh import Lake, Run
 from layerwell.sinks import parquet
@@ -66,6 +67,36 @@ def test_stored_rows_are_not_written_twice(spark, tmp_path, monkeypatch):
         assert len(written) == n + 1  # by the one that is not staged
 
 
+def test_append_incremental_does_every_step(spark, tmp_path, monkeypatch):
+    """Each delivery is taken once as a whole, written before it is ranked, and merged."""
+    data = [
+        (1, 1, "A", "F", "2026-01-01", 1), (1, 1, "A", "O", "2026-01-01", 2), (1, 1, "N", "O", "2026-01-01", 3),
+        (2, 1, "A", "F", "2026-01-01", 4), (2, 1, "A", "O", "2026-01-02", 5), (2, 1, "A", None, "2026-01-03", 6),
+        (3, 1, None, "F", "2026-01-01", 7), (3, 1, None, "F", "2026-01-02", 8), (None, 1, "A", "F", "2026-01-01", 9),
+    ]
+    names = "l_orderkey long, l_linenumber int, l_returnflag string, l_linestatus string, l_shipdate string, l_quantity long"
+    items = spark.createDataFrame(data, names).withColumn("l_shipdate", F.to_timestamp("l_shipdate"))
+    items.write.parquet(str(tmp_path / "lineitem.parquet"))
+    written, read = [], []
+    real_stage, real_upsert = parquet.stage, queries.stream_upsert
+
+    def stage(df, path=None):
+        out = real_stage(df, path)
+        written.append(out.count())
+        return out
+
+    def upsert(*args, **options):
+        query = real_upsert(*args, **options)
+        read.append(sum(p["numInputRows"] for p in query.recentProgress))
+        return query
+
+    monkeypatch.setattr(parquet, "stage", stage)
+    monkeypatch.setattr(queries, "stream_upsert", upsert)
+    kept = queries.QUERIES["append_incremental"](spark, str(tmp_path))
+    assert rows(kept, "l_orderkey", "l_returnflag", "l_quantity") == [(1, "A", 1), (1, "N", 3), (2, "A", 6), (3, None, 8)]
+    assert written == [5, 4] and read == [5, 4, 0]
+
+
 def test_layers_as_streams(spark, tmp_path):
     now = datetime(2024, 2, 1, tzinfo=timezone.utc)
     run = Run(spark, LAYERED_CONFIG, Lake(str(tmp_path)), TRANSFORMS, BUILDERS, "r1", now)
